@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The workload this package re-implements is batch only: no stream source,
+watermark, window or state appears in it, so no streaming operator is
+built (see README, "Not built").
+"""
