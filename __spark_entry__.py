@@ -134,7 +134,7 @@ _CARRIER_PROFILE = (
     _with(_FLIGHTS)
     + "SELECT op_unique_carrier, origin, count(*) AS total_flights, min(arr_delay) AS min_delay, "
     f"max(arr_delay) AS max_delay, {_r2('avg(arr_delay)')} AS avg_delay, "
-    f"{_r2('CAST(sum(cancelled) AS DOUBLE) * 100 / count(*)')} AS cancellation_rate, "
+    f"{_r2('CAST(sum(coalesce(cancelled, 0)) AS DOUBLE) * 100 / count(*)')} AS cancellation_rate, "
     "string_agg(DISTINCT CAST(month AS VARCHAR), '-' ORDER BY CAST(month AS VARCHAR)) AS months_active "
     "FROM flights GROUP BY op_unique_carrier, origin"
 )
@@ -142,7 +142,7 @@ _CARRIER_PROFILE_TEXT = (
     _with(_FLIGHTS)
     + "SELECT op_unique_carrier, origin, count(*) AS total_flights, min(arr_delay) AS min_delay, "
     f"max(arr_delay) AS max_delay, {_r2('avg(arr_delay)')} AS avg_delay, "
-    f"{_txt2(_r2('CAST(sum(cancelled) AS DOUBLE) * 100 / count(*)'))} || '%' AS cancellation_rate, "
+    f"{_txt2(_r2('CAST(sum(coalesce(cancelled, 0)) AS DOUBLE) * 100 / count(*)'))} || '%' AS cancellation_rate, "
     "string_agg(DISTINCT CAST(month AS VARCHAR), '-' ORDER BY CAST(month AS VARCHAR)) AS months_active "
     "FROM flights GROUP BY op_unique_carrier, origin"
 )

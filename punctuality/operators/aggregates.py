@@ -30,7 +30,8 @@ def carrier_profile(
     """Per (carrier, origin): flights, min/max/avg delay, cancellation rate %, months.
 
     Nulls in ``delay`` are skipped (a group with none gets null min/max/avg);
-    the rate is ``sum(cancelled) * 100 / count(*)``; both rounded half-up to
+    the rate is ``sum(cancelled) * 100 / count(*)`` with a null
+    ``cancelled`` counted as 0; both rounded half-up to
     2 places. ``months_active`` lists the distinct months joined by ``-`` in
     text order (``1-10-2``), or numeric order with ``numeric_months``.
     """
@@ -39,7 +40,7 @@ def carrier_profile(
         F.min(delay).alias("min_delay"),
         F.max(delay).alias("max_delay"),
         F.avg(delay).alias("_avg"),
-        F.sum(cancelled).alias("_cancelled"),
+        F.sum(F.coalesce(F.col(cancelled), F.lit(0))).alias("_cancelled"),
         F.bit_or(month_bit(month)).alias("_months"),
     )
     return agg.select(
@@ -77,13 +78,14 @@ def tier_stats(
     whose tier counts are 0 and averages null); a null ``arr`` (diverted)
     is left out of the arrival average, not counted as 0.
     """
-    tier = delay_tier(dep, cancelled, low, high)
+    rows = df.select(*keys, delay_tier(dep, cancelled, low, high).alias("_tier"), F.col(dep).alias("_dep"), F.col(arr).alias("_arr"))
+    tier = F.col("_tier")
     aggs = []
     for t in TIERS:
         label = TIER_LABELS[t]
         aggs += [
             F.count(_in(tier, label, F.lit(1))).alias(f"count_{t}"),
-            round2(F.avg(_in(tier, label, F.col(dep)))).alias(f"avg_dep_{t}"),
-            round2(F.avg(_in(tier, label, F.col(arr)))).alias(f"avg_arr_{t}"),
+            round2(F.avg(_in(tier, label, F.col("_dep")))).alias(f"avg_dep_{t}"),
+            round2(F.avg(_in(tier, label, F.col("_arr")))).alias(f"avg_arr_{t}"),
         ]
-    return df.groupBy(*keys).agg(*aggs)
+    return rows.groupBy(*keys).agg(*aggs)

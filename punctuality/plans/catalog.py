@@ -45,7 +45,7 @@ SELECT op_unique_carrier, origin,
        min(arr_delay) AS min_delay,
        max(arr_delay) AS max_delay,
        CAST(round(CAST(avg(arr_delay) AS DECIMAL(18,6)), 2) AS DOUBLE) AS avg_delay,
-       CAST(round(CAST(CAST(sum(cancelled) AS DOUBLE) * 100 / count(*) AS DECIMAL(18,6)), 2) AS DOUBLE)
+       CAST(round(CAST(CAST(sum(coalesce(cancelled, 0)) AS DOUBLE) * 100 / count(*) AS DECIMAL(18,6)), 2) AS DOUBLE)
          AS cancellation_rate,
        array_join(array_sort(collect_set(CAST(month AS STRING))), '-') AS months_active
 FROM {view}

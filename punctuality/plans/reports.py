@@ -61,20 +61,26 @@ def delay_report(
     ``count_/avg_dep_/avg_arr_`` for low/medium/high, then ``cause_i, count_i``
     for the top ``k`` causes (count desc, cause asc; null when fewer)."""
     keys = list(keys)
-    tier = delay_tier(dep, cancelled, low, high)
-    code_key = F.when(is_cancelled(cancelled) & valid_code(code), F.col(code)).alias("_code")
-
+    # Project the per-row inputs once, so the aggregate refers to plain columns.
+    rows = df.select(
+        *keys,
+        delay_tier(dep, cancelled, low, high).alias("_tier"),
+        F.col(dep).alias("_dep"),
+        F.col(arr).alias("_arr"),
+        F.when(is_cancelled(cancelled) & valid_code(code), F.col(code)).alias("_code"),
+        *[(F.col(c) > 0).alias(f"_has_{c}") for c in causes],
+    )
     fine = [F.count(F.lit(1)).alias("_n")]
     for t in TIERS:
-        in_t = tier == TIER_LABELS[t]
+        in_t = F.col("_tier") == TIER_LABELS[t]
         fine += [
             F.count(F.when(in_t, F.lit(1))).alias(f"_n_{t}"),
-            F.sum(F.when(in_t, F.col(dep))).alias(f"_sd_{t}"),
-            F.sum(F.when(in_t, F.col(arr))).alias(f"_sa_{t}"),
-            F.count(F.when(in_t, F.col(arr))).alias(f"_ca_{t}"),
+            F.sum(F.when(in_t, F.col("_dep"))).alias(f"_sd_{t}"),
+            F.sum(F.when(in_t, F.col("_arr"))).alias(f"_sa_{t}"),
+            F.count(F.when(in_t, F.col("_arr"))).alias(f"_ca_{t}"),
         ]
-    fine += [F.count(F.when(F.col(c) > 0, F.lit(1))).alias(f"_k_{c}") for c in causes]
-    by_code = df.groupBy(*keys, code_key).agg(*fine)
+    fine += [F.count(F.when(F.col(f"_has_{c}"), F.lit(1))).alias(f"_k_{c}") for c in causes]
+    by_code = rows.groupBy(*keys, "_code").agg(*fine)
 
     # Each fine row becomes entries: one "stats" entry (kind 0) with its tier
     # sums, and one per cause (kind 1): its cancellation code, if any, and

@@ -25,6 +25,9 @@ def get_session(
         b = b.master(master)
     conf = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        # No Python call-site capture per DataFrame call (saves py4j round trips).
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
