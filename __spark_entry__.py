@@ -187,6 +187,7 @@ ORACLE: dict[str, str] = {
     "cause_rows": _CAUSE_ROWS,
     "cause_rows_union": _CAUSE_ROWS,
     "cause_counts": _with(_FLIGHTS, _CAUSES, _COUNTS) + "SELECT * FROM counts",
+    "cause_counts_exploded": _with(_FLIGHTS, _CAUSES, _COUNTS) + "SELECT * FROM counts",
     "top_causes_rows": _with(_FLIGHTS, _CAUSES, _COUNTS, _RANKED)
     + "SELECT origin, month, rnk, cause, cause_count FROM ranked WHERE rnk <= 3",
     "top_causes_text": _with(_FLIGHTS, _CAUSES, _COUNTS, _RANKED)

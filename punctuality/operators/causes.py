@@ -62,11 +62,60 @@ def explode_causes_union(
     return reduce(DataFrame.unionByName, parts)
 
 
+# Cause tallies at (keys..., cancellation code) grain -------------------------
+#
+# A flight has at most one cancellation code, so grouping by (keys, code)
+# counts each code exactly, while the delay causes are plain conditional
+# counts. The aggregate has fixed-width buffers only: one code-generated
+# partial + final HashAggregate per row, however many causes a row has.
+
+CODE_COL = "_code"
+ROWS_COL = "_n"
+
+
+def cause_inputs(
+    causes: dict[str, str] = CAUSE_LABELS,
+    cancelled: str = "cancelled",
+    code: str = "cancellation_code",
+) -> list[Column]:
+    """Per-row inputs: the valid cancellation code (else null) and one flag per delay cause."""
+    return [
+        F.when(is_cancelled(cancelled) & valid_code(code), F.col(code)).alias(CODE_COL),
+        *[(F.col(c) > 0).alias(f"_has_{c}") for c in causes],
+    ]
+
+
+def cause_tallies(causes: dict[str, str] = CAUSE_LABELS) -> list[Column]:
+    """Aggregates over the inputs: rows, and rows per delay cause."""
+    return [F.count(F.lit(1)).alias(ROWS_COL)] + [
+        F.count(F.when(F.col(f"_has_{c}"), F.lit(1))).alias(f"_k_{c}") for c in causes
+    ]
+
+
+def cause_items(causes: dict[str, str] = CAUSE_LABELS) -> list[tuple[Column, Column]]:
+    """(cause, count) of one tally row: its code's cancellations, then each delay cause."""
+    return [(F.concat(F.lit(CANCEL_PREFIX), F.col(CODE_COL)), F.col(ROWS_COL))] + [
+        (F.lit(label), F.col(f"_k_{c}")) for c, label in causes.items()
+    ]
+
+
 def cause_counts(
     df: DataFrame,
     keys: tuple[str, ...] = ("origin", "month"),
-    **kw,
+    causes: dict[str, str] = CAUSE_LABELS,
+    cancelled: str = "cancelled",
+    code: str = "cancellation_code",
 ) -> DataFrame:
-    """(keys..., cause, cause_count). Explode and partial count run in the
-    same stage, so the shuffle carries at most one row per (group, cause) per task."""
+    """(keys..., cause, cause_count) for causes seen at least once."""
+    keys = list(keys)
+    tallies = df.select(*keys, *cause_inputs(causes, cancelled, code)).groupBy(*keys, CODE_COL).agg(*cause_tallies(causes))
+    items = F.array(*[F.struct(c.alias("cause"), n.alias("cause_count")) for c, n in cause_items(causes)])
+    seen = F.filter(items, lambda x: x["cause"].isNotNull() & (x["cause_count"] > 0))
+    rows = tallies.select(*keys, F.explode(seen).alias("_i")).select(*keys, "_i.cause", "_i.cause_count")
+    return rows.groupBy(*keys, "cause").agg(F.sum("cause_count").alias("cause_count"))
+
+
+def cause_counts_exploded(df: DataFrame, keys: tuple[str, ...] = ("origin", "month"), **kw) -> DataFrame:
+    """Same result by exploding one row per (flight, cause) first (the
+    original shape; up to six rows per flight enter the aggregation)."""
     return explode_causes(df, keys, **kw).groupBy(*keys, "cause").agg(F.count(F.lit(1)).alias("cause_count"))

@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from punctuality.functions.numeric import round2
 from punctuality.functions.text import cause_label, format_causes, format_tier
-from punctuality.functions.tiers import delay_tier, is_cancelled
+from punctuality.functions.tiers import delay_tier
 from punctuality.operators.aggregates import TIER_LABELS, carrier_profile, carrier_profile_text, tier_stats
-from punctuality.operators.causes import cause_counts, valid_code
+from punctuality.operators.causes import CODE_COL, cause_counts_exploded, cause_inputs, cause_items, cause_tallies
 from punctuality.operators.ordering import apply_order
 from punctuality.operators.topk import top_cause_rows, top_k_per_group
 from punctuality.schemas import (
-    CANCEL_PREFIX,
     CAUSE_LABELS,
     HIGH_BOUND,
     LOW_BOUND,
@@ -67,10 +66,9 @@ def delay_report(
         delay_tier(dep, cancelled, low, high).alias("_tier"),
         F.col(dep).alias("_dep"),
         F.col(arr).alias("_arr"),
-        F.when(is_cancelled(cancelled) & valid_code(code), F.col(code)).alias("_code"),
-        *[(F.col(c) > 0).alias(f"_has_{c}") for c in causes],
+        *cause_inputs(causes, cancelled, code),
     )
-    fine = [F.count(F.lit(1)).alias("_n")]
+    fine = cause_tallies(causes)
     for t in TIERS:
         in_t = F.col("_tier") == TIER_LABELS[t]
         fine += [
@@ -79,8 +77,7 @@ def delay_report(
             F.sum(F.when(in_t, F.col("_arr"))).alias(f"_sa_{t}"),
             F.count(F.when(in_t, F.col("_arr"))).alias(f"_ca_{t}"),
         ]
-    fine += [F.count(F.when(F.col(f"_has_{c}"), F.lit(1))).alias(f"_k_{c}") for c in causes]
-    by_code = rows.groupBy(*keys, "_code").agg(*fine)
+    by_code = rows.groupBy(*keys, CODE_COL).agg(*fine)
 
     # Each fine row becomes entries: one "stats" entry (kind 0) with its tier
     # sums, and one per cause (kind 1): its cancellation code, if any, and
@@ -88,7 +85,7 @@ def delay_report(
     # rolls the codes of a group together; repartitioning by (origin, month)
     # first lets that sum, the ranking window and the final pivot share one
     # exchange, whose input is a few rows per group, not per flight.
-    sums = [c for c in by_code.columns if c.startswith("_") and c not in ("_code", "_n") and not c.startswith("_k_")]
+    sums = [f"_{s}_{t}" for t in TIERS for s in ("n", "sd", "sa", "ca")]
     no_sums = [F.lit(None).cast(by_code.schema[c].dataType).alias(c) for c in sums]
     entry = lambda kind, cause, n, tail: F.struct(
         F.lit(kind).alias("kind"), cause.cast("string").alias("cause"), n.cast("long").alias("cause_count"), *tail
@@ -98,8 +95,7 @@ def delay_report(
         F.explode(
             F.array(
                 entry(0, F.lit(None), F.lit(0), [F.col(c) for c in sums]),
-                entry(1, F.concat(F.lit(CANCEL_PREFIX), F.col("_code")), F.col("_n"), no_sums),
-                *[entry(1, F.lit(label), F.col(f"_k_{c}"), no_sums) for c, label in causes.items()],
+                *[entry(1, cause, n, no_sums) for cause, n in cause_items(causes)],
             )
         ).alias("e"),
     ).select(*keys, "e.*")
@@ -133,11 +129,12 @@ def delay_report(
 
 
 def delay_report_from_parts(df: DataFrame, keys=REPORT_KEYS, k: int = 3, order: str | None = None) -> DataFrame:
-    """The same typed report composed from :func:`tier_stats` and
-    :func:`cause_counts` (two scans of ``df``). Cross-check for :func:`delay_report`."""
+    """The same typed report in the original shape: :func:`tier_stats`
+    left-joined with the top causes of :func:`cause_counts_exploded` (two
+    scans of ``df``). Cross-check for :func:`delay_report`."""
     keys = list(keys)
     stats = tier_stats(df, tuple(keys))
-    top = _flatten_top(top_cause_rows(cause_counts(df, tuple(keys)), tuple(keys), k), keys, k)
+    top = _flatten_top(top_cause_rows(cause_counts_exploded(df, tuple(keys)), tuple(keys), k), keys, k)
     return apply_order(stats.join(top, keys, "left"), keys, order)
 
 
