@@ -25,9 +25,9 @@ HEADLINE = [
     "carrier_profile_sql",
     "carrier_profile_text",
     "tier_stats",
+    "cause_counts",
     "top_causes_text",
     "delay_report",
-    "delay_report_from_parts",
     "delay_report_text",
     "prep_causes",
     "null_profile",

@@ -30,6 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("input")
     p.add_argument("output")
     p.add_argument("--input-format", default="csv")
+    p.add_argument("--output-format", default="csv", help="prepare: csv (with header) or parquet")
     p.add_argument("--order", choices=["global", "clustered"], default=None)
     p.add_argument("--single-file", action="store_true")
     p.add_argument("--partition-by", default=None, help="repartition the report by this column before writing")
@@ -54,13 +55,19 @@ def run(spark: SparkSession, argv: list[str]) -> None:
             out = delay_report_text(out)
         write_report(out, a.output, keys=REPORT_KEYS, order=a.order, partition_by=a.partition_by, single_file=a.single_file)
     else:
+        # Each dataset is written once from the raw input; the sample and the
+        # copies are then read back from that output (column-pruned and
+        # splittable when parquet), not recomputed from the raw files.
         raw = read_flights(spark, a.input, FLIGHTS_RAW, fmt=a.input_format)
         for name, ds in (("carrier", to_carrier_dataset(raw)), ("causes", to_cause_dataset(raw))):
-            write_dataset(ds, f"{a.output}/{name}", fmt="csv")
+            path = f"{a.output}/{name}"
+            write_dataset(ds, path, fmt=a.output_format)
+            if a.sample or a.replicate:
+                written = read_flights(spark, path, ds.schema, fmt=a.output_format)
             if a.sample:
-                write_dataset(sample_exact(ds, a.sample, a.seed), f"{a.output}/{name}_sample", fmt="csv")
+                write_dataset(sample_exact(written, a.sample, a.seed), f"{path}_sample", fmt=a.output_format)
             if a.replicate:
-                write_dataset(replicate(ds, a.replicate), f"{a.output}/{name}_x{a.replicate}", fmt="csv")
+                write_dataset(replicate(written, a.replicate), f"{path}_x{a.replicate}", fmt=a.output_format)
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from punctuality.operators.aggregates import carrier_profile
-from punctuality.operators.causes import explode_causes, explode_causes_union
+from punctuality.operators.causes import cause_counts, cause_counts_exploded, explode_causes, explode_causes_union
 from punctuality.operators.sampling import replicate, sample_exact
 from punctuality.plans.reports import delay_report, delay_report_from_parts
 
@@ -56,6 +56,21 @@ def test_carrier_profile_vs_brute(spark, rows):
     assert got == brute.carrier_profile(rows)
 
 
+@SETTINGS
+@given(st.lists(ROW, max_size=80))
+def test_cause_counts_vs_brute(spark, rows):
+    from collections import Counter
+
+    want = Counter()
+    for r in rows:
+        for c in brute.causes_of(r):
+            want[(r["origin"], r["month"], c)] += 1
+    df = _df(spark, rows)
+    for build in (cause_counts, cause_counts_exploded):
+        got = {(r.origin, r.month, r.cause): r.cause_count for r in build(df).collect()}
+        assert got == dict(want)
+
+
 @SETTINGS
 @given(st.lists(ROW, min_size=1, max_size=60))
 def test_union_and_explode_causes_agree(spark, rows):

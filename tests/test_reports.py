@@ -64,3 +64,36 @@ def test_month_out_of_range_fails(spark):
     bad = edge_flights(spark).withColumn("month", F.lit(13))
     with pytest.raises(PySparkException):
         carrier_profile(bad).collect()
+
+
+def test_profiles_on_edge_fixture(spark):
+    from pyspark.sql import functions as F
+
+    from punctuality.operators.profile import (
+        cancelled_null_check,
+        dataset_shape,
+        distinct_profile,
+        diverted_check,
+        null_profile,
+        value_counts,
+    )
+
+    df = edge_flights(spark)
+    n = df.count()
+    nulls = {r.column_name: (r.null_count, r.null_pct) for r in null_profile(df).collect()}
+    assert nulls["dep_delay"] == (5, round(5 * 100 / n, 2))
+    assert nulls["origin"] == (0, 0.0)
+    distinct = {r.column_name: r.distinct_count for r in distinct_profile(df, ["month", "cancellation_code"]).collect()}
+    assert distinct == {"month": 4, "cancellation_code": 4}  # N, A, B, '' (null not counted)
+    approx = {r.column_name: r.distinct_count for r in distinct_profile(df, ["month"], approx=True).collect()}
+    assert approx == {"month": 4}
+    vc = value_counts(df, "cancellation_code").collect()
+    assert vc[0].cancellation_code == "N" and [r.frequency for r in vc] == sorted((r.frequency for r in vc), reverse=True)
+    assert cancelled_null_check(df).first().asDict() == {"cancelled_flights": 5, "cancelled_null_delay": 5}
+    assert dataset_shape(df).first().asDict() == {"n_rows": n, "n_columns": 12}
+    # diverted_check verdicts
+    d = df.withColumn("diverted", F.when(F.col("arr_delay").isNull() & (F.col("cancelled") == 0), 1).otherwise(0))
+    assert diverted_check(d).first().verdict == "confirmed"
+    assert diverted_check(d.withColumn("diverted", F.lit(0))).first().verdict == "refuted"
+    extra = d.unionByName(d.limit(1).withColumn("arr_delay", F.lit(None).cast("double")).withColumn("cancelled", F.lit(0.0)).withColumn("diverted", F.lit(0)))
+    assert diverted_check(extra).first().verdict == "partial"
