@@ -61,14 +61,34 @@ def parse_flights_text(
     lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
     if header:
         lines = lines.filter(F.col("value") != F.lit(sep.join(names)))
-    fields = F.split(F.col("value"), _regex_quote(sep), -1)
-    raw = [F.nullif(F.trim(F.get(fields, i)), F.lit("")) for i in range(len(names))]
-    typed = [r.try_cast(f.dataType) if not isinstance(f.dataType, T.StringType) else r for r, f in zip(raw, schema.fields)]
-    bad = F.array_compact(F.array(*[F.when(r.isNotNull() & t.isNull(), F.lit(n)) for r, t, n in zip(raw, typed, names)]))
-    error = F.when(
-        F.size(fields) != len(names), F.concat(F.lit("field_count:"), F.size(fields).cast("string"))
-    ).when(F.size(bad) > 0, F.concat(F.lit("bad_value:"), F.array_join(bad, ",")))
-    return lines.select(*[t.alias(n) for t, n in zip(typed, names)], "value", error.alias(ERROR_COL))
+    # One projection per step, so that the split and each cast run once per line.
+    split = lines.select("value", F.split(F.col("value"), _regex_quote(sep), -1).alias("_f"))
+    raw = split.select(
+        "value",
+        F.size("_f").alias("_nf"),
+        *[F.nullif(F.trim(F.get(F.col("_f"), i)), F.lit("")).alias(f"_r{i}") for i in range(len(names))],
+    )
+    typed = raw.select(
+        "value",
+        "_nf",
+        *[F.col(f"_r{i}") for i in range(len(names))],
+        *[
+            (F.col(f"_r{i}") if isinstance(f.dataType, T.StringType) else F.col(f"_r{i}").try_cast(f.dataType)).alias(f.name)
+            for i, f in enumerate(schema.fields)
+        ],
+    )
+    # concat_ws skips nulls: the names of the fields that failed to cast, or ''.
+    bad = F.concat_ws(
+        ",", *[F.when(F.col(f"_r{i}").isNotNull() & F.col(f"`{n}`").isNull(), F.lit(n)) for i, n in enumerate(names)]
+    )
+    error = F.when(F.col("_nf") != len(names), F.concat(F.lit("field_count:"), F.col("_nf").cast("string"))).when(
+        bad != "", F.concat(F.lit("bad_value:"), bad)
+    )
+    # The one-row inline is a Generate, which filters are not pushed below:
+    # a later filter on ``_error`` reads the finished column instead of
+    # having every field's parse inlined into the filter and computed twice.
+    row = F.struct(*[F.col(f"`{n}`") for n in names], F.col("value"), error.alias(ERROR_COL))
+    return typed.select(F.inline(F.array(row)))
 
 
 def read_flights_text(spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW, **kw) -> tuple[DataFrame, DataFrame]:

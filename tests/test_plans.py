@@ -46,3 +46,18 @@ def test_prep_filter_pushed_to_scan(spark, tmp_path):
     plan = _plan(prepared)
     assert "PushedFilters: [IsNotNull(op_unique_carrier), IsNotNull(origin), IsNotNull(month), IsNotNull(cancelled)]" in plan
     assert "ReadSchema: struct<op_unique_carrier:string,origin:string,month:int,arr_delay:double,cancelled:int>" in plan
+
+
+def test_text_reader_splits_each_line_once(spark, tmp_path):
+    from punctuality.schemas import FLIGHTS_CAUSES
+    from punctuality.sources.files import read_flights_text
+
+    path = tmp_path / "lines.txt"
+    path.write_text("JFK,1,5.0,6.0,0.0,N,0,0,0,0,0\n")
+    good, rejected = read_flights_text(spark, str(path), FLIGHTS_CAUSES)
+    for df in (good, rejected):
+        plan = _plan(df)
+        assert plan.count("split(") == 1
+        assert "Filter isnull(_error" in plan or "Filter isnotnull(_error" in plan
+        # everything runs in whole-stage codegen (no interpreted filter)
+        assert "\n+- Filter" not in plan and "\n   +- Filter" not in plan
