@@ -4,23 +4,27 @@
     python run_job.py delay_report IN OUT --order global --single-file
     python run_job.py prepare RAW OUT --sample 0.01 --replicate 10
 
-Inputs are CSV with a header (``--input-format parquet`` for parquet);
-outputs are replaced. Reports are written as tab-separated text without
-a header, like the original jobs' output.
+Inputs are comma-separated lines with a header. By default they are read
+line by line (``--input-format text``): a line with the wrong number of
+fields or a value that is not a number is left out of the report and
+written to ``OUT_rejected`` with its reason, and the counts per reason are
+printed. ``--input-format csv`` uses Spark's CSV reader (quoted fields),
+``parquet`` reads parquet. Outputs are replaced. Reports are written as
+tab-separated text without a header, like the original jobs' output.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from punctuality.operators.prep import to_carrier_dataset, to_cause_dataset
 from punctuality.operators.sampling import replicate, sample_exact
 from punctuality.plans.reports import PROFILE_KEYS, REPORT_KEYS, carrier_report, delay_report, delay_report_text
 from punctuality.schemas import FLIGHTS_CARRIER, FLIGHTS_CAUSES, FLIGHTS_RAW
 from punctuality.session import ensure_checkpoint_dir
-from punctuality.sources.files import read_flights
+from punctuality.sources.files import read_flights, read_flights_text, rejected_summary
 from punctuality.sources.sinks import write_dataset, write_report
 
 
@@ -29,7 +33,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("job", choices=["carrier_profile", "delay_report", "prepare"])
     p.add_argument("input")
     p.add_argument("output")
-    p.add_argument("--input-format", default="csv")
+    p.add_argument("--input-format", choices=["text", "csv", "parquet"], default="text")
+    p.add_argument("--no-rejected", action="store_true", help="text input: do not write or count rejected lines")
     p.add_argument("--output-format", default="csv", help="prepare: csv (with header) or parquet")
     p.add_argument("--order", choices=["global", "clustered"], default=None)
     p.add_argument("--single-file", action="store_true")
@@ -41,15 +46,27 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _read(spark: SparkSession, a: argparse.Namespace, schema) -> DataFrame:
+    if a.input_format != "text":
+        return read_flights(spark, a.input, schema, fmt=a.input_format)
+    good, rejected = read_flights_text(spark, a.input, schema)
+    if not a.no_rejected:
+        path = a.output.rstrip("/") + "_rejected"
+        write_report(rejected, path, fmt="tsv")
+        counts = {r.reason: r.lines for r in rejected_summary(spark.read.option("sep", "\t").csv(path).toDF("value", "_error")).collect()}
+        print(f"rejected lines: {sum(counts.values())} {counts} -> {path}")
+    return good
+
+
 def run(spark: SparkSession, argv: list[str]) -> None:
     a = _parser().parse_args(argv)
     ensure_checkpoint_dir(spark)
     if a.job == "carrier_profile":
-        df = read_flights(spark, a.input, FLIGHTS_CARRIER, fmt=a.input_format)
+        df = _read(spark, a, FLIGHTS_CARRIER)
         out = carrier_report(df, text=not a.typed)
         write_report(out, a.output, keys=PROFILE_KEYS, order=a.order, partition_by=a.partition_by, single_file=a.single_file)
     elif a.job == "delay_report":
-        df = read_flights(spark, a.input, FLIGHTS_CAUSES, fmt=a.input_format)
+        df = _read(spark, a, FLIGHTS_CAUSES)
         out = delay_report(df)
         if not a.typed:
             out = delay_report_text(out)
@@ -58,12 +75,12 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         # Each dataset is written once from the raw input; the sample and the
         # copies are then read back from that output (column-pruned and
         # splittable when parquet), not recomputed from the raw files.
-        raw = read_flights(spark, a.input, FLIGHTS_RAW, fmt=a.input_format)
+        raw = _read(spark, a, FLIGHTS_RAW)
         for name, ds in (("carrier", to_carrier_dataset(raw)), ("causes", to_cause_dataset(raw))):
             path = f"{a.output}/{name}"
             write_dataset(ds, path, fmt=a.output_format)
             if a.sample or a.replicate:
-                written = read_flights(spark, path, ds.schema, fmt=a.output_format)
+                written = read_flights(spark, path, ds.schema, fmt=a.output_format)  # quoted CSV or parquet
             if a.sample:
                 write_dataset(sample_exact(written, a.sample, a.seed), f"{path}_sample", fmt=a.output_format)
             if a.replicate:
