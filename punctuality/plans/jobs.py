@@ -46,6 +46,9 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+REJECTED_SCHEMA = "value STRING, _error STRING"
+
+
 def _read(spark: SparkSession, a: argparse.Namespace, schema) -> DataFrame:
     if a.input_format != "text":
         return read_flights(spark, a.input, schema, fmt=a.input_format)
@@ -53,7 +56,7 @@ def _read(spark: SparkSession, a: argparse.Namespace, schema) -> DataFrame:
     if not a.no_rejected:
         path = a.output.rstrip("/") + "_rejected"
         write_report(rejected, path, fmt="tsv")
-        counts = {r.reason: r.lines for r in rejected_summary(spark.read.option("sep", "\t").csv(path).toDF("value", "_error")).collect()}
+        counts = {r.reason: r.lines for r in rejected_summary(spark.read.schema(REJECTED_SCHEMA).option("sep", "\t").csv(path)).collect()}
         print(f"rejected lines: {sum(counts.values())} {counts} -> {path}")
     return good
 
