@@ -32,7 +32,7 @@ HEADLINE = [
     "prep_causes",
     "null_profile",
     "distinct_profile",
-    "sample_exact",
+    "sample_exact_xxhash",
     "replicate",
     "csv_roundtrip",
     "text_good_rows",

@@ -1,13 +1,20 @@
 """Exact-size deterministic samples and enlarged copies.
 
-``sample_exact`` returns exactly ``round(frac * N)`` rows: those whose
-``md5(seed-key)`` text comes first. It never sorts or moves the whole
-input: a histogram over the first hex digits of the hash (at most 65,536
-buckets) finds the bucket where the cut falls; every row of an earlier
-bucket is in, and only the rows of that bucket are refined again. Once
-the bucket holds at most ``max_final`` rows it is ordered in one task, a
-proven bound. Rows whose hashes are all equal (copies of one row) are
-taken by position instead, see :func:`take_exact`.
+``sample_exact`` returns exactly ``round(frac * N)`` rows: those whose row
+hash (then row values) comes first. It never sorts or moves the whole
+input. One pass builds a histogram over the first four hex digits of the
+hash (at most 65,536 buckets) and finds the bucket where the cut falls;
+the rows up to that bucket (about the sample plus one bucket) are
+checkpointed with their hash, and everything after reads only them: the
+cut bucket is refined again if it is large, and ordered in one task only
+once it holds at most ``max_final`` rows, a proven bound. Rows that all
+share one hash (copies of one row) are taken by position instead, see
+:func:`take_exact`.
+
+Two hash definitions: ``xxhash64`` over the typed columns (default; about
+a plain scan's cost) and ``md5`` over the row as text
+(``md5('seed-v1-v2-...')``, nulls as ``\\N``), which any SQL engine can
+reproduce, at about four times the cost (turning doubles into text).
 """
 
 from __future__ import annotations
@@ -18,16 +25,25 @@ from pyspark.sql import functions as F
 from punctuality.session import ensure_checkpoint_dir
 
 HASH_COL = "_sample_h"
-HASH_LEN = 32  # hex digits of md5
+HASH_LEN = {"md5": 32, "xxhash64": 16}  # hex digits
 STEP = 4  # hex digits per refinement: 16**4 = 65,536 buckets
 MAX_FINAL = 1 << 20  # rows the last step may order in a single task
 
 
-def sample_key(df: DataFrame, seed: int = 42, key_cols=None) -> Column:
-    """``md5(seed-v1-v2-...)`` over the key columns as text, nulls as ``\\N``."""
+def row_hash(df: DataFrame, seed: int = 42, key_cols=None, method: str = "xxhash64") -> Column:
+    """Fixed-width hex text of the row hash; its text order is the sample order."""
     cols = list(key_cols or df.columns)
-    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in cols]
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), *parts))
+    if method == "md5":
+        parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in cols]
+        return F.md5(F.concat_ws("-", F.lit(str(seed)), *parts))
+    if method == "xxhash64":
+        return F.lpad(F.hex(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in cols])), HASH_LEN[method], "0")
+    raise ValueError(f"unknown hash method {method!r}")
+
+
+def sample_key(df: DataFrame, seed: int = 42, key_cols=None) -> Column:
+    """The portable key: ``md5(seed-v1-v2-...)`` over the key columns as text."""
+    return row_hash(df, seed, key_cols, "md5")
 
 
 def sample_size(total: int, frac: float) -> int:
@@ -53,12 +69,26 @@ def take_exact(df: DataFrame, n: int) -> DataFrame:
     return ids.join(F.broadcast(offsets), "_pid").filter(keep).drop("_pid", "_id", "_first", "_before")
 
 
+def _cut(pool: DataFrame, prefix: str, need: int):
+    """One pass over ``pool``: the next-digit bucket holding the ``need``-th row.
+
+    Returns (bucket prefix, its rows, rows still needed from it). Counting
+    by a string key is a code-generated hash aggregate (no min/max of the
+    hash text, which would make Spark sort every row by bucket)."""
+    hist = pool.groupBy(F.substring(F.col(HASH_COL), len(prefix) + 1, STEP).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    # at most 65,536 rows: one window partition is a proven bound
+    upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = hist.withColumn("cum", F.sum("c").over(upto)).filter(F.col("cum") >= need).orderBy("b").first()
+    return prefix + cut["b"], cut["c"], need - (cut["cum"] - cut["c"])
+
+
 def sample_exact(
     df: DataFrame,
     frac: float | None = 0.01,
     seed: int = 42,
     n: int | None = None,
     key_cols=None,
+    method: str = "xxhash64",
     max_final: int = MAX_FINAL,
 ) -> DataFrame:
     """Exactly ``n`` (or ``round(frac * count)``) rows without replacement,
@@ -70,29 +100,26 @@ def sample_exact(
         return df.limit(0)
     if need == total:
         return df
-    cols = list(df.columns)
-    hashed = df.withColumn(HASH_COL, sample_key(df, seed, key_cols))
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.withColumn(HASH_COL, row_hash(df, seed, key_cols, method))
     h = F.col(HASH_COL)
-    prefix, pool_rows, same_hash = "", total, False
-    while pool_rows > max_final and len(prefix) < HASH_LEN:
-        pool = hashed.filter(h.startswith(prefix)) if prefix else hashed
-        hist = pool.groupBy(F.substring(h, len(prefix) + 1, STEP).alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.min(h).alias("lo"), F.max(h).alias("hi")
-        )
-        upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cut = hist.withColumn("cum", F.sum("c").over(upto)).filter(F.col("cum") >= need).orderBy("b").first()
-        need -= cut["cum"] - cut["c"]  # every row of an earlier bucket is in
-        prefix, pool_rows = prefix + cut["b"], cut["c"]
-        if cut["lo"] == cut["hi"]:
-            prefix, same_hash = cut["lo"], True
-            break
-    earlier = hashed.filter(F.substring(h, 1, len(prefix)) < F.lit(prefix)) if prefix else hashed.limit(0)
-    pool = hashed.filter(h.startswith(prefix)) if prefix else hashed
-    if same_hash or pool_rows > max_final:
+    if total <= max_final:
+        return hashed.orderBy(h, *cols).limit(need).select(*cols)
+
+    prefix, pool_rows, need = _cut(hashed, "", need)
+    # Rows up to the cut bucket, with their hash, to the shared checkpoint
+    # folder: later steps read about `need` rows instead of the input.
+    ensure_checkpoint_dir(df.sparkSession)
+    cand = hashed.filter(F.substring(h, 1, len(prefix)) <= F.lit(prefix)).checkpoint()
+    while pool_rows > max_final and len(prefix) < HASH_LEN[method]:
+        prefix, pool_rows, need = _cut(cand.filter(h.startswith(prefix)), prefix, need)
+    earlier = cand.filter(F.substring(h, 1, len(prefix)) < F.lit(prefix))
+    pool = cand.filter(h.startswith(prefix))
+    if pool_rows <= max_final:
+        tail = pool.orderBy(h, *cols).limit(need)
+    else:  # full hash reached, more than max_final rows share it: copies, taken by position
         tail = take_exact(pool, need)
-    else:
-        tail = pool.orderBy(h, *[F.col(f"`{c}`") for c in cols]).limit(need)
-    return earlier.unionByName(tail).select(*[F.col(f"`{c}`") for c in cols])
+    return earlier.unionByName(tail).select(*cols)
 
 
 def replicate(df: DataFrame, k: int) -> DataFrame:

@@ -137,7 +137,8 @@ QUERIES: dict[str, Query] = {
     # Preparation
     "prep_carrier": lambda s, d: to_carrier_dataset(flights_raw(s, d)),
     "prep_causes": lambda s, d: to_cause_dataset(flights_raw(s, d)),
-    "sample_exact": lambda s, d: sample_exact(to_carrier_dataset(flights_raw(s, d)), 0.01, seed=42),
+    "sample_exact": lambda s, d: sample_exact(to_carrier_dataset(flights_raw(s, d)), 0.01, seed=42, method="md5"),
+    "sample_exact_xxhash": lambda s, d: sample_exact(to_carrier_dataset(flights_raw(s, d)), 0.01, seed=42),
     "replicate": lambda s, d: replicate(to_carrier_dataset(flights_raw(s, d)), 10),
     # Profiling
     "null_profile": lambda s, d: null_profile(flights_raw(s, d)),

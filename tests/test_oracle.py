@@ -8,8 +8,13 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 
 
+# Queries no DuckDB SQL can reproduce (Spark's xxhash64); checked for row
+# count here and against a full sort in tests/test_properties.py.
+ROWS_ONLY = {"sample_exact_xxhash"}
+
+
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) == set(entry.queries()) - ROWS_ONLY
 
 
 def test_entry_smoke(spark):
@@ -23,9 +28,13 @@ def results(spark):
     return compare(spark, SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
 def test_query_matches_oracle(results, name):
     r = results[name]
     assert r["cols_match"], r
     assert r["rows"] == r["oracle_rows"], r
     assert r["hash_match"], r
+
+
+def test_rows_only_queries(results):
+    assert results["sample_exact_xxhash"]["rows"] == results["sample_exact"]["rows"]

@@ -127,17 +127,28 @@ def test_sample_exact_copies_of_one_row(spark):
     # taken by position (take_exact), not ordered in one task.
     one = spark.range(1).select(F.lit(1).cast("long").alias("id"), F.lit(1).cast("long").alias("g"))
     copies = replicate(one, 3000).repartition(4).unionByName(_numbers(spark, 1000, 3))
-    got = sorted(tuple(r) for r in sample_exact(copies, 0.5, seed=1, max_final=50).collect())
+    got = sorted(tuple(r) for r in sample_exact(copies, 0.5, seed=1, method="md5", max_final=50).collect())
     rows = [(1, 1)] * 3000 + [(i, i % 7) for i in range(1000)]
     assert got == sorted(_brute_sample(rows, 2000, 1))
 
 
 def test_sample_exact_matches_md5_order(spark):
     rows = [(i, i % 7) for i in range(3000)]
-    got = sorted(tuple(r) for r in sample_exact(_numbers(spark, 3000, 4), 0.02, seed=42, max_final=16).collect())
+    got = sorted(tuple(r) for r in sample_exact(_numbers(spark, 3000, 4), 0.02, seed=42, method="md5", max_final=16).collect())
     assert got == sorted(_brute_sample(rows, 60, 42))
 
 
+def test_sample_exact_xxhash_matches_full_sort(spark):
+    from punctuality.operators.sampling import HASH_COL, row_hash
+
+    df = _numbers(spark, 4000, 5).unionByName(replicate(_numbers(spark, 50, 1), 30))
+    brute = df.withColumn(HASH_COL, row_hash(df, 9)).orderBy(HASH_COL, "id", "g").limit(333).drop(HASH_COL)
+    want = sorted(tuple(r) for r in brute.collect())
+    for max_final in (1 << 20, 64, 8):
+        got = sorted(tuple(r) for r in sample_exact(df, None, seed=9, n=333, max_final=max_final).collect())
+        assert got == want, max_final
+
+
 def test_sample_exact_edges(spark):
     df = _numbers(spark, 100, 3)
     assert sample_exact(df, 0.0).count() == 0
