@@ -58,11 +58,11 @@ RAW_COLUMNS = [
 
 
 def _r2(x: str) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE)"
+    return f"CAST(round(CAST({x} AS DECIMAL(38,6)), 2) AS DOUBLE)"
 
 
 def _txt2(x: str) -> str:
-    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR)"
+    return f"CAST(CAST({x} AS DECIMAL(38,2)) AS VARCHAR)"
 
 
 _FLIGHTS = f"flights AS ({flights_sql('lineitem')})"

@@ -2,7 +2,7 @@
 
 Spark's ``round`` on a double rounds the decimal form half-up, Python and
 DuckDB round the binary value, so ``round(0.145, 2)`` differs between them.
-Going through ``decimal(18, 6)`` first fixes one answer (0.15) everywhere.
+Going through ``decimal(38, 6)`` first fixes one answer (0.15) everywhere.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ def _col(c) -> Column:
 
 def round2(c, places: int = 2) -> Column:
     """``x`` rounded half-up to ``places`` decimals, as a double (null stays null)."""
-    return F.round(_col(c).cast("decimal(18,6)"), places).cast("double")
+    return F.round(_col(c).cast("decimal(38,6)"), places).cast("double")
 
 
 def dec_text(c, places: int = 2) -> Column:
     """Plain text with exactly ``places`` decimals (``8.50``, never ``8.5E7``)."""
-    return _col(c).cast(f"decimal(18,{places})").cast("string")
+    return _col(c).cast(f"decimal(38,{places})").cast("string")
 
 
 def percent_text(c) -> Column:

@@ -53,8 +53,8 @@ WITH g AS (
   FROM {view}
   GROUP BY op_unique_carrier, origin)
 SELECT op_unique_carrier, origin, total_flights, min_delay, max_delay,
-       CAST(round(CAST(mean_delay AS DECIMAL(18,6)), 2) AS DOUBLE) AS avg_delay,
-       CAST(round(CAST(CAST(n_cancelled AS DOUBLE) * 100 / total_flights AS DECIMAL(18,6)), 2) AS DOUBLE)
+       CAST(round(CAST(mean_delay AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_delay,
+       CAST(round(CAST(CAST(n_cancelled AS DOUBLE) * 100 / total_flights AS DECIMAL(38,6)), 2) AS DOUBLE)
          AS cancellation_rate,
        array_join(array_sort(transform(filter(sequence(1, 12), m -> (months_mask & shiftleft(1, m)) != 0),
                                        m -> CAST(m AS STRING))), '-') AS months_active

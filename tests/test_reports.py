@@ -97,3 +97,17 @@ def test_profiles_on_edge_fixture(spark):
     assert diverted_check(d.withColumn("diverted", F.lit(0))).first().verdict == "refuted"
     extra = d.unionByName(d.limit(1).withColumn("arr_delay", F.lit(None).cast("double")).withColumn("cancelled", F.lit(0.0)).withColumn("diverted", F.lit(0)))
     assert diverted_check(extra).first().verdict == "partial"
+
+
+def test_number_functions(spark):
+    from pyspark.sql import functions as F
+
+    from punctuality.functions.numeric import dec_text, percent_text, round2
+
+    vals = [0.145, 2.675, -0.145, 1e7, 1e13, 8.5, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.select(round2("x").alias("r"), dec_text("x").alias("t"), percent_text("x").alias("p")).collect()
+    assert [r.r for r in got] == [0.15, 2.68, -0.15, 1e7, 1e13, 8.5, None]
+    assert [r.t for r in got] == ["0.15", "2.68", "-0.15", "10000000.00", "10000000000000.00", "8.50", None]
+    assert got[5].p == "8.50%"
+    assert df.select(F.sum(round2("x"))).first()[0] is not None
