@@ -70,8 +70,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/scratch-{name}-{uuid.uuid4().hex}"
 
 
-def local_path(path: str) -> str:
-    return path[len("file:") :] if path.startswith("file:") else path
-
-
-__all__ = ["ensure_checkpoint_dir", "get_session", "local_path", "scratch_path"]
+__all__ = ["ensure_checkpoint_dir", "get_session", "scratch_path"]

@@ -61,3 +61,42 @@ def test_text_reader_splits_each_line_once(spark, tmp_path):
         assert "Filter isnull(_error" in plan or "Filter isnotnull(_error" in plan
         # everything runs in whole-stage codegen (no interpreted filter)
         assert "\n+- Filter" not in plan and "\n   +- Filter" not in plan
+
+
+def _exchange_inputs(plan: str) -> list[str]:
+    """The operator right below each Exchange of a physical plan string."""
+    lines = plan.splitlines()
+    out = []
+    for i, line in enumerate(lines):
+        if "Exchange " in line and "BroadcastExchange" not in line and i + 1 < len(lines):
+            out.append(lines[i + 1].strip().lstrip("+- :").strip())
+    return out
+
+
+def test_every_shuffle_is_fed_by_a_partial_aggregate_or_group_limit(spark):
+    # A hot key (a third of all rows in one group) then only sends one
+    # partial row per task to its reducer.
+    from pyspark.sql import functions as F
+
+    from punctuality.operators.aggregates import tier_stats
+    from punctuality.operators.causes import cause_counts
+    from punctuality.operators.topk import top_cause_rows
+
+    f = flights(spark, SF)
+    hot = f.withColumn("origin", F.when(F.col("month") <= 4, F.lit("HOT")).otherwise(F.col("origin")))
+    for df in (
+        carrier_profile(hot),
+        tier_stats(hot),
+        cause_counts(hot),
+        top_cause_rows(cause_counts(hot)),
+        delay_report(hot),
+    ):
+        inputs = _exchange_inputs(_plan(df))
+        assert inputs, _plan(df)
+        for op in inputs:
+            assert op.startswith("HashAggregate") and "partial_" in op or op.startswith(
+                ("WindowGroupLimit", "Project", "Filter", "Generate")
+            ), op
+        # the only exchange that reads rows of the input is the first partial aggregate's
+        first = inputs[-1]
+        assert first.startswith("HashAggregate") and "partial_" in first, first
