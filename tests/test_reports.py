@@ -111,3 +111,13 @@ def test_number_functions(spark):
     assert [r.t for r in got] == ["0.15", "2.68", "-0.15", "10000000.00", "10000000000000.00", "8.50", None]
     assert got[5].p == "8.50%"
     assert df.select(F.sum(round2("x"))).first()[0] is not None
+
+
+@pytest.mark.parametrize("keys,k", [(("op_unique_carrier",), 5), (("origin", "month"), 1)])
+def test_delay_report_other_keys_and_k(spark, keys, k):
+    df = edge_flights(spark)
+    fused = delay_report(df, keys=keys, k=k)
+    parts = delay_report_from_parts(df, keys=keys, k=k)
+    assert fused.columns == parts.columns
+    assert sorted(fused.collect(), key=repr) == sorted(parts.collect(), key=repr)
+    assert f"cause_{k}" in fused.columns and f"cause_{k + 1}" not in fused.columns
