@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# These must equal the reference's output text and bounds.
+# These must equal the original jobs' output text and bounds.
 # ---------------------------------------------------------------------------
 # Departure-delay tier bounds, in minutes: 0 < d < 15 low, 15 <= d <= 60
 # medium, d > 60 high.

@@ -16,7 +16,7 @@ def test_delay_report_scans_once(spark):
     plan = _plan(delay_report(flights(spark, SF)))
     assert plan.count("FileScan parquet") == 1
     assert "WindowGroupLimit" in plan
-    # the reference-shaped composition reads the source twice
+    # the original-shaped composition reads the source twice
     assert _plan(delay_report_from_parts(flights(spark, SF))).count("FileScan parquet") == 2
 
 
