@@ -6,6 +6,8 @@ or per value; nothing is collected to the driver.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,13 +40,24 @@ def null_profile(df: DataFrame) -> DataFrame:
 def distinct_profile(df: DataFrame, cols=None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """(position, column, distinct_count), nulls not counted.
 
-    Exact counts shuffle each column's distinct values (deduplicated
-    map-side first); ``approx=True`` uses one HyperLogLog++ sketch per
-    column instead, a fixed-size buffer per task.
+    Exact: one single-column ``count(DISTINCT c)`` per column, unioned.
+    Each branch reads only its own column (pruned in the scan, so the
+    columns are read about once in total) and deduplicates map-side before
+    its shuffle; several distinct aggregates in one ``agg`` would instead
+    copy every row once per column (an Expand) keyed on all of them.
+    ``approx=True``: one pass with a HyperLogLog++ sketch per column, a
+    fixed-size buffer per task.
     """
     sub = df.select(*[f"`{c}`" for c in cols]) if cols else df
-    fn = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.count_distinct
-    return _per_column(sub, [fn(F.col(f"`{c}`")) for c in sub.columns], "distinct_count")
+    if approx:
+        return _per_column(sub, [F.approx_count_distinct(F.col(f"`{c}`"), rsd) for c in sub.columns], "distinct_count")
+    parts = [
+        sub.agg(F.count_distinct(F.col(f"`{c}`")).alias("distinct_count")).select(
+            F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), "distinct_count"
+        )
+        for i, c in enumerate(sub.columns)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
