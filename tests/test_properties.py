@@ -154,3 +154,25 @@ def test_sample_exact_edges(spark):
     assert sample_exact(df, 0.0).count() == 0
     assert sample_exact(df, 1.0).count() == 100
     assert sample_exact(df, None, n=10).count() == 10
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(st.integers(0, 30), st.sampled_from(["a", "b", None])), min_size=1, max_size=300),
+    st.integers(1, 40),
+    st.sampled_from(["xxhash64", "md5"]),
+    st.sampled_from([1 << 20, 16, 3]),
+)
+def test_sample_exact_vs_full_sort(spark, rows, copies, method, max_final):
+    """Duplicate-heavy inputs: the sample equals the first n rows of a full
+    sort by (hash, values), whatever path the cut takes."""
+    from punctuality.operators.sampling import HASH_COL, row_hash
+
+    df = spark.createDataFrame(rows, "x int, s string")
+    df = df.unionByName(replicate(df.limit(1), copies)).repartition(3)
+    total = len(rows) + copies
+    n = max(1, total // 3)
+    full = df.withColumn(HASH_COL, row_hash(df, 5, method=method))
+    want = sorted(tuple(r) for r in full.orderBy(HASH_COL, "x", "s").limit(n).drop(HASH_COL).collect())
+    got = sorted(tuple(r) for r in sample_exact(df, None, seed=5, n=n, method=method, max_final=max_final).collect())
+    assert got == want
