@@ -112,7 +112,9 @@ def cause_counts(
     items = F.array(*[F.struct(c.alias("cause"), n.alias("cause_count")) for c, n in cause_items(causes)])
     seen = F.filter(items, lambda x: x["cause"].isNotNull() & (x["cause_count"] > 0))
     rows = tallies.select(*keys, F.explode(seen).alias("_i")).select(*keys, "_i.cause", "_i.cause_count")
-    return rows.groupBy(*keys, "cause").agg(F.sum("cause_count").alias("cause_count"))
+    # A few rows per group here. Partitioning them by the group keys lets the
+    # merge below and a later per-group ranking share one exchange.
+    return rows.repartition(*keys).groupBy(*keys, "cause").agg(F.sum("cause_count").alias("cause_count"))
 
 
 def cause_counts_exploded(df: DataFrame, keys: tuple[str, ...] = ("origin", "month"), **kw) -> DataFrame:
