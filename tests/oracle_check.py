@@ -26,7 +26,7 @@ def _norm(v):
     if isinstance(v, float):
         if v != v:
             return "nan"
-        return f"{round(v, 6):.6f}"
+        return repr(v) if os.environ.get("ORACLE_EXACT") else f"{round(v, 6):.6f}"
     if hasattr(v, "item"):
         return _norm(v.item())
     return str(v)
