@@ -2,12 +2,15 @@
 
 ``sample_exact`` returns exactly ``round(frac * N)`` rows: those whose row
 hash (then row values) comes first. It never sorts or moves the whole
-input. One pass builds a histogram over the first four hex digits of the
-hash (at most 65,536 buckets) and finds the bucket where the cut falls;
-the rows up to that bucket (about the sample plus one bucket) are
-checkpointed with their hash, and everything after reads only them: the
-cut bucket is refined again if it is large, and ordered in one task only
-once it holds at most ``max_final`` rows, a proven bound. Rows that all
+input. Hashes are uniform, so the cut lies near ``frac`` of the hash
+range: one pass checkpoints the rows of every 4-hex-digit bucket (65,536
+in all) up to six standard deviations past that point, with their hash,
+and the exact cut is found in them by a histogram. (If it is not there,
+e.g. because many rows share one hash, a histogram over the whole input
+finds the bucket and a second pass keeps the rows up to it.) Everything
+after reads only the checkpoint: the cut bucket is refined again if it is
+large, and ordered in one task only once it holds at most ``max_final``
+rows, a proven bound. Rows that all
 share one hash (copies of one row) are taken by position instead, see
 :func:`take_exact`.
 
@@ -19,6 +22,8 @@ reproduce, at about four times the cost (turning doubles into text).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +31,8 @@ from punctuality.session import ensure_checkpoint_dir
 
 HASH_COL = "_sample_h"
 HASH_LEN = {"md5": 32, "xxhash64": 16}  # hex digits
-STEP = 4  # hex digits per refinement: 16**4 = 65,536 buckets
+STEP = 4  # hex digits per refinement
+BUCKETS = 16**STEP  # 65,536
 MAX_FINAL = 1 << 20  # rows the last step may order in a single task
 
 
@@ -69,19 +75,37 @@ def take_exact(df: DataFrame, n: int) -> DataFrame:
     return ids.join(F.broadcast(offsets), "_pid").filter(keep).drop("_pid", "_id", "_first", "_before")
 
 
-def _cut(pool: DataFrame, prefix: str, need: int):
-    """One pass over ``pool``: the next-digit bucket holding the ``need``-th row.
+def _histogram(pool: DataFrame, prefix: str) -> DataFrame:
+    """Rows per next hex digits of the hash after ``prefix`` (at most 65,536
+    rows). Counting by a string key is a code-generated hash aggregate; no
+    min/max of the hash text, which would make Spark sort every row."""
+    return pool.groupBy(F.substring(F.col(HASH_COL), len(prefix) + 1, STEP).alias("b")).agg(
+        F.count(F.lit(1)).alias("c")
+    )
+
 
-    Returns (bucket prefix, its rows, rows still needed from it). Counting
-    by a string key is a code-generated hash aggregate (no min/max of the
-    hash text, which would make Spark sort every row by bucket)."""
-    hist = pool.groupBy(F.substring(F.col(HASH_COL), len(prefix) + 1, STEP).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    # at most 65,536 rows: one window partition is a proven bound
+def _cut(hist: DataFrame, prefix: str, need: int):
+    """The bucket holding the ``need``-th row: (bucket prefix, its rows,
+    rows still needed from it), or None when ``hist`` holds fewer rows.
+    One window partition over at most 65,536 histogram rows: a proven bound."""
     upto = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = hist.withColumn("cum", F.sum("c").over(upto)).filter(F.col("cum") >= need).orderBy("b").first()
+    if cut is None:
+        return None
     return prefix + cut["b"], cut["c"], need - (cut["cum"] - cut["c"])
 
 
+def _likely_bound(need: int, total: int, method: str) -> str:
+    """Bucket text well past the expected cut: hashes are uniform, so the
+    ``need``-th smallest of ``total`` lies near ``need / total``; six
+    standard deviations plus two buckets beyond it."""
+    q = need / total
+    top = q + 6 * math.sqrt(q * (1 - q) / total) + 2 / BUCKETS
+    b = min(BUCKETS - 1, int(math.ceil(top * BUCKETS)))
+    text = format(b, "0{}x".format(STEP))
+    return text.upper() if method == "xxhash64" else text
+
+
 def sample_exact(
     df: DataFrame,
     frac: float | None = 0.01,
@@ -106,13 +130,20 @@ def sample_exact(
     if total <= max_final:
         return hashed.orderBy(h, *cols).limit(need).select(*cols)
 
-    prefix, pool_rows, need = _cut(hashed, "", need)
-    # Rows up to the cut bucket, with their hash, to the shared checkpoint
-    # folder: later steps read about `need` rows instead of the input.
     ensure_checkpoint_dir(df.sparkSession)
-    cand = hashed.filter(F.substring(h, 1, len(prefix)) <= F.lit(prefix)).checkpoint()
+    # One pass: rows of every bucket up to well past the expected cut, with
+    # their hash, to the shared checkpoint folder; the exact cut is then
+    # found in them. If it is not (many equal hashes), a full histogram
+    # finds it, and a second pass keeps the rows up to the cut bucket.
+    bucket = F.substring(h, 1, STEP)
+    cand = hashed.filter(bucket <= F.lit(_likely_bound(need, total, method))).checkpoint()
+    found = _cut(_histogram(cand, ""), "", need)
+    if found is None:
+        found = _cut(_histogram(hashed, ""), "", need)
+        cand = hashed.filter(bucket <= F.lit(found[0])).checkpoint()
+    prefix, pool_rows, need = found
     while pool_rows > max_final and len(prefix) < HASH_LEN[method]:
-        prefix, pool_rows, need = _cut(cand.filter(h.startswith(prefix)), prefix, need)
+        prefix, pool_rows, need = _cut(_histogram(cand.filter(h.startswith(prefix)), prefix), prefix, need)
     earlier = cand.filter(F.substring(h, 1, len(prefix)) < F.lit(prefix))
     pool = cand.filter(h.startswith(prefix))
     if pool_rows <= max_final:

@@ -1,6 +1,7 @@
 """Random small inputs against the plain-Python versions, and algebraic properties."""
 
 import brute
+import pytest
 from edge_fixture import SCHEMA
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -173,6 +174,21 @@ def test_sample_exact_vs_full_sort(spark, rows, copies, method, max_final):
     total = len(rows) + copies
     n = max(1, total // 3)
     full = df.withColumn(HASH_COL, row_hash(df, 5, method=method))
-    want = sorted(tuple(r) for r in full.orderBy(HASH_COL, "x", "s").limit(n).drop(HASH_COL).collect())
-    got = sorted(tuple(r) for r in sample_exact(df, None, seed=5, n=n, method=method, max_final=max_final).collect())
+    want = sorted((tuple(r) for r in full.orderBy(HASH_COL, "x", "s").limit(n).drop(HASH_COL).collect()), key=repr)
+    got = sorted((tuple(r) for r in sample_exact(df, None, seed=5, n=n, method=method, max_final=max_final).collect()), key=repr)
+    assert got == want
+
+
+@pytest.mark.parametrize("bound", ["0000", "0001", "FFFF"])
+def test_sample_exact_when_the_cut_is_not_where_expected(spark, monkeypatch, bound):
+    """Force the guessed bucket bound too low (or the whole range): the full
+    histogram fallback must give the same rows as a full sort."""
+    from punctuality.operators import sampling
+    from punctuality.operators.sampling import HASH_COL, row_hash
+
+    monkeypatch.setattr(sampling, "_likely_bound", lambda need, total, method: bound)
+    df = _numbers(spark, 3000, 4)
+    full = df.withColumn(HASH_COL, row_hash(df, 11))
+    want = sorted(tuple(r) for r in full.orderBy(HASH_COL, "id", "g").limit(700).drop(HASH_COL).collect())
+    got = sorted(tuple(r) for r in sample_exact(df, None, seed=11, n=700, max_final=32).collect())
     assert got == want
