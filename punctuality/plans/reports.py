@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctuality.functions.numeric import round2
 from punctuality.functions.text import cause_label, format_causes, format_tier
@@ -79,37 +80,34 @@ def delay_report(
         ]
     by_code = rows.groupBy(*keys, CODE_COL).agg(*fine)
 
-    # Each fine row becomes entries: one "stats" entry (kind 0) with its tier
-    # sums, and one per cause (kind 1): its cancellation code, if any, and
-    # each delay cause. Summing entries per (origin, month, kind, cause)
-    # rolls the codes of a group together; repartitioning by (origin, month)
-    # first lets that sum, the ranking window and the final pivot share one
-    # exchange, whose input is a few rows per group, not per flight.
+    # Each fine row becomes entries: one "stats" entry (kind 0) holding its
+    # tier sums as a struct, and one per cause (kind 1): its cancellation
+    # code, if any, and each delay cause. Summing entries per (origin, month,
+    # kind, cause) rolls the codes of a group together; repartitioning by
+    # (origin, month) first lets that sum, the ranking window and the final
+    # pivot share one exchange, whose input is a few rows per group.
     sums = [f"_{s}_{t}" for t in TIERS for s in ("n", "sd", "sa", "ca")]
-    no_sums = [F.lit(None).cast(by_code.schema[c].dataType).alias(c) for c in sums]
-    entry = lambda kind, cause, n, tail: F.struct(
-        F.lit(kind).alias("kind"), cause.cast("string").alias("cause"), n.cast("long").alias("cause_count"), *tail
+    tier_sums = F.struct(*[F.col(c) for c in sums])
+    no_sums = F.lit(None).cast(T.StructType([by_code.schema[c] for c in sums]))
+    entry = lambda kind, cause, n, s: F.struct(
+        F.lit(kind).alias("kind"), cause.cast("string").alias("cause"), n.cast("long").alias("cause_count"), s.alias("s")
     )
-    entries = by_code.select(
-        *keys,
-        F.explode(
-            F.array(
-                entry(0, F.lit(None), F.lit(0), [F.col(c) for c in sums]),
-                *[entry(1, cause, n, no_sums) for cause, n in cause_items(causes)],
-            )
-        ).alias("e"),
-    ).select(*keys, "e.*")
+    items = F.array(entry(0, F.lit(None), F.lit(0), tier_sums), *[entry(1, c, n, no_sums) for c, n in cause_items(causes)])
+    entries = by_code.select(*keys, F.explode(items).alias("e")).select(*keys, "e.*")
     entries = entries.filter((F.col("kind") == 0) | (F.col("cause").isNotNull() & (F.col("cause_count") > 0)))
+    is_stats = F.col("kind") == 0
     merged = (
         entries.repartition(*keys)
         .groupBy(*keys, "kind", "cause")
-        .agg(F.sum("cause_count").alias("cause_count"), *[F.sum(c).alias(c) for c in sums])
+        .agg(
+            F.sum("cause_count").alias("cause_count"),
+            F.when(is_stats, F.struct(*[F.sum(f"s.{c}").alias(c) for c in sums])).alias("s"),
+        )
     )
     # The stats entry ranks first, then causes by count desc, name asc.
     ranked = top_k_per_group(merged, tuple(keys), [F.asc("kind"), F.desc("cause_count"), F.asc("cause")], k + 1)
-    is_stats = F.col("kind") == 0
     pivot = ranked.groupBy(*keys).agg(
-        *[F.max(F.when(is_stats, F.col(c))).alias(c) for c in sums],
+        F.max("s").alias("s"),  # the one stats entry (null elsewhere)
         *[
             F.max(F.when(F.col("rnk") == i + 1, F.col(col))).alias(f"{name}_{i}")
             for i in range(1, k + 1)
@@ -118,11 +116,11 @@ def delay_report(
     )
     stats_cols = []
     for t in TIERS:
-        n, ca = F.col(f"_n_{t}"), F.col(f"_ca_{t}")
+        n, ca = F.col(f"s._n_{t}"), F.col(f"s._ca_{t}")
         stats_cols += [
             n.alias(f"count_{t}"),
-            round2(F.when(n > 0, F.col(f"_sd_{t}") / n)).alias(f"avg_dep_{t}"),
-            round2(F.when(ca > 0, F.col(f"_sa_{t}") / ca)).alias(f"avg_arr_{t}"),
+            round2(F.when(n > 0, F.col(f"s._sd_{t}") / n)).alias(f"avg_dep_{t}"),
+            round2(F.when(ca > 0, F.col(f"s._sa_{t}") / ca)).alias(f"avg_arr_{t}"),
         ]
     cause_cols = [c for i in range(1, k + 1) for c in (f"cause_{i}", f"count_{i}")]
     return apply_order(pivot.select(*keys, *stats_cols, *cause_cols), keys, order)
