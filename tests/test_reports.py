@@ -121,3 +121,22 @@ def test_delay_report_other_keys_and_k(spark, keys, k):
     assert fused.columns == parts.columns
     assert sorted(fused.collect(), key=repr) == sorted(parts.collect(), key=repr)
     assert f"cause_{k}" in fused.columns and f"cause_{k + 1}" not in fused.columns
+
+
+def test_prep_helpers(spark):
+    from pyspark.sql import functions as F
+
+    from punctuality.operators.prep import fill_causes, fill_code, select_existing, to_cause_dataset
+    from punctuality.operators.profile import head, schema_rows
+
+    df = edge_flights(spark)
+    assert select_existing(df, ["month", "nope", "origin"]).columns == ["month", "origin"]
+    no_code = df.drop("cancellation_code", "carrier_delay")
+    assert fill_code(no_code).columns == no_code.columns  # missing column: unchanged
+    filled = fill_causes(no_code)
+    assert filled.filter(F.col("weather_delay").isNull()).count() == 0
+    prepared = to_cause_dataset(df.withColumn("cancellation_code", F.lit(None).cast("string")))
+    assert prepared.filter(F.col("cancellation_code") != "N").count() == 0
+    assert prepared.filter(F.col("carrier_delay").isNull()).count() == 0
+    assert head(df, 3).count() == 3
+    assert schema_rows(df)[:2] == [("op_unique_carrier", "string"), ("origin", "string")]
