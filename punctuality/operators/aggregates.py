@@ -1,4 +1,4 @@
-"""Grouped profiles: carrier x airport (Job 3.1) and airport x month tiers.
+"""Grouped profiles: carrier x airport and airport x month tiers.
 
 Both are single hash aggregations whose buffers are fixed-width numbers,
 so Spark runs them as code-generated partial + final aggregates: each map

@@ -40,14 +40,14 @@ def fill_code(df: DataFrame, code: str = "cancellation_code", value: str = NO_CO
 
 
 def to_carrier_dataset(raw: DataFrame) -> DataFrame:
-    """Job 3.1 input: carrier, origin, arr_delay, cancelled, month; rows
+    """Carrier-profile input: carrier, origin, arr_delay, cancelled, month; rows
     without carrier, origin, month or cancelled dropped; null delays kept."""
     df = select_existing(raw, CARRIER_COLUMNS)
     return drop_incomplete(df, ["op_unique_carrier", "origin", "month", "cancelled"])
 
 
 def to_cause_dataset(raw: DataFrame) -> DataFrame:
-    """Job 3.2 input: cause minutes filled with 0.0, codes with 'N', rows
+    """Delay-report input: cause minutes filled with 0.0, codes with 'N', rows
     without origin or month dropped; null dep/arr delays kept on purpose so
     that averages skip them."""
     df = fill_code(fill_causes(select_existing(raw, CAUSE_DATASET_COLUMNS)))

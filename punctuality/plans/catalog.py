@@ -38,7 +38,7 @@ from punctuality.sources.sinks import write_dataset
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Job 3.1 in SQL text, over a registered view. The months are kept as a
+# The carrier profile in SQL text, over a registered view. The months are kept as a
 # bitmask, so the aggregation stays a fixed-width HashAggregate.
 CARRIER_PROFILE_SQL = """
 WITH g AS (
@@ -130,12 +130,12 @@ def _report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    # Job 3.1: carrier x airport profile
+    # Carrier x airport profile
     "carrier_profile": lambda s, d: carrier_profile(flights(s, d)),
     "carrier_profile_sql": _carrier_sql,
     "carrier_profile_text": lambda s, d: carrier_report(flights(s, d), text=True),
     "carrier_profile_global": lambda s, d: carrier_report(flights(s, d), order="global"),
-    # Job 3.2 pieces
+    # Pieces of the airport x month report
     "delay_tier": _delay_tier,
     "tier_stats": lambda s, d: tier_stats(flights(s, d)),
     "cause_rows": lambda s, d: explode_causes(flights(s, d)),
@@ -144,7 +144,7 @@ QUERIES: dict[str, Query] = {
     "cause_counts_exploded": lambda s, d: cause_counts_exploded(flights(s, d)),
     "top_causes_rows": lambda s, d: top_cause_rows(cause_counts(flights(s, d))),
     "top_causes_text": lambda s, d: top_causes_text(top_cause_rows(cause_counts(flights(s, d)))),
-    # Job 3.2: airport x month report
+    # Airport x month report
     "delay_report": _report,
     "delay_report_from_parts": lambda s, d: delay_report_from_parts(flights(s, d)),
     "delay_report_text": lambda s, d: delay_report_text(_report(s, d), order="global"),

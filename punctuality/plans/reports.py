@@ -152,7 +152,7 @@ def delay_report_text(report: DataFrame, keys=REPORT_KEYS, k: int = 3, order: st
 
 
 def carrier_report(df: DataFrame, text: bool = False, order: str | None = None, **kw) -> DataFrame:
-    """Job 3.1: the profile, typed or with the rate as text."""
+    """The carrier x airport profile, typed or with the rate as text."""
     prof = carrier_profile(df, **kw)
     if text:
         prof = carrier_profile_text(prof)

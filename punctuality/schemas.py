@@ -58,7 +58,7 @@ def _struct(fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-# Job 3.1 input, in file column order.
+# Carrier-profile input, in file column order.
 FLIGHTS_CARRIER = _struct(
     [
         ("op_unique_carrier", _S),
@@ -69,7 +69,7 @@ FLIGHTS_CARRIER = _struct(
     ]
 )
 
-# Job 3.2 input, in file column order.
+# Delay-report input, in file column order.
 FLIGHTS_CAUSES = _struct(
     [
         ("origin", _S),
