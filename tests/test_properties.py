@@ -192,3 +192,52 @@ def test_sample_exact_when_the_cut_is_not_where_expected(spark, monkeypatch, bou
     want = sorted(tuple(r) for r in full.orderBy(HASH_COL, "id", "g").limit(700).drop(HASH_COL).collect())
     got = sorted(tuple(r) for r in sample_exact(df, None, seed=11, n=700, max_final=32).collect())
     assert got == want
+
+
+FIELD = st.one_of(
+    st.integers(-100, 100).map(str),
+    st.integers(-10000, 10000).map(lambda i: f"{i / 100:.2f}"),
+    st.sampled_from(["", "x", "1a", " 7 ", "N", "A"]),
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(FIELD, min_size=1, max_size=13), min_size=1, max_size=40))
+def test_line_reader_vs_python(spark, tmp_path_factory, lines):
+    import re
+
+    from punctuality.schemas import FLIGHTS_CAUSES
+    from punctuality.sources.files import read_flights_text
+
+    kinds = [f.dataType.simpleString() for f in FLIGHTS_CAUSES.fields]
+
+    def parse(field, kind):
+        v = field.strip() or None
+        if v is None or kind == "string":
+            return v, True
+        if kind == "int":
+            ok = re.fullmatch(r"[+-]?\d+", v) is not None
+            return (int(v) if ok else None), ok
+        try:
+            return float(v), True
+        except ValueError:
+            return None, False
+
+    want_good, want_bad = [], []
+    for fields in lines:
+        if not ",".join(fields).strip():
+            continue  # blank lines are skipped
+        if len(fields) != len(kinds):
+            want_bad.append(f"field_count:{len(fields)}")
+            continue
+        parsed = [parse(f, k) for f, k in zip(fields, kinds)]
+        bad = [n for (v, ok), n in zip(parsed, FLIGHTS_CAUSES.fieldNames()) if not ok]
+        if bad:
+            want_bad.append("bad_value:" + ",".join(bad))
+        else:
+            want_good.append(tuple(v for v, _ in parsed))
+    path = tmp_path_factory.mktemp("lines") / "in.txt"
+    path.write_text("\n".join(",".join(f) for f in lines) + "\n")
+    good, rejected = read_flights_text(spark, str(path), FLIGHTS_CAUSES)
+    assert sorted(map(tuple, good.collect()), key=repr) == sorted(want_good, key=repr)
+    assert sorted(r._error for r in rejected.collect()) == sorted(want_bad)
