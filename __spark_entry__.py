@@ -76,11 +76,15 @@ _TIERED = (
     "WHEN dep_delay > 0 AND dep_delay < 15 THEN 'LOW' WHEN dep_delay >= 15 AND dep_delay <= 60 THEN 'MEDIUM' "
     "WHEN dep_delay > 60 THEN 'HIGH' END AS tier FROM flights)"
 )
+def _in_tier(t: str, col: str) -> str:
+    return f"avg(CASE WHEN tier = '{t}' THEN {col} END)"
+
+
 _STATS = "stats AS (SELECT origin, month, {cols} FROM tiered GROUP BY origin, month)".format(
     cols=", ".join(
         f"count(CASE WHEN tier = '{t}' THEN 1 END) AS count_{n}, "
-        f"{_r2(f'avg(CASE WHEN tier = {chr(39)}{t}{chr(39)} THEN dep_delay END)')} AS avg_dep_{n}, "
-        f"{_r2(f'avg(CASE WHEN tier = {chr(39)}{t}{chr(39)} THEN arr_delay END)')} AS avg_arr_{n}"
+        f"{_r2(_in_tier(t, 'dep_delay'))} AS avg_dep_{n}, "
+        f"{_r2(_in_tier(t, 'arr_delay'))} AS avg_arr_{n}"
         for n, t in TIERS
     )
 )
