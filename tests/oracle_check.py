@@ -3,7 +3,8 @@
     python tests/oracle_check.py [sf_dir] [name ...]
 
 Compares row count, column names and an order-insensitive hash of the
-values (floats rounded to 6 places). Prints one line per query.
+values (floats rounded to 6 places, or exact with ORACLE_EXACT=1). Prints
+one line per query.
 """
 
 from __future__ import annotations
