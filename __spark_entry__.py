@@ -19,6 +19,14 @@ from punctuality.plans.catalog import QUERIES  # noqa: E402
 from punctuality.plans.reports import delay_report, delay_report_text  # noqa: E402
 from punctuality.sources.fixtures import flights, flights_raw_sql, flights_sql  # noqa: E402
 
+try:  # the text operators are a part by themselves; without them everything else works
+    import corpus_pipeline  # noqa: E402
+    from punctuality.llm import queries as llm_queries  # noqa: E402
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "punctuality.llm", "punctuality.llm.queries"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -28,7 +36,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    out = dict(QUERIES)
+    if llm_queries:
+        out |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -236,4 +247,5 @@ ORACLE: dict[str, str] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    out = {k: v for k, v in ORACLE.items() if k in QUERIES}
+    return out | llm_queries.ORACLE_SQL if llm_queries else out
