@@ -75,7 +75,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, {_WORDS.format(text=_LOWER)} AS words FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
-    ELSE list_transform(range(1, greatest(len(words) - 1, 2)), i -> array_to_string(words[i:i + 2], ' ')) END) AS shingle
+    ELSE [array_to_string(words[i:i + 2], ' ') FOR i IN range(1, greatest(len(words) - 1, 2))] END) AS shingle
   FROM w),
 n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
 pair AS (
