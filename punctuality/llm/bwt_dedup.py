@@ -21,10 +21,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from punctuality.llm.common import BYTE_CODES, covered, slices, text_bytes
-from punctuality.llm.spans import SPAN, repeated_spans
+from punctuality.llm.common import BYTE_CODES
+from punctuality.llm.spans import removal, with_repeated_spans
 from punctuality.llm.suffixes import suffix_array, transform
 
 
@@ -104,14 +103,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
     for b in batches:
         rows = []
-        for doc, text, payloads in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("payloads").to_pylist(), strict=True):
+        for doc, text, near, far in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "near", "far")), strict=True):
             removed = n_spans = 0
             kept = text
-            if payloads:
-                span = np.frombuffer(b"".join(payloads), SPAN)
-                end = np.minimum(span["end"], len(text))
-                start = np.minimum(span["start"], end)
-                gone = covered(start, end, len(text))
+            gone = removal(near, far, len(text))
+            if gone is not None:
                 removed = int(gone.sum())
                 n_spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
@@ -123,7 +119,5 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeated_bytes(docs: DataFrame, least: int = 50, k: int = 16) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes): one row per row of ``docs``,
     without the bytes covered by a string of ``least`` bytes that also starts in a document with a smaller doc_id."""
-    spans = repeated_spans(docs, byte_codes, byte_cut, byte_matcher(least), least, k, unit_bytes=1.0)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text"))
-    both = d.join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "payloads")
+    both = with_repeated_spans(docs, byte_codes, byte_cut, byte_matcher(least), least, k, unit_bytes=1.0)
     return both.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -22,11 +22,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from punctuality.llm.bwt_dedup import _runs
-from punctuality.llm.common import NOT_SPACE, covered, text_bytes, word_bounds, word_hashes
-from punctuality.llm.spans import SPAN, repeated_spans
+from punctuality.llm.common import NOT_SPACE, word_bounds, word_hashes
+from punctuality.llm.spans import removal, with_repeated_spans
 from punctuality.llm.suffixes import suffix_array, transform
 
 
@@ -149,13 +148,11 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
     for b in batches:
         rows = []
-        for doc, text, payloads in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), b.column("payloads").to_pylist(), strict=True):
+        for doc, text, near, far in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "near", "far")), strict=True):
             words = text.split()  # of bytes: at 0x20 and 0x09 to 0x0D
             removed, n = 0, len(words)
-            if payloads:
-                span = np.frombuffer(b"".join(payloads), SPAN)
-                end = np.minimum(span["end"], n)
-                gone = covered(np.minimum(span["start"], end), end, n)
+            gone = removal(near, far, n)
+            if gone is not None:
                 removed = int(gone.sum())
                 words = [words[i] for i in np.flatnonzero(~gone).tolist()]
             kept = b" ".join(words)
@@ -167,7 +164,5 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeated_words(docs: DataFrame, least: int = 13, k: int = 5) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept (bytes): one row per row of ``docs``, without the
     words covered by a window of ``least`` words that also starts in a document with a smaller doc_id."""
-    spans = repeated_spans(docs, word_codes, word_cut, word_matcher(least), least, k, unit_bytes=6.0)
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text"))
-    both = d.join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "payloads")
+    both = with_repeated_spans(docs, word_codes, word_cut, word_matcher(least), least, k, unit_bytes=6.0)
     return both.mapInArrow(_remove, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary")

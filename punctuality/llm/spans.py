@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import Sums, materialize, mix, ranges, slices, text_bytes, total_bytes
+from punctuality.llm.common import Sums, covered, materialize, mix, ranges, slices, text_bytes, total_bytes
 
 _U = np.uint64
 
@@ -149,38 +149,41 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def repeated(dealt: DataFrame) -> DataFrame:
-    """(doc, kind, payload): kind 0, spans passed on; kind 1, entries of anchors that several
-    documents hold. A task holds the entries of the buckets dealt to it, 22 bytes each."""
+    """(kind, doc, anchor, start, size): kind 0, spans passed on (no anchor); kind 1, entries of anchors
+    that several documents hold, size negative for hot ones. A task holds the entries of the buckets
+    dealt to it, 22 bytes each."""
+    names = ["kind", "doc", "anchor", "start", "size"]
+
+    def rows(kind: int, doc: np.ndarray, anchor: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(doc), 1 << 16):
+            some = slice(i, i + (1 << 16))
+            n = len(doc[some])
+            columns = [np.full(n, kind, np.int32), doc[some], anchor[some].view(np.int64), start[some], size[some].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, types = ["doc", "kind", "payload"], (pa.int64(), pa.int32(), pa.binary())
         parts = []
         for b in batches:
             spans = b.filter(b.column("doc").is_valid())
-            if len(spans):
-                yield pa.RecordBatch.from_arrays([spans.column("doc"), pa.array([0] * len(spans), pa.int32()), spans.column("payload")], names)
+            for doc, raw in zip(spans.column("doc").to_pylist(), spans.column("payload").to_pylist(), strict=True):
+                span = np.frombuffer(raw, SPAN)
+                yield from rows(0, np.full(len(span), doc), np.zeros(len(span), _U), span["start"], span["end"] - span["start"])
             parts += [_unpack(x) for x in b.filter(b.column("doc").is_null()).column("payload").to_pylist()]
         if not parts:
             return
         entry = np.concatenate(parts)
         del parts
-        order = np.lexsort((entry["doc"], entry["anchor"]))
+        order = np.argsort(entry["anchor"], kind="stable")
         entry = entry[order]
-        new = np.append(True, entry["anchor"][1:] != entry["anchor"][:-1])
-        head = np.flatnonzero(new)
-        ends = np.append(head[1:], len(entry))
-        several = entry["doc"][ends - 1] != entry["doc"][head]
-        entry["size"][np.repeat(ends - head > HOT_ENTRIES, ends - head)] *= -1  # marks a hot anchor
-        entry = entry[np.repeat(several, ends - head)]
-        entry = entry[np.argsort(entry["doc"], kind="stable")]
-        cut = np.flatnonzero(np.diff(entry["doc"])) + 1
-        groups = np.split(entry, cut) if len(entry) else []
-        for at in range(0, len(groups), 5000):
-            some = groups[at : at + 5000]
-            rows = [[int(g["doc"][0]) for g in some], [1] * len(some), [g.tobytes() for g in some]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types, strict=True)], names)
-
-    return dealt.mapInArrow(run, "doc long, kind int, payload binary")
+        del order
+        head = np.flatnonzero(np.append(True, entry["anchor"][1:] != entry["anchor"][:-1]))
+        counts = np.diff(np.append(head, len(entry)))
+        several = np.maximum.reduceat(entry["doc"], head) != np.minimum.reduceat(entry["doc"], head)
+        entry["size"][np.repeat(counts > HOT_ENTRIES, counts)] *= -1  # marks a hot anchor
+        entry = entry[np.repeat(several, counts)]
+        yield from rows(1, entry["doc"].copy(), entry["anchor"].copy(), entry["start"].copy(), entry["size"].copy())
+
+    return dealt.mapInArrow(run, "kind int, doc long, anchor long, start int, size int")
 
 
 def _by_window(entry: np.ndarray, base: np.ndarray, codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -197,8 +200,22 @@ def _by_window(entry: np.ndarray, base: np.ndarray, codes: np.ndarray, length: i
     return np.concatenate([entry[~hot], some]), np.concatenate([base[~hot], at])
 
 
+def _entries_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """The entries of each document of a batch (none where the join found none)."""
+    lists = batch.column("entries")
+    at = lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.flatten()
+    entry = np.zeros(len(flat), ENTRY)
+    for name in ("anchor", "start", "size"):
+        entry[name] = flat.field(name).to_numpy()
+    doc = np.asarray(batch.column("doc_id").fill_null(0))
+    counts = np.diff(at)
+    entry["doc"] = np.repeat(doc, counts)
+    return np.split(entry, np.cumsum(counts)[:-1])
+
+
 def fetch(docs: DataFrame, entries: DataFrame, codes: Codes, cut: Callable, length: int, shards: int) -> DataFrame:
-    """(shard, entries, sizes, texts): the stretches of ``entries`` (doc, payload), with their bytes.
+    """(shard, entries, sizes, texts): the stretches of ``entries`` (doc, anchor, start, size), with their bytes.
 
     ``cut(data, offsets)`` gives the starts and ends of all units and each text's first unit.
     """
@@ -206,7 +223,7 @@ def fetch(docs: DataFrame, entries: DataFrame, codes: Codes, cut: Callable, leng
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            payloads = [np.frombuffer(b"".join(p), ENTRY) for p in b.column("entries").to_pylist()]
+            payloads = _entries_of(b)
             for i, j, data, offsets in slices(b, "text"):
                 starts, ends, first = cut(data, offsets)
                 raw = data.tobytes()
@@ -228,8 +245,9 @@ def fetch(docs: DataFrame, entries: DataFrame, codes: Codes, cut: Callable, leng
                     [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], ["shard", "entries", "sizes", "texts"]
                 )
 
-    per_doc = entries.groupBy("doc").agg(F.collect_list("payload").alias("entries"))
-    both = docs.join(per_doc, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "entries")
+    per_doc = entries.groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("entries"))
+    # A left join, as the one that removes: both read the same exchange of the texts.
+    both = docs.join(per_doc, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "entries")
     return both.mapInArrow(run, "shard long, entries binary, sizes binary, texts binary")
 
 
@@ -306,19 +324,34 @@ def match_shards(dealt: DataFrame, matcher: Callable[[list[bytes], np.ndarray],
     return dealt.mapInArrow(run, "doc long, payload binary")
 
 
-def repeated_spans(
+def with_repeated_spans(
     docs: DataFrame, codes: Codes, cut: Callable, matcher: Callable, length: int, k: int, unit_bytes: float, per_run: int = 1 << 20
 ) -> DataFrame:
-    """(doc, payloads): packed spans of each document that has windows of ``length`` units which
-    also start in a document with a smaller doc_id."""
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text")).where("doc_id is not null")
+    """(doc_id, text, near, far) for every row of ``docs``, text as bytes: the spans covered by windows
+    of ``length`` units that also start in a document with a smaller doc_id, found by the slices
+    (near: structs of start, size) and by the shards (far: packed)."""
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text"))
     size = total_bytes(docs)
     entries = size / unit_bytes * 2 / (length - k + 2)
     buckets = max(8, int(entries / 1_000_000) + 1)
-    dealt = anchors(d, codes, length, k, buckets)
+    dealt = anchors(d.where("doc_id is not null"), codes, length, k, buckets)
     found = materialize(repeated(dealt.repartition(buckets, "bucket")), "spans-anchors")
     shards = max(8, size // (24 << 20))
-    shard_rows = fetch(d, found.where("kind = 1").select("doc", "payload"), codes, cut, length, shards)
+    shard_rows = fetch(d, found.where("kind = 1"), codes, cut, length, shards)
     matched = match_shards(shard_rows.repartition(shards, "shard"), matcher, per_run)
-    spans = found.where("kind = 0").select("doc", "payload").unionByName(matched)
-    return spans.groupBy("doc").agg(F.collect_list("payload").alias("payloads"))
+    none = F.lit(None)
+    near = found.where("kind = 0").select("doc", F.struct("start", "size").alias("near"), none.cast("binary").alias("far"))
+    far = matched.select("doc", none.cast("struct<start:int,size:int>").alias("near"), F.col("payload").alias("far"))
+    spans = near.unionByName(far).groupBy("doc").agg(F.collect_list("near").alias("near"), F.collect_list("far").alias("far"))
+    return d.join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "near", "far")
+
+
+def removal(near: list | None, far: list | None, size: int) -> np.ndarray | None:
+    """Which of a document's ``size`` units its spans cover; None without spans."""
+    if not near and not far:
+        return None
+    span = np.frombuffer(b"".join(far or []), SPAN)
+    own = np.array([(x["start"], x["start"] + x["size"]) for x in near or []], np.int64).reshape(-1, 2)
+    end = np.minimum(np.concatenate([span["end"], own[:, 1]]), size)
+    start = np.minimum(np.concatenate([span["start"], own[:, 0]]), end)
+    return covered(start, end, size)
