@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from punctuality.llm.common import BYTE_CODES
-from punctuality.llm.spans import removal, with_repeated_spans
+from punctuality.llm.spans import removals, with_repeated_spans
 from punctuality.llm.suffixes import suffix_array, transform
 
 
@@ -101,12 +101,12 @@ def _runs(place: np.ndarray, owner: np.ndarray, n: int, size: int) -> list[np.nd
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-    for b in batches:
+    for b in (x.slice(i, 256) for x in batches for i in range(0, len(x), 256)):
         rows = []
-        for doc, text, near, far in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "near", "far")), strict=True):
+        texts = b.column("text").to_pylist()
+        for doc, text, gone in zip(b.column("doc_id").to_pylist(), texts, removals(b, [len(x) for x in texts]), strict=True):
             removed = n_spans = 0
             kept = text
-            gone = removal(near, far, len(text))
             if gone is not None:
                 removed = int(gone.sum())
                 n_spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())

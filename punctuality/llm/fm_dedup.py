@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 
 from punctuality.llm.bwt_dedup import _runs
 from punctuality.llm.common import NOT_SPACE, word_bounds, word_hashes
-from punctuality.llm.spans import removal, with_repeated_spans
+from punctuality.llm.spans import removals, with_repeated_spans
 from punctuality.llm.suffixes import suffix_array, transform
 
 
@@ -146,12 +146,11 @@ def word_matcher(least: int):
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", "kept"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
-    for b in batches:
+    for b in (x.slice(i, 256) for x in batches for i in range(0, len(x), 256)):
         rows = []
-        for doc, text, near, far in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "near", "far")), strict=True):
-            words = text.split()  # of bytes: at 0x20 and 0x09 to 0x0D
+        texts = [x.split() for x in b.column("text").to_pylist()]  # bytes: at 0x20 and 0x09 to 0x0D
+        for doc, words, gone in zip(b.column("doc_id").to_pylist(), texts, removals(b, [len(x) for x in texts]), strict=True):
             removed, n = 0, len(words)
-            gone = removal(near, far, n)
             if gone is not None:
                 removed = int(gone.sum())
                 words = [words[i] for i in np.flatnonzero(~gone).tolist()]

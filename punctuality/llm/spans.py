@@ -162,26 +162,24 @@ def repeated(dealt: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = []
+        by_bucket: dict[int, list[bytes]] = {}
         for b in batches:
             spans = b.filter(b.column("doc").is_valid())
             for doc, raw in zip(spans.column("doc").to_pylist(), spans.column("payload").to_pylist(), strict=True):
                 span = np.frombuffer(raw, SPAN)
                 yield from rows(0, np.full(len(span), doc), np.zeros(len(span), _U), span["start"], span["end"] - span["start"])
-            parts += [_unpack(x) for x in b.filter(b.column("doc").is_null()).column("payload").to_pylist()]
-        if not parts:
-            return
-        entry = np.concatenate(parts)
-        del parts
-        order = np.argsort(entry["anchor"], kind="stable")
-        entry = entry[order]
-        del order
-        head = np.flatnonzero(np.append(True, entry["anchor"][1:] != entry["anchor"][:-1]))
-        counts = np.diff(np.append(head, len(entry)))
-        several = np.maximum.reduceat(entry["doc"], head) != np.minimum.reduceat(entry["doc"], head)
-        entry["size"][np.repeat(counts > HOT_ENTRIES, counts)] *= -1  # marks a hot anchor
-        entry = entry[np.repeat(several, counts)]
-        yield from rows(1, entry["doc"].copy(), entry["anchor"].copy(), entry["start"].copy(), entry["size"].copy())
+            packed = b.filter(b.column("doc").is_null())
+            for bucket, raw in zip(packed.column("bucket").to_pylist(), packed.column("payload").to_pylist(), strict=True):
+                by_bucket.setdefault(bucket, []).append(raw)
+        while by_bucket:
+            entry = np.concatenate([_unpack(x) for x in by_bucket.popitem()[1]])
+            entry = entry[np.argsort(entry["anchor"], kind="stable")]
+            head = np.flatnonzero(np.append(True, entry["anchor"][1:] != entry["anchor"][:-1]))
+            counts = np.diff(np.append(head, len(entry)))
+            several = np.maximum.reduceat(entry["doc"], head) != np.minimum.reduceat(entry["doc"], head)
+            entry["size"][np.repeat(counts > HOT_ENTRIES, counts)] *= -1  # marks a hot anchor
+            entry = entry[np.repeat(several, counts)]
+            yield from rows(1, entry["doc"].copy(), entry["anchor"].copy(), entry["start"].copy(), entry["size"].copy())
 
     return dealt.mapInArrow(run, "kind int, doc long, anchor long, start int, size int")
 
@@ -252,7 +250,7 @@ def fetch(docs: DataFrame, entries: DataFrame, codes: Codes, cut: Callable, leng
 
 
 def match_shards(dealt: DataFrame, matcher: Callable[[list[bytes], np.ndarray], list[np.ndarray]], per_run: int) -> DataFrame:
-    """(doc, payload): spans found in the shards of a partition.
+    """(doc, start, size): spans found in the shards of a partition.
 
     Equal stretches of one anchor are one text with the smallest doc of its holders; the
     holders with larger docs have the whole stretch repeated. The different texts go to the
@@ -261,24 +259,29 @@ def match_shards(dealt: DataFrame, matcher: Callable[[list[bytes], np.ndarray],
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_shard: dict[int, list[tuple]] = {}
+        for b in batches:
+            for shard, *row in zip(*(b.column(c).to_pylist() for c in ("shard", "entries", "sizes", "texts")), strict=True):
+                by_shard.setdefault(shard, []).append(row)
+        while by_shard:
+            yield from one_shard(by_shard.popitem()[1])
+
+    def one_shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         entries, known, text_of, least = [], {}, [], []
         anchors_of: list[int] = []
-        for b in batches:
-            for e, s, t in zip(*(b.column(c).to_pylist() for c in ("entries", "sizes", "texts")), strict=True):
-                entry = np.frombuffer(e, ENTRY)
-                ends = np.cumsum(np.frombuffer(s, "<i4"))
-                for a, d, x, y in zip(entry["anchor"].tolist(), entry["doc"].tolist(), (ends - np.frombuffer(s, "<i4")).tolist(), ends.tolist(), strict=True):
-                    key = (a, t[x:y])
-                    n = known.setdefault(key, len(least))
-                    if n == len(least):
-                        least.append(d)
-                        anchors_of.append(a)
-                    elif d < least[n]:
-                        least[n] = d
-                    text_of.append(n)
-                entries.append(entry)
-        if not entries:
-            return
+        for e, s, t in rows:
+            entry, sizes = np.frombuffer(e, ENTRY), np.frombuffer(s, "<i4")
+            ends = np.cumsum(sizes)
+            for a, d, x, y in zip(entry["anchor"].tolist(), entry["doc"].tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
+                key = (a, t[x:y])
+                n = known.setdefault(key, len(least))
+                if n == len(least):
+                    least.append(d)
+                    anchors_of.append(a)
+                elif d < least[n]:
+                    least[n] = d
+                text_of.append(n)
+            entries.append(entry)
         entry, text_of = np.concatenate(entries), np.array(text_of)
         texts, least = [k[1] for k in known], np.array(least, np.int64)
         del known, entries
@@ -297,61 +300,48 @@ def match_shards(dealt: DataFrame, matcher: Callable[[list[bytes], np.ndarray],
             if g < len(alone) and not alone[g]:
                 picked += order[head[g] : head[g + 1]].tolist()
                 picked_bytes += int(group_bytes[g])
-        docs_out, spans_out = [], []
         later = entry["doc"] > least[text_of]
-        span = np.zeros(int(later.sum()), SPAN)
-        span["start"] = entry["start"][later]
-        span["end"] = entry["start"][later] + entry["size"][later]
-        docs_out.append(entry["doc"][later])
-        spans_out.append(span)
+        out = [(entry["doc"][later], entry["start"][later], entry["size"][later])]
         for n in np.flatnonzero(~later & np.isin(text_of, np.fromiter(windows, np.int64, len(windows)))).tolist():
             w = windows[int(text_of[n])]
-            span = np.zeros(len(w), SPAN)
-            span["start"] = entry["start"][n] + w[:, 0]
-            span["end"] = entry["start"][n] + w[:, 1]
-            docs_out.append(np.full(len(w), entry["doc"][n]))
-            spans_out.append(span)
-        doc, span = np.concatenate(docs_out), np.concatenate(spans_out)
-        order = np.argsort(doc, kind="stable")
-        doc, span = doc[order], span[order]
-        if not len(doc):
-            return
-        cut = np.flatnonzero(np.diff(doc)) + 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(doc[np.append(0, cut)], pa.int64()), pa.array([s.tobytes() for s in np.split(span, cut)], pa.binary())], ["doc", "payload"]
-        )
-
-    return dealt.mapInArrow(run, "doc long, payload binary")
+            out.append((np.full(len(w), entry["doc"][n]), entry["start"][n] + w[:, 0], w[:, 1] - w[:, 0]))
+        doc, start, size = (np.concatenate(x) for x in zip(*out, strict=True))
+        for i in range(0, len(doc), 1 << 16):
+            some = slice(i, i + (1 << 16))
+            columns = [doc[some].astype(np.int64), start[some].astype(np.int32), size[some].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "start", "size"])
+
+    return dealt.mapInArrow(run, "doc long, start int, size int")
 
 
 def with_repeated_spans(
     docs: DataFrame, codes: Codes, cut: Callable, matcher: Callable, length: int, k: int, unit_bytes: float, per_run: int = 1 << 20
 ) -> DataFrame:
-    """(doc_id, text, near, far) for every row of ``docs``, text as bytes: the spans covered by windows
-    of ``length`` units that also start in a document with a smaller doc_id, found by the slices
-    (near: structs of start, size) and by the shards (far: packed)."""
+    """(doc_id, text, spans) for every row of ``docs``, text as bytes: the spans (start, size) covered by
+    windows of ``length`` units that also start in a document with a smaller doc_id."""
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes(F.col("text")).alias("text"))
     size = total_bytes(docs)
     entries = size / unit_bytes * 2 / (length - k + 2)
-    buckets = max(8, int(entries / 1_000_000) + 1)
-    dealt = anchors(d.where("doc_id is not null"), codes, length, k, buckets)
-    found = materialize(repeated(dealt.repartition(buckets, "bucket")), "spans-anchors")
-    shards = max(8, size // (24 << 20))
-    shard_rows = fetch(d, found.where("kind = 1"), codes, cut, length, shards)
-    matched = match_shards(shard_rows.repartition(shards, "shard"), matcher, per_run)
-    none = F.lit(None)
-    near = found.where("kind = 0").select("doc", F.struct("start", "size").alias("near"), none.cast("binary").alias("far"))
-    far = matched.select("doc", none.cast("struct<start:int,size:int>").alias("near"), F.col("payload").alias("far"))
-    spans = near.unionByName(far).groupBy("doc").agg(F.collect_list("near").alias("near"), F.collect_list("far").alias("far"))
-    return d.join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "near", "far")
-
-
-def removal(near: list | None, far: list | None, size: int) -> np.ndarray | None:
-    """Which of a document's ``size`` units its spans cover; None without spans."""
-    if not near and not far:
-        return None
-    span = np.frombuffer(b"".join(far or []), SPAN)
-    own = np.array([(x["start"], x["start"] + x["size"]) for x in near or []], np.int64).reshape(-1, 2)
-    end = np.minimum(np.concatenate([span["end"], own[:, 1]]), size)
-    start = np.minimum(np.concatenate([span["start"], own[:, 0]]), end)
-    return covered(start, end, size)
+    tasks = max(8, int(entries / 1_000_000) + 1)
+    # Several buckets and shards per task even out what a task gets; it works on one at a time.
+    dealt = anchors(d.where("doc_id is not null"), codes, length, k, 8 * tasks)
+    found = materialize(repeated(dealt.repartition(tasks, "bucket")), "spans-anchors")
+    tasks = max(8, size // (24 << 20))
+    shard_rows = fetch(d, found.where("kind = 1"), codes, cut, length, 4 * tasks)
+    matched = match_shards(shard_rows.repartition(tasks, "shard"), matcher, per_run)
+    spans = found.where("kind = 0").select("doc", "start", "size").unionByName(matched)
+    spans = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
+    return d.join(spans, F.col("doc_id") == F.col("doc"), "left").select("doc_id", "text", "spans")
+
+
+def removals(batch: pa.RecordBatch, sizes: list[int]) -> list[np.ndarray | None]:
+    """For each document of a batch, which of its units the spans cover; None without spans."""
+    lists = batch.column("spans")
+    at = lists.offsets.to_numpy().astype(np.int64)
+    at -= at[0]
+    start, size = (lists.flatten().field(x).to_numpy().astype(np.int64) for x in ("start", "size"))
+    out = []
+    for i, j, n in zip(at[:-1].tolist(), at[1:].tolist(), sizes, strict=True):
+        end = np.minimum(start[i:j] + size[i:j], n)
+        out.append(covered(np.minimum(start[i:j], end), end, n) if j > i else None)
+    return out
