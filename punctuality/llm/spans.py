@@ -10,8 +10,9 @@ windows have equal anchors. Consecutive windows with the same anchor form a stre
    are equal only the one with the smallest doc_id goes on; the others are done, since the
    same stretch starts in a smaller document. That keeps a passage that a large part of
    the corpus shares to one entry per slice.
-2. ``repeated``: a bucket keeps the anchors that several documents hold.
-3. ``fetch``: the units of those stretches are cut out of the documents and dealt to shards
+2. ``repeated``: a bucket does the same for all slices, and keeps the anchors that several documents hold in
+   different stretches (told apart by a second 64-bit hash).
+3. ``fetch``: the bytes of those stretches are cut out of the documents and dealt to shards
    by anchor, where a matcher (a Burrows-Wheeler transform, an FM-index) compares whole windows.
    An anchor with more than ``HOT_ENTRIES`` entries (a common phrase in ever different
    surroundings) is dealt window by window, by the window's hash, so that its entries
@@ -37,8 +38,8 @@ _U = np.uint64
 #: Entries of one anchor above which it is dealt by window.
 HOT_ENTRIES = 4096
 
-#: One anchor: its hash, document, first unit of the stretch, and the stretch's size in units.
-ENTRY = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("size", "<i2")])
+#: One anchor: its hash, the stretch's hash, document, first unit, and the stretch's size in units.
+ENTRY = np.dtype([("anchor", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("size", "<i2")])
 #: One span of a document.
 SPAN = np.dtype([("start", "<i4"), ("end", "<i4")])
 
@@ -104,7 +105,7 @@ def anchors(docs: DataFrame, codes: Codes, length: int, k: int, buckets: int) ->
                 on = _earliest([anchor, whole], doc)
                 entry = np.zeros(int(on.sum()), ENTRY)
                 entry["anchor"], entry["doc"], entry["size"] = anchor[on], doc[on], size[on]
-                entry["start"] = (start - first[text])[on]
+                entry["start"], entry["whole"] = (start - first[text])[on], whole[on]
                 bucket = (anchor[on] % _U(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 bucket, entry = bucket[order], entry[order]
@@ -134,14 +135,14 @@ def _pack(entry: np.ndarray) -> bytes:
     wide = len(entry) and int(entry["doc"].max()) - int(doc) >= 1 << 32
     shift = (entry["doc"] - doc).astype("<u8" if wide else "<u4")
     return b"".join(
-        [np.int64(len(entry)).tobytes(), np.int64(doc).tobytes(), np.int64(wide).tobytes(), anchor.astype("<u8").tobytes(), shift.tobytes(), entry["start"].tobytes(), entry["size"].tobytes()]
+        [np.int64(len(entry)).tobytes(), np.int64(doc).tobytes(), np.int64(wide).tobytes(), anchor.astype("<u8").tobytes(), entry["whole"].tobytes(), shift.tobytes(), entry["start"].tobytes(), entry["size"].tobytes()]
     )
 
 
 def _unpack(raw: bytes) -> np.ndarray:
     n, doc, wide = np.frombuffer(raw, "<i8", 3).tolist()
     out, at = np.zeros(n, ENTRY), 24
-    for name, kind in (("anchor", "<u8"), ("doc", "<u8" if wide else "<u4"), ("start", "<i4"), ("size", "<i2")):
+    for name, kind in (("anchor", "<u8"), ("whole", "<u8"), ("doc", "<u8" if wide else "<u4"), ("start", "<i4"), ("size", "<i2")):
         x = np.frombuffer(raw, kind, n, at)
         at += x.nbytes
         out[name] = np.cumsum(x, dtype=_U) if name == "anchor" else x.astype(np.int64) + doc if name == "doc" else x
@@ -149,9 +150,10 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def repeated(dealt: DataFrame) -> DataFrame:
-    """(kind, doc, anchor, start, size): kind 0, spans passed on (no anchor); kind 1, entries of anchors
-    that several documents hold, size negative for hot ones. A task holds the entries of the buckets
-    dealt to it, 22 bytes each."""
+    """(kind, doc, anchor, start, size): kind 0, spans known to be repeated (passed on, or equal to a stretch
+    of a smaller document); kind 1, the smallest holders of the different stretches of anchors that
+    several documents hold, size negative for hot ones. A task holds the packed entries of the
+    buckets dealt to it and works on one bucket at a time."""
     names = ["kind", "doc", "anchor", "start", "size"]
 
     def rows(kind: int, doc: np.ndarray, anchor: np.ndarray, start: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -173,7 +175,14 @@ def repeated(dealt: DataFrame) -> DataFrame:
                 by_bucket.setdefault(bucket, []).append(raw)
         while by_bucket:
             entry = np.concatenate([_unpack(x) for x in by_bucket.popitem()[1]])
-            entry = entry[np.argsort(entry["anchor"], kind="stable")]
+            entry = entry[np.lexsort((entry["whole"], entry["anchor"]))]
+            new = (entry["anchor"][1:] != entry["anchor"][:-1]) | (entry["whole"][1:] != entry["whole"][:-1])
+            head = np.flatnonzero(np.append(True, new))
+            counts = np.diff(np.append(head, len(entry)))
+            later = entry["doc"] > np.repeat(np.minimum.reduceat(entry["doc"], head), counts)
+            off = entry[later]
+            yield from rows(0, off["doc"].copy(), off["anchor"].copy(), off["start"].copy(), off["size"].copy())
+            entry = entry[~later]
             head = np.flatnonzero(np.append(True, entry["anchor"][1:] != entry["anchor"][:-1]))
             counts = np.diff(np.append(head, len(entry)))
             several = np.maximum.reduceat(entry["doc"], head) != np.minimum.reduceat(entry["doc"], head)
@@ -252,10 +261,8 @@ def fetch(docs: DataFrame, entries: DataFrame, codes: Codes, cut: Callable, leng
 def match_shards(dealt: DataFrame, matcher: Callable[[list[bytes], np.ndarray], list[np.ndarray]], per_run: int) -> DataFrame:
     """(doc, start, size): spans found in the shards of a partition.
 
-    Equal stretches of one anchor are one text with the smallest doc of its holders; the
-    holders with larger docs have the whole stretch repeated. The different texts go to the
-    matcher in runs of whole anchors with about ``per_run`` bytes: ``matcher(texts, docs)`` gives for each text the
-    starts of the windows that also start in a text with a smaller doc, in units.
+    A shard's stretches go to the matcher in runs of whole anchors with about ``per_run`` bytes:
+    ``matcher(texts, docs)`` gives for each text the spans, in units, of the windows that also start in a text with a smaller doc.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,48 +274,22 @@ def match_shards(dealt: DataFrame, matcher: Callable[[list[bytes], np.ndarray],
             yield from one_shard(by_shard.popitem()[1])
 
     def one_shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        entries, known, text_of, least = [], {}, [], []
-        anchors_of: list[int] = []
-        for e, s, t in rows:
-            entry, sizes = np.frombuffer(e, ENTRY), np.frombuffer(s, "<i4")
-            ends = np.cumsum(sizes)
-            for a, d, x, y in zip(entry["anchor"].tolist(), entry["doc"].tolist(), (ends - sizes).tolist(), ends.tolist(), strict=True):
-                key = (a, t[x:y])
-                n = known.setdefault(key, len(least))
-                if n == len(least):
-                    least.append(d)
-                    anchors_of.append(a)
-                elif d < least[n]:
-                    least[n] = d
-                text_of.append(n)
-            entries.append(entry)
-        entry, text_of = np.concatenate(entries), np.array(text_of)
-        texts, least = [k[1] for k in known], np.array(least, np.int64)
-        del known, entries
-        order = np.argsort(np.array(anchors_of, _U), kind="stable")
-        sorted_anchor = np.array(anchors_of, _U)[order]
-        head = np.append(np.flatnonzero(np.append(True, sorted_anchor[1:] != sorted_anchor[:-1])), len(order))
-        windows: dict[int, np.ndarray] = {}
-        group_bytes = np.add.reduceat(np.array([len(texts[x]) for x in order]), head[:-1])
-        alone = np.diff(head) == 1
-        picked, picked_bytes = [], 0
-        for g in range(len(alone) + 1):
-            if picked and (g == len(alone) or picked_bytes + group_bytes[g] > per_run):
-                found = matcher([texts[x] for x in picked], least[picked])
-                windows.update({x: f for x, f in zip(picked, found, strict=True) if len(f)})
-                picked, picked_bytes = [], 0
-            if g < len(alone) and not alone[g]:
-                picked += order[head[g] : head[g + 1]].tolist()
-                picked_bytes += int(group_bytes[g])
-        later = entry["doc"] > least[text_of]
-        out = [(entry["doc"][later], entry["start"][later], entry["size"][later])]
-        for n in np.flatnonzero(~later & np.isin(text_of, np.fromiter(windows, np.int64, len(windows)))).tolist():
-            w = windows[int(text_of[n])]
-            out.append((np.full(len(w), entry["doc"][n]), entry["start"][n] + w[:, 0], w[:, 1] - w[:, 0]))
-        doc, start, size = (np.concatenate(x) for x in zip(*out, strict=True))
-        for i in range(0, len(doc), 1 << 16):
-            some = slice(i, i + (1 << 16))
-            columns = [doc[some].astype(np.int64), start[some].astype(np.int32), size[some].astype(np.int32)]
+        entry = np.concatenate([np.frombuffer(e, ENTRY) for e, _, _ in rows])
+        sizes = np.concatenate([np.frombuffer(s, "<i4") for _, s, _ in rows]).astype(np.int64)
+        raw = b"".join(t for _, _, t in rows)
+        at = np.cumsum(sizes) - sizes
+        order = np.argsort(entry["anchor"], kind="stable")
+        entry, at, sizes = entry[order], at[order], sizes[order]
+        head = np.flatnonzero(np.append(True, entry["anchor"][1:] != entry["anchor"][:-1]))
+        run_of = np.cumsum(np.add.reduceat(sizes, head)) // per_run
+        first = np.append(head[np.flatnonzero(np.append(True, np.diff(run_of) != 0))], len(entry))
+        for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+            texts = [raw[x : x + n] for x, n in zip(at[i:j].tolist(), sizes[i:j].tolist(), strict=True)]
+            found = matcher(texts, entry["doc"][i:j])
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            w = np.concatenate(found)
+            doc, start = np.repeat(entry["doc"][i:j], counts), np.repeat(entry["start"][i:j], counts)
+            columns = [doc, (start + w[:, 0]).astype(np.int32), (w[:, 1] - w[:, 0]).astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["doc", "start", "size"])
 
     return dealt.mapInArrow(run, "doc long, start int, size int")
