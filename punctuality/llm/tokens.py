@@ -5,9 +5,8 @@ groups and pages of set size, with the page indexes that the writer adds: a read
 counts reads no ids, and one that wants a range of doc_ids skips row groups and pages.
 A text's ids are those of its tokenizer followed by ``end_id``.
 
-Byte-level BPE never merges across a space that stands alone between two visible
-characters, so texts are cut there and each different piece goes through the tokenizer
-once; the ids of a text are its pieces' ids in order.
+Byte-level BPE never merges across some places that the bytes tell (see ``piece_starts``),
+so texts are cut there and each different piece goes through the tokenizer once; the ids of a text are its pieces' ids in order.
 
 Null or empty texts have only the end id. Rows with the same doc_id are ordered by text, and
 null ids come first. No rows: no ids, an empty index.
@@ -17,17 +16,21 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import BYTE_CODES, Sums, ranges, slices, text_bytes, total_bytes
+from punctuality.llm.common import BYTE_CODES, Sums, byte_class, ranges, slices, text_bytes, total_bytes
 from punctuality.session import scratch_path
 
 #: Pieces kept per Python worker before its cache starts anew.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 2_000_000
+
+_MARKS = byte_class(lambda b: chr(b) in ",.;:!?")
+_LETTERS = byte_class(lambda b: 65 <= b <= 90 or 97 <= b <= 122)
 
 _encoders: dict[str, PieceEncoder] = {}
 
@@ -35,22 +38,27 @@ _encoders: dict[str, PieceEncoder] = {}
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Places where a text may be cut without changing its tokens, each text's start among them.
 
-    A cut stands before a lone 0x20. Neighbours that could belong to another white-space
-    character (ASCII up to 0x20 and 0x7F; characters that begin with C2, E1, E2 or E3) rule it
-    out, so that some cuts are missed but none is wrong.
+    A cut stands before a lone 0x20 or 0x0A between two visible characters, after such a 0x0A, and between an
+    ASCII letter and one of ``,.;:!?``. Neighbours that could belong to another white-space character
+    (ASCII up to 0x20 and 0x7F; characters that begin with C2, E1, E2 or E3) rule out
+    the first two, so that some cuts are missed but none is wrong.
     """
     n = len(data)
-    visible = (data > 0x20) & (data != 0x7F)
-    lead = (data == 0xC2) | (data == 0xE1) | (data == 0xE2) | (data == 0xE3)
     cut = np.zeros(n + 1, bool)
     if n > 4:
-        ok_after = visible[1:] & ~lead[1:]
-        ok_before = np.zeros(n, bool)
-        ok_before[3:] = visible[2:-1] & ~(lead[1:-2] & (data[1:-2] == 0xC2)) & ~(lead[:-3] & (data[:-3] != 0xC2))
-        cut[3 : n - 1] = (data[3 : n - 1] == 0x20) & ok_before[3 : n - 1] & ok_after[3:]
-        for o in range(3):  # no looking back into the text before
-            near = offsets[:-1] + o
-            cut[near[near < n]] = False
+        visible = (data > 0x20) & (data != 0x7F)
+        three = (data == 0xE1) | (data == 0xE2) | (data == 0xE3)
+        two = data == 0xC2
+        after = visible & ~two & ~three
+        lone = np.zeros(n, bool)
+        lone[3:-1] = ((data[3:-1] == 0x20) | (data[3:-1] == 0x0A)) & after[4:] & visible[2:-2] & ~two[1:-3] & ~three[:-4]
+        near = (offsets[:-1, None] + np.arange(3)).ravel()  # no looking back into the text before
+        lone[near[near < n]] = False
+        last = offsets[1:] - 1  # nor ahead into the next one
+        lone[last[last >= 0]] = False
+        cut[:n] = lone
+        cut[1:] |= lone & (data == 0x0A)
+        cut[1:n] |= _MARKS[data[1:]] & _LETTERS[data[:-1]]
     cut[offsets[:-1]] = True
     cut[n] = False
     return np.flatnonzero(cut)
@@ -66,21 +74,29 @@ class PieceEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.ids = [np.zeros(0, np.int32)]
+        self.keys = np.zeros(0, np.uint64)  # sorted hashes of the pieces known, and where each one's ids are
+        self.slots = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
-        self.counts = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.int32)
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        counts = np.fromiter(map(len, got), np.int64, len(got))
-        new = np.fromiter((x for ids in got for x in ids), np.int32, int(counts.sum()))
-        base = len(self.counts)
-        self.known.update(zip(keys.tolist(), range(base, base + len(keys)), strict=True))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
-        self.counts = np.concatenate([self.counts, counts])
-        self.flat = np.concatenate([self.flat, new])
+    def _find(self, keys: np.ndarray, pieces) -> np.ndarray:
+        """Slots of sorted ``keys``; ``pieces(i)`` gives the texts of those not known."""
+        at = np.searchsorted(self.keys, keys)
+        near = np.minimum(at, max(0, len(self.keys) - 1))
+        hit = self.keys[near] == keys if len(self.keys) else np.zeros(len(keys), bool)
+        slot = np.zeros(len(keys), np.int32)
+        slot[hit] = self.slots[near[hit]]
+        new = np.flatnonzero(~hit)
+        if len(new):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(pieces(new), add_special_tokens=False)]
+            counts = np.fromiter(map(len, got), np.int32, len(got))
+            flat = np.fromiter(chain.from_iterable(got), np.int32, int(counts.sum()))
+            slot[new] = np.arange(len(self.counts), len(self.counts) + len(new))
+            self.keys, self.slots = np.insert(self.keys, at[new], keys[new]), np.insert(self.slots, at[new], slot[new])
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(counts) - counts])
+            self.counts, self.flat = np.concatenate([self.counts, counts]), np.concatenate([self.flat, flat])
+        return slot
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of each text's (with the end id)."""
@@ -89,16 +105,12 @@ class PieceEncoder:
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         keys = Sums(BYTE_CODES[data]).of(starts, ends) ^ (ends - starts).astype(np.uint64)
         unique, at, back = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.known) + len(unique) > CACHE_PIECES:
+        if len(self.keys) + len(unique) > CACHE_PIECES:
             self.clear()
-        slot = np.fromiter((self.known.get(x, -1) for x in unique.tolist()), np.int64, len(unique))
-        new = np.flatnonzero(slot < 0)
-        if len(new):
-            raw = data.tobytes()
-            self._learn(unique[new], [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in at[new].tolist()])
-            slot[new] = np.arange(len(self.counts) - len(new), len(self.counts))
+        raw = data.tobytes()
+        slot = self._find(unique, lambda new: [raw[starts[i] : ends[i]].decode("utf-8", "replace") for i in at[new].tolist()])
         piece = slot[back]
-        counts, begin = self.counts[piece], self.starts[piece]
+        counts, begin = self.counts[piece].astype(np.int64), self.starts[piece]
         first = np.searchsorted(starts, offsets)  # each text's first piece
         tail = np.append(self.flat, np.int32(end_id))
         counts = np.insert(counts, first[1:], 1)
