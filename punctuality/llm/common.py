@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from punctuality.session import scratch_path
 
 #: Bytes of text that are handled at once inside a task (one longer text is handled alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 _RADIX = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64

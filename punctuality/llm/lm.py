@@ -119,7 +119,11 @@ def corpus_counts(packed: DataFrame, buckets: int, top: int) -> DataFrame:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 class RecurrentModel:
@@ -163,8 +167,12 @@ class RecurrentModel:
             y += p["bias"]
             zr = _sigmoid(x[:, : 2 * size] + y[:, : 2 * size])
             z, r = zr[:, :size], zr[:, size:]
-            new = np.tanh(x[:, 2 * size :] + r * y[:, 2 * size :])
-            after = new + z * (h - new)
+            new = r * y[:, 2 * size :]
+            new += x[:, 2 * size :]
+            np.tanh(new, out=new)
+            after = h - new
+            after *= z
+            after += new
             if keep:
                 kept.append((h, z, r, new, y[:, 2 * size :]))
             h = after
@@ -178,11 +186,13 @@ class RecurrentModel:
         p, width = self.p, self.width
         cls = targets // width
         rows = np.arange(len(targets))
-        logits = states @ p["to_class"] + p["class_bias"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
+        e = states @ p["to_class"]
+        e += p["class_bias"]
+        e -= e.max(1, keepdims=True)
+        logp = e[rows, cls]
+        np.exp(e, out=e)
         total = e.sum(1)
-        logp = logits[rows, cls] - np.log(total)
+        logp -= np.log(total)
         d_states = None
         if grad is not None:
             e /= total[:, None]
@@ -190,19 +200,21 @@ class RecurrentModel:
             grad["to_class"] += states.T @ e
             grad["class_bias"] += e.sum(0)
             d_states = e @ p["to_class"].T
-        order = np.argsort(cls, kind="stable")
+        order = np.argsort(cls.astype(np.int16), kind="stable")  # short keys sort by digits
         cut = np.searchsorted(cls[order], np.arange(len(p["class_bias"]) + 1))
         for c in np.flatnonzero(np.diff(cut)).tolist():
             i = order[cut[c] : cut[c + 1]]
             block = slice(c * width, (c + 1) * width)
             s = states[i]
             w = p["to_word"][block]
-            logits = s @ w.T + p["word_bias"][block]
-            logits -= logits.max(1, keepdims=True)
-            e = np.exp(logits)
+            e = s @ w.T
+            e += p["word_bias"][block]
+            e -= e.max(1, keepdims=True)
+            mine, k = targets[i] - c * width, rows[: len(i)]
+            own = e[k, mine]
+            np.exp(e, out=e)
             total = e.sum(1)
-            mine, k = targets[i] - c * width, np.arange(len(i))
-            logp[i] += logits[k, mine] - np.log(total)
+            logp[i] += own - np.log(total)
             if grad is not None:
                 e /= total[:, None]
                 e[k, mine] -= 1
@@ -232,7 +244,7 @@ class RecurrentModel:
             grad["recur"] += h.T @ gate
             grad["bias"] += gate.sum(0)
             carry = d * z + gate @ p["recur"].T
-        order = np.argsort(inputs, kind="stable")
+        order = np.argsort(inputs.astype(np.int16 if len(p["gates"]) < 1 << 15 else np.int64), kind="stable")
         head = np.flatnonzero(np.append(True, np.diff(inputs[order]) != 0))
         grad["gates"][inputs[order[head]]] += np.add.reduceat(d_inputs[order], head)
 

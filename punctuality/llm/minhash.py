@@ -178,9 +178,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def _block_pairs(low: float):
+def _block_pairs(low: float, best: int | None):
     """Pairs of a block of outside nodes and a block of members, of different components, whose
-    signatures agree in at least ``low`` of the slots; only in the first band that the two share."""
+    signatures agree in at least ``low`` of the slots; only in the first band that the two share.
+    With ``best``, only that many of an outside node, the most similar ones."""
 
     def run(t: pa.Table) -> pa.Table:
         outside = np.asarray(t.column("outside"))
@@ -192,9 +193,13 @@ def _block_pairs(low: float):
         members = np.flatnonzero(~outside)
         for i in np.flatnonzero(outside):
             j = members[part[members] != part[i]]
-            same = (signature[j] == signature[i]).sum(1) >= low * signature.shape[1]
-            same &= (shared[j, :band] == shared[i, :band]).sum(1) == 0
+            agree = (signature[j] == signature[i]).sum(1)
+            same = agree >= low * signature.shape[1]
+            if best is None:
+                same &= (shared[j, :band] == shared[i, :band]).sum(1) == 0
             j = j[same]
+            if best is not None:
+                j = j[np.argsort(-agree[same], kind="stable")[:best]]
             out_a.append(np.minimum(node[j], node[i]))
             out_b.append(np.maximum(node[j], node[i]))
         a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (out_a, out_b))
@@ -203,6 +208,35 @@ def _block_pairs(low: float):
     return run
 
 
+def _open_pairs(members: DataFrame, groups: DataFrame, signatures_of: DataFrame, block: int, low: float, best: int | None) -> DataFrame:
+    """(a, b): pairs of different components inside the buckets, see ``_block_pairs``. A bucket's nodes
+    outside its largest component meet all its nodes in blocks of about ``block`` by ``block``."""
+    labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    sizes = labelled.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("band", "key").agg(
+        F.max(F.struct("size", "component")).alias("m"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts")
+    )
+    main = main.where("parts > 1 and all > 2").select(
+        "band",
+        "key",
+        F.col("m.component").alias("main"),
+        F.ceil((F.col("all") - F.col("m.size")) / block).alias("u_blocks"),
+        F.ceil(F.col("all") / block).alias("m_blocks"),
+    )
+    open_members = labelled.join(main, ["band", "key"])
+    deal = F.xxhash64("node")
+    outside = open_members.where("component <> main").select(
+        "band", "key", "node", "component", F.lit(True).alias("outside"),
+        F.pmod(deal, "u_blocks").alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1)).alias("m"),
+    )
+    inside = open_members.select(
+        "band", "key", "node", "component", F.lit(False).alias("outside"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("u_blocks") - 1)).alias("u"), F.pmod(deal, "m_blocks").alias("m"),
+    )
+    blocks = outside.unionByName(inside).join(signatures_of, "node")
+    return blocks.groupBy("band", "key", "u", "m").applyInArrow(_block_pairs(low, best), "a long, b long")
+
+
 def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, block: int = 256, slack: float = 0.18) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     signed_docs = materialize(signed_documents(docs, width), "minhash-signed")
@@ -227,34 +261,16 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, bl
     links = materialize(confirmed(stars, sets, percent), "minhash-links")
     groups = components(links)
 
-    # What is left of the buckets: nodes outside each bucket's largest component.
-    labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = labelled.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("size"))
-    main = sizes.groupBy("band", "key").agg(
-        F.max(F.struct("size", "component")).alias("m"), F.sum("size").alias("all"), F.count(F.lit(1)).alias("parts")
-    )
-    main = main.where("parts > 1 and all > 2").select(
-        "band",
-        "key",
-        F.col("m.component").alias("main"),
-        F.ceil((F.col("all") - F.col("m.size")) / block).alias("u_blocks"),
-        F.ceil(F.col("all") / block).alias("m_blocks"),
-    )
-    open_members = labelled.join(main, ["band", "key"])
-    deal = F.xxhash64("node")
-    outside = open_members.where("component <> main").select(
-        "band", "key", "node", "component", F.lit(True).alias("outside"),
-        F.pmod(deal, "u_blocks").alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1)).alias("m"),
-    )
-    inside = open_members.select(
-        "band", "key", "node", "component", F.lit(False).alias("outside"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("u_blocks") - 1)).alias("u"), F.pmod(deal, "m_blocks").alias("m"),
-    )
-    blocks = outside.unionByName(inside).join(nodes.select("node", "signature"), "node")
-    more = blocks.groupBy("band", "key", "u", "m").applyInArrow(_block_pairs(percent / 100 - slack), "a long, b long")
-    more = more.distinct().join(stars, ["a", "b"], "left_anti")
-    more_links = confirmed(more, sets, percent)
-    groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more_links))
+    # What is left of the buckets: nodes outside each bucket's largest component. First the most similar
+    # pairs, which join most of them, then all pairs that are left.
+    tested = stars
+    for best in (3, 3, None):
+        more = _open_pairs(members, groups, nodes.select("node", "signature"), block, percent / 100 - slack, best)
+        more = materialize(more.distinct().join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
+        more_links = materialize(confirmed(more, sets, percent), "minhash-links")
+        tested = tested.unionByName(more)
+        if more_links.limit(1).count():
+            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more_links))
 
     out = with_class.join(groups, "node", "left")
     component = F.coalesce("component", with_class["node"], "doc_id")
