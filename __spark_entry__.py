@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from punctuality.plans.catalog import QUERIES  # noqa: E402
 from punctuality.plans.reports import delay_report, delay_report_text  # noqa: E402
+from punctuality.schemas import CAUSE_LABELS, FLIGHTS_RAW  # noqa: E402
 from punctuality.sources.fixtures import flights, flights_raw_sql, flights_sql  # noqa: E402
 
 try:  # the text operators are a part by themselves; without them everything else works
@@ -48,24 +49,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 TIERS = [("low", "LOW"), ("medium", "MEDIUM"), ("high", "HIGH")]
 TIER_WORD = {"low": "Low", "medium": "Med", "high": "High"}
-CAUSES = [
-    ("carrier_delay", "Carrier_Delay"),
-    ("weather_delay", "Weather_Delay"),
-    ("nas_delay", "NAS_Delay"),
-    ("security_delay", "Security_Delay"),
-    ("late_aircraft_delay", "Late_Aircraft_Delay"),
-]
-RAW_COLUMNS = [
-    "op_unique_carrier",
-    "origin",
-    "month",
-    "dep_delay",
-    "arr_delay",
-    "cancelled",
-    "diverted",
-    "cancellation_code",
-    *[c for c, _ in CAUSES],
-]
+CAUSES = list(CAUSE_LABELS.items())
+RAW_COLUMNS = FLIGHTS_RAW.fieldNames()
 
 
 def _r2(x: str) -> str:
@@ -221,6 +206,8 @@ ORACLE: dict[str, str] = {
     + "SELECT op_unique_carrier, origin, arr_delay, cancelled, month FROM ("
     f"SELECT *, row_number() OVER (ORDER BY {_sample_key()}) AS rn FROM carrier) "
     "WHERE rn <= (SELECT round(count(*) * 0.01) FROM carrier)",
+    "sample_exact_check": _with(_RAW, _CARRIER)
+    + "SELECT CAST(round_even(count(*) * 0.01, 0) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS not_in_input FROM carrier",
     "replicate": _with(_RAW, _CARRIER) + "SELECT c.* FROM carrier c CROSS JOIN range(10) r",
     "null_profile": _null_profile(),
     "distinct_profile": _distinct_profile(),

@@ -34,7 +34,7 @@ HEADLINE = [
     "prep_causes",
     "null_profile",
     "distinct_profile",
-    "sample_exact_xxhash",
+    "sample_exact_check",
     "replicate",
     "csv_roundtrip",
     "text_good_rows",

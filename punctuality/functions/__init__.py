@@ -5,7 +5,6 @@ from punctuality.functions.text import (
     cause_label,
     format_causes,
     format_tier,
-    month_bit,
     months_text,
 )
 from punctuality.functions.tiers import delay_tier, is_cancelled, with_delay_tier
@@ -17,7 +16,6 @@ __all__ = [
     "format_causes",
     "format_tier",
     "is_cancelled",
-    "month_bit",
     "months_text",
     "percent_text",
     "ratio_pct",

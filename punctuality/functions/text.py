@@ -40,25 +40,9 @@ def format_causes(labels: Column) -> Column:
     return F.concat(F.lit(CAUSES_OPEN), body, F.lit(CAUSES_CLOSE))
 
 
-def month_bit(month: str = "month") -> Column:
-    """``1 << month`` for a calendar month 1..12, null for a null month.
-
-    Any other value stops the job: the set of months is kept as a 13-bit
-    mask so that the aggregation stays a fixed-width, code-generated one.
-    """
-    m = F.col(month)
-    return (
-        F.when(m.isNull(), F.lit(None).cast("int"))
-        .when(m.between(1, 12), F.call_function("shiftleft", F.lit(1), m.cast("int")))
-        .otherwise(F.raise_error(F.concat(F.lit("month out of range 1..12: "), m.cast("string"))).cast("int"))
-    )
-
-
-def months_text(mask: str = "months_mask", numeric: bool = False) -> Column:
-    """Months of a mask joined by ``-``, sorted as text (``1-10-2``) or as numbers."""
-    present = F.filter(
-        F.sequence(F.lit(1), F.lit(12)),
-        lambda m: F.col(mask).bitwiseAND(F.call_function("shiftleft", F.lit(1), m)) != 0,
-    )
-    as_text = F.transform(present, lambda m: m.cast("string"))
-    return F.array_join(as_text if numeric else F.array_sort(as_text), MONTHS_SEP)
+def months_text(months: str = "months", numeric: bool = False) -> Column:
+    """Distinct months of an array joined by ``-``, sorted as text (``1-10-2``) or as numbers."""
+    as_text = lambda m: m.cast("string")
+    if numeric:
+        return F.array_join(F.transform(F.array_sort(F.col(months)), as_text), MONTHS_SEP)
+    return F.array_join(F.array_sort(F.transform(F.col(months), as_text)), MONTHS_SEP)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from punctuality.functions.numeric import percent_text, ratio_pct, round2
-from punctuality.functions.text import month_bit, months_text
+from punctuality.functions.text import months_text
 from punctuality.functions.tiers import HIGH, LOW, MEDIUM, delay_tier
 from punctuality.schemas import HIGH_BOUND, LOW_BOUND, TIERS
 
@@ -35,13 +35,23 @@ def carrier_profile(
     2 places. ``months_active`` lists the distinct months joined by ``-`` in
     text order (``1-10-2``), or numeric order with ``numeric_months``.
     """
-    agg = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_flights"),
-        F.min(delay).alias("min_delay"),
-        F.max(delay).alias("max_delay"),
-        F.avg(delay).alias("_avg"),
+    # Per month first, with fixed-width buffers; the second level then lists the few distinct months
+    # of a group, whatever values they have.
+    monthly = df.groupBy(*keys, month).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(delay).alias("_min"),
+        F.max(delay).alias("_max"),
+        F.sum(delay).alias("_sum"),
+        F.count(delay).alias("_known"),
         F.sum(F.coalesce(F.col(cancelled), F.lit(0))).alias("_cancelled"),
-        F.bit_or(month_bit(month)).alias("_months"),
+    )
+    agg = monthly.groupBy(*keys).agg(
+        F.sum("_n").alias("total_flights"),
+        F.min("_min").alias("min_delay"),
+        F.max("_max").alias("max_delay"),
+        F.try_divide(F.sum("_sum"), F.sum("_known")).alias("_avg"),
+        F.sum("_cancelled").alias("_cancelled"),
+        F.collect_list(month).alias("_months"),
     )
     return agg.select(
         *keys,

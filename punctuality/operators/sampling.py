@@ -1,23 +1,19 @@
 """Exact-size deterministic samples and enlarged copies.
 
-``sample_exact`` returns exactly ``round(frac * N)`` rows: those whose row
-hash (then row values) comes first. It never sorts or moves the whole
-input. Hashes are uniform, so the cut lies near ``frac`` of the hash
-range: one pass checkpoints the rows of every 4-hex-digit bucket (65,536
-in all) up to six standard deviations past that point, with their hash,
-and the exact cut is found in them by a histogram. (If it is not there,
-e.g. because many rows share one hash, a histogram over the whole input
-finds the bucket and a second pass keeps the rows up to it.) Everything
-after reads only the checkpoint: the cut bucket is refined again if it is
-large, and ordered in one task only once it holds at most ``max_final``
-rows, a proven bound. Rows that all
-share one hash (copies of one row) are taken by position instead, see
-:func:`take_exact`.
-
-Two hash definitions: ``xxhash64`` over the typed columns (default; about
-a plain scan's cost) and ``md5`` over the row as text
-(``md5('seed-v1-v2-...')``, nulls as ``\\N``), which any SQL engine can
-reproduce, at about four times the cost (turning doubles into text).
+``sample_exact`` returns exactly ``n`` (or ``round(frac * N)``) rows: the first by the hash of the
+key columns, then by a 128-bit hash of all columns, so that rows which still tie are copies. It never
+sorts or moves the whole input, and takes the same way at every size: hashes are uniform, so the cut
+lies near ``frac`` of the hash range; one pass checkpoints the rows of every 4-hex-digit bucket
+(65,536 in all) up to six standard deviations past that point, and a histogram finds the bucket of the
+cut in them. (If it is not there, e.g. because many rows share one hash, a histogram over the
+whole input finds it and a second pass keeps the rows up to it.) The bucket is split by the
+next digits until it is taken whole or holds copies of one row, of which as many as needed are made.
+
+Counting and checkpointing run when the sample is built; only the last step is lazy.
+
+Two hash definitions for the key: ``xxhash64`` over the typed columns (default; about a plain scan's
+cost) and ``md5`` over the row as text (``md5('seed-v1-v2-...')``, nulls as ``\\N``), which any SQL
+engine can reproduce, at about four times the cost (turning doubles into text).
 """
 
 from __future__ import annotations
@@ -33,7 +29,7 @@ HASH_COL = "_sample_h"
 HASH_LEN = {"md5": 32, "xxhash64": 16}  # hex digits
 STEP = 4  # hex digits per refinement
 BUCKETS = 16**STEP  # 65,536
-MAX_FINAL = 1 << 20  # rows the last step may order in a single task
+TIE_LEN = 32  # hex digits of the hash of all columns
 
 
 def row_hash(df: DataFrame, seed: int = 42, key_cols=None, method: str = "xxhash64") -> Column:
@@ -57,24 +53,6 @@ def sample_size(total: int, frac: float) -> int:
     return int(round(frac * total))
 
 
-def take_exact(df: DataFrame, n: int) -> DataFrame:
-    """Exactly ``n`` rows of ``df`` (which ones is left open), kept in place.
-
-    Rows get an id per partition and are checkpointed to the shared
-    checkpoint folder so that ids stay fixed if a task reruns; then a
-    per-partition count (one row per partition, broadcast) gives each
-    partition the number of rows before it, and each row is kept when its
-    global position is below ``n``.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    ids = df.withColumn("_pid", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
-    counts = ids.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_id").alias("_first"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_before"))
-    keep = F.col("_before") + (F.col("_id") - F.col("_first")) < F.lit(n)
-    return ids.join(F.broadcast(offsets), "_pid").filter(keep).drop("_pid", "_id", "_first", "_before")
-
-
 def _histogram(pool: DataFrame, prefix: str) -> DataFrame:
     """Rows per next hex digits of the hash after ``prefix`` (at most 65,536
     rows). Counting by a string key is a code-generated hash aggregate; no
@@ -107,50 +85,42 @@ def _likely_bound(need: int, total: int, method: str) -> str:
 
 
 def sample_exact(
-    df: DataFrame,
-    frac: float | None = 0.01,
-    seed: int = 42,
-    n: int | None = None,
-    key_cols=None,
-    method: str = "xxhash64",
-    max_final: int = MAX_FINAL,
+    df: DataFrame, frac: float | None = 0.01, seed: int = 42, n: int | None = None, key_cols=None, method: str = "xxhash64"
 ) -> DataFrame:
-    """Exactly ``n`` (or ``round(frac * count)``) rows without replacement,
-    the same rows on every run and every cluster size."""
+    """Exactly ``n`` (or ``round(frac * count)``) rows without replacement, the same rows on every run,
+    size of cluster and partitioning. More rows than there are is an error."""
     total = df.count()
     need = n if n is not None else sample_size(total, frac)
-    need = max(0, min(need, total))
+    if not 0 <= need <= total:
+        raise ValueError(f"a sample of {need} rows from {total}")
     if need == 0:
         return df.limit(0)
     if need == total:
         return df
     cols = [F.col(f"`{c}`") for c in df.columns]
     hashed = df.withColumn(HASH_COL, row_hash(df, seed, key_cols, method))
-    h = F.col(HASH_COL)
-    if total <= max_final:
-        return hashed.orderBy(h, *cols).limit(need).select(*cols)
-
     ensure_checkpoint_dir(df.sparkSession)
-    # One pass: rows of every bucket up to well past the expected cut, with
-    # their hash, to the shared checkpoint folder; the exact cut is then
-    # found in them. If it is not (many equal hashes), a full histogram
-    # finds it, and a second pass keeps the rows up to the cut bucket.
-    bucket = F.substring(h, 1, STEP)
-    cand = hashed.filter(bucket <= F.lit(_likely_bound(need, total, method))).checkpoint()
+    tie = row_hash(df, seed, None, "md5")
+
+    def keep(upto: str) -> DataFrame:
+        some = hashed.filter(F.substring(F.col(HASH_COL), 1, STEP) <= F.lit(upto))
+        return some.withColumn(HASH_COL, F.concat(F.col(HASH_COL), tie)).checkpoint()
+
+    cand = keep(_likely_bound(need, total, method))
     found = _cut(_histogram(cand, ""), "", need)
     if found is None:
         found = _cut(_histogram(hashed, ""), "", need)
-        cand = hashed.filter(bucket <= F.lit(found[0])).checkpoint()
+        cand = keep(found[0])
     prefix, pool_rows, need = found
-    while pool_rows > max_final and len(prefix) < HASH_LEN[method]:
+    h = F.col(HASH_COL)
+    while pool_rows > need and len(prefix) < HASH_LEN[method] + TIE_LEN:
         prefix, pool_rows, need = _cut(_histogram(cand.filter(h.startswith(prefix)), prefix), prefix, need)
-    earlier = cand.filter(F.substring(h, 1, len(prefix)) < F.lit(prefix))
+    out = cand.filter(F.substring(h, 1, len(prefix)) < F.lit(prefix))
     pool = cand.filter(h.startswith(prefix))
-    if pool_rows <= max_final:
-        tail = pool.orderBy(h, *cols).limit(need)
-    else:  # full hash reached, more than max_final rows share it: copies, taken by position
-        tail = take_exact(pool, need)
-    return earlier.unionByName(tail).select(*cols)
+    if pool_rows > need:  # copies of one row
+        one = pool.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies"))
+        pool = one.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(need))))
+    return out.select(*cols).unionByName(pool.select(*cols))
 
 
 def replicate(df: DataFrame, k: int) -> DataFrame:

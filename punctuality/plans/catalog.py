@@ -38,26 +38,21 @@ from punctuality.sources.sinks import write_dataset
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The carrier profile in SQL text, over a registered view. The months are kept as a
-# bitmask, so the aggregation stays a fixed-width HashAggregate.
+# The carrier profile in SQL text, over a registered view; per month first, like the operator.
 CARRIER_PROFILE_SQL = """
-WITH g AS (
-  SELECT op_unique_carrier, origin,
-         count(*) AS total_flights,
-         min(arr_delay) AS min_delay,
-         max(arr_delay) AS max_delay,
-         avg(arr_delay) AS mean_delay,
-         sum(coalesce(cancelled, 0)) AS n_cancelled,
-         bit_or(CASE WHEN month BETWEEN 1 AND 12 THEN shiftleft(1, month)
-                     WHEN month IS NOT NULL THEN raise_error('month out of range 1..12') END) AS months_mask
-  FROM {view}
-  GROUP BY op_unique_carrier, origin)
+WITH monthly AS (
+  SELECT op_unique_carrier, origin, month, count(*) AS n, min(arr_delay) AS least, max(arr_delay) AS most,
+         sum(arr_delay) AS total, count(arr_delay) AS known, sum(coalesce(cancelled, 0)) AS n_cancelled
+  FROM {view} GROUP BY op_unique_carrier, origin, month),
+g AS (
+  SELECT op_unique_carrier, origin, sum(n) AS total_flights, min(least) AS min_delay, max(most) AS max_delay,
+         try_divide(sum(total), sum(known)) AS mean_delay, sum(n_cancelled) AS n_cancelled, collect_list(month) AS months
+  FROM monthly GROUP BY op_unique_carrier, origin)
 SELECT op_unique_carrier, origin, total_flights, min_delay, max_delay,
        CAST(round(CAST(mean_delay AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_delay,
        CAST(round(CAST(CAST(n_cancelled AS DOUBLE) * 100 / total_flights AS DECIMAL(38,6)), 2) AS DOUBLE)
          AS cancellation_rate,
-       array_join(array_sort(transform(filter(sequence(1, 12), m -> (months_mask & shiftleft(1, m)) != 0),
-                                       m -> CAST(m AS STRING))), '-') AS months_active
+       array_join(array_sort(transform(months, m -> CAST(m AS STRING))), '-') AS months_active
 FROM g
 """
 
@@ -75,28 +70,21 @@ def _delay_tier(spark: SparkSession, d: str) -> DataFrame:
     return f.select("origin", "month", "dep_delay", "cancelled", delay_tier().alias("tier"))
 
 
-# Reader inputs already written in this application, by (app id, sf_dir, kind):
-# the queries measure the readers, so their derived input is written once.
-_WRITTEN: dict[tuple[str, str, str], str] = {}
-
-
-def _derived_input(spark: SparkSession, d: str, kind: str, write) -> str:
-    key = (spark.sparkContext.applicationId, d, kind)
-    if key not in _WRITTEN:
-        path = scratch_path(spark, kind)
-        write(path)
-        _WRITTEN[key] = path
-    return _WRITTEN[key]
+def _derived_input(spark: SparkSession, kind: str, write) -> str:
+    """Write a reader's input, derived from the tables, anew for this call."""
+    path = scratch_path(spark, kind)
+    write(path)
+    return path
 
 
 def _csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    path = _derived_input(spark, d, "csv", lambda p: write_dataset(flights_raw(spark, d), p, fmt="csv"))
+    path = _derived_input(spark, "csv", lambda p: write_dataset(flights_raw(spark, d), p, fmt="csv"))
     return read_flights(spark, path, FLIGHTS_RAW)
 
 
 def _broken_lines(spark: SparkSession, d: str) -> str:
-    """Trips as comma lines (plus a header), some of them broken; written once per application."""
-    return _derived_input(spark, d, "text", lambda p: _write_broken_lines(spark, d, p))
+    """Trips as comma lines (plus a header), some of them broken."""
+    return _derived_input(spark, "text", lambda p: _write_broken_lines(spark, d, p))
 
 
 def _write_broken_lines(spark: SparkSession, d: str, path: str) -> None:
@@ -125,6 +113,18 @@ def _text_rejected(spark: SparkSession, d: str) -> DataFrame:
     return rejected_summary(rejected)
 
 
+def _sample_check(spark: SparkSession, d: str) -> DataFrame:
+    """Size of the default sample, and rows of it that the input does not hold as often."""
+    rows = to_carrier_dataset(flights_raw(spark, d))
+    count = F.count(F.lit(1))
+    taken = sample_exact(rows, 0.01, seed=42).groupBy(*rows.columns).agg(count.alias("_taken"))
+    there = rows.groupBy(*rows.columns).agg(count.alias("_there"))
+    same = [taken[c].eqNullSafe(there[c]) for c in rows.columns]
+    both = taken.join(there, same, "left").select("_taken", "_there")
+    excess = F.when(F.coalesce("_there", F.lit(0)) < F.col("_taken"), 1).otherwise(0)
+    return both.agg(F.sum("_taken").alias("n_rows"), F.sum(excess).cast("long").alias("not_in_input"))
+
+
 def _report(spark: SparkSession, d: str) -> DataFrame:
     return delay_report(flights(spark, d))
 
@@ -153,7 +153,7 @@ QUERIES: dict[str, Query] = {
     "prep_carrier": lambda s, d: to_carrier_dataset(flights_raw(s, d)),
     "prep_causes": lambda s, d: to_cause_dataset(flights_raw(s, d)),
     "sample_exact": lambda s, d: sample_exact(to_carrier_dataset(flights_raw(s, d)), 0.01, seed=42, method="md5"),
-    "sample_exact_xxhash": lambda s, d: sample_exact(to_carrier_dataset(flights_raw(s, d)), 0.01, seed=42),
+    "sample_exact_check": _sample_check,
     "replicate": lambda s, d: replicate(to_carrier_dataset(flights_raw(s, d)), 10),
     # Profiling
     "null_profile": lambda s, d: null_profile(flights_raw(s, d)),

@@ -23,8 +23,7 @@ from punctuality.operators.prep import to_carrier_dataset, to_cause_dataset
 from punctuality.operators.sampling import replicate, sample_exact
 from punctuality.plans.reports import PROFILE_KEYS, REPORT_KEYS, carrier_report, delay_report, delay_report_text
 from punctuality.schemas import FLIGHTS_CARRIER, FLIGHTS_CAUSES, FLIGHTS_RAW
-from punctuality.session import ensure_checkpoint_dir
-from punctuality.sources.files import read_flights, read_flights_text, rejected_summary
+from punctuality.sources.files import read_flights, read_flights_csv, read_flights_text, rejected_summary
 from punctuality.sources.sinks import write_dataset, write_report
 
 
@@ -50,20 +49,20 @@ REJECTED_SCHEMA = "value STRING, _error STRING"
 
 
 def _read(spark: SparkSession, a: argparse.Namespace, schema) -> DataFrame:
-    if a.input_format != "text":
+    if a.input_format == "parquet":
         return read_flights(spark, a.input, schema, fmt=a.input_format)
-    good, rejected = read_flights_text(spark, a.input, schema)
+    read = read_flights_text if a.input_format == "text" else read_flights_csv
+    good, rejected = read(spark, a.input, schema)
     if not a.no_rejected:
         path = a.output.rstrip("/") + "_rejected"
-        write_report(rejected, path, fmt="tsv")
-        counts = {r.reason: r.lines for r in rejected_summary(spark.read.schema(REJECTED_SCHEMA).option("sep", "\t").csv(path)).collect()}
+        write_report(rejected, path, fmt="json")  # lines as they are
+        counts = {r.reason: r.lines for r in rejected_summary(spark.read.schema(REJECTED_SCHEMA).json(path)).collect()}
         print(f"rejected lines: {sum(counts.values())} {counts} -> {path}")
     return good
 
 
 def run(spark: SparkSession, argv: list[str]) -> None:
     a = _parser().parse_args(argv)
-    ensure_checkpoint_dir(spark)
     if a.job == "carrier_profile":
         df = _read(spark, a, FLIGHTS_CARRIER)
         out = carrier_report(df, text=not a.typed)

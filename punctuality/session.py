@@ -40,9 +40,7 @@ def get_session(
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
-    spark = b.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
+    return b.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -60,7 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
+    if sc.master == "local" or sc.master.startswith("local["):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="punctuality-ckpt-"))
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3) for this job")

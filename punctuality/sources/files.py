@@ -1,4 +1,4 @@
-"""Readers: headed CSV (or any Spark format) with an explicit schema, and
+"""Readers: headed CSV (or any Spark format) with columns found by name, and
 a line-level text reader that keeps malformed lines apart instead of
 losing them."""
 
@@ -22,66 +22,59 @@ def read_flights(
     sep: str = ",",
     header: bool = True,
 ) -> DataFrame:
-    """Read a file or a directory of files (local, HDFS or S3 URI).
-
-    CSV is read with ``schema`` (no inference pass); with a header, the
-    header's names are checked against the schema. ``columns`` selects
-    the wanted ones: Spark prunes the rest in the scan.
+    """Read a file or a directory of files (local, HDFS or S3 URI): the good rows of
+    :func:`read_flights_csv`, or any other Spark format. ``columns`` selects the wanted ones: Spark
+    prunes the rest in the scan, so that a CSV row is judged by those columns alone.
     """
-    if fmt == "csv":
-        df = (
-            spark.read.schema(schema)
-            .option("header", header)
-            .option("enforceSchema", not header)
-            .option("sep", sep)
-            .option("mode", "PERMISSIVE")
-            .csv(path)
-        )
+    if fmt == "csv" and columns:
+        names = file_columns(_csv_header(spark, path, sep), schema) if header else None
+        rows = _csv_rows(spark, path, names or schema.fieldNames(), sep, header)
+        wanted = T.StructType([schema[c] for c in columns])
+        none = F.lit(None)
+        raw = rows.select(none.cast("string").alias("value"), none.cast("int").alias("_nf"), *_csv_texts(wanted))
+        df, _ = _split(_checked(raw, wanted, F.lit(False)), wanted)
+    elif fmt == "csv":
+        df, _ = read_flights_csv(spark, path, schema, sep=sep, header=header)
     else:
         df = spark.read.format(fmt).load(path)
     return df.select(*columns) if columns else df
 
 
-def parse_flights_text(
-    spark: SparkSession,
-    path: str | list[str],
-    schema: T.StructType = FLIGHTS_RAW,
-    sep: str = ",",
-    header: bool = True,
-) -> DataFrame:
-    """Lines split on ``sep``; the schema's columns plus ``value`` (the
-    line) and ``_error``: ``field_count:<n>`` when a line has not exactly
-    as many fields as the schema, ``bad_value:<cols>`` when a non-empty
-    field does not cast to its type, else null. Empty fields are null.
-
-    Plain splitting, no quoting, like the trip files it reads. The result
-    does not depend on which columns a later query reads.
-    """
+def file_columns(names: list[str], schema: T.StructType) -> list[str] | None:
+    """``names`` if they are a header (at least half of the schema's columns are among them), else
+    None. A header without one of the schema's columns is an error."""
+    wanted = schema.fieldNames()
+    missing = [n for n in wanted if n not in names]
+    if 2 * len(missing) > len(wanted):
+        return None
+    if missing:
+        raise ValueError(f"columns missing in the header: {', '.join(missing)}")
+    return names
+
+
+def _typed(raw: str, f: T.StructField):
+    """The text column ``raw`` as the field's type, null if it does not fit: integers may be
+    written as whole decimals (``1.0``), numbers must be finite."""
+    c = F.col(raw)
+    if isinstance(f.dataType, T.StringType):
+        return c
+    if isinstance(f.dataType, T.IntegralType):
+        d = c.try_cast("decimal(38,10)")
+        return F.when(d == F.floor(d), d).try_cast(f.dataType)
+    if isinstance(f.dataType, T.FractionalType):
+        d = c.try_cast(f.dataType)
+        return F.when(~F.isnan(d) & (F.abs(d) != float("inf")), d)
+    return c.try_cast(f.dataType)
+
+
+def _checked(raw: DataFrame, schema: T.StructType, broken) -> DataFrame:
+    """Typed columns, ``value`` and ``_error`` from ``value``, ``_nf`` and one text column ``_r<i>`` per field."""
     names = schema.fieldNames()
-    lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
-    if header:
-        lines = lines.filter(F.col("value") != F.lit(sep.join(names)))
-    # One projection per step, so that the split and each cast run once per line.
-    split = lines.select("value", F.split(F.col("value"), _regex_quote(sep), -1).alias("_f"))
-    raw = split.select(
-        "value",
-        F.size("_f").alias("_nf"),
-        *[F.nullif(F.trim(F.get(F.col("_f"), i)), F.lit("")).alias(f"_r{i}") for i in range(len(names))],
-    )
-    typed = raw.select(
-        "value",
-        "_nf",
-        *[F.col(f"_r{i}") for i in range(len(names))],
-        *[
-            (F.col(f"_r{i}") if isinstance(f.dataType, T.StringType) else F.col(f"_r{i}").try_cast(f.dataType)).alias(f.name)
-            for i, f in enumerate(schema.fields)
-        ],
-    )
+    texts = [F.col(f"_r{i}") for i in range(len(names))]
+    typed = raw.select("value", "_nf", *texts, *[_typed(f"_r{i}", f).alias(f.name) for i, f in enumerate(schema.fields)])
     # concat_ws skips nulls: the names of the fields that failed to cast, or ''.
-    bad = F.concat_ws(
-        ",", *[F.when(F.col(f"_r{i}").isNotNull() & F.col(f"`{n}`").isNull(), F.lit(n)) for i, n in enumerate(names)]
-    )
-    error = F.when(F.col("_nf") != len(names), F.concat(F.lit("field_count:"), F.col("_nf").cast("string"))).when(
+    bad = F.concat_ws(",", *[F.when(t.isNotNull() & F.col(f"`{n}`").isNull(), F.lit(n)) for n, t in zip(names, texts, strict=True)])
+    error = F.when(broken, F.concat(F.lit("field_count:"), F.col("_nf").cast("string"))).when(
         bad != "", F.concat(F.lit("bad_value:"), bad)
     )
     # The one-row inline is a Generate, which filters are not pushed below:
@@ -91,12 +84,84 @@ def parse_flights_text(
     return typed.select(F.inline(F.array(row)))
 
 
+def parse_flights_lines(
+    lines: DataFrame, schema: T.StructType = FLIGHTS_RAW, sep: str = ",", file_names: list[str] | None = None
+) -> DataFrame:
+    """Lines (``value``) split on ``sep``; the schema's columns plus ``value`` and ``_error``:
+    ``field_count:<n>`` when a line has another number of fields than ``file_names`` (the header; by
+    default the schema's columns), ``bad_value:<cols>`` when a non-empty field does not fit its type,
+    else null. Empty fields are null, blank lines are skipped, header lines too; a header with the
+    columns in another order stops the job, since the lines after it would be misread.
+
+    Plain splitting, no quoting, like the trip files it reads.
+    """
+    names = schema.fieldNames()
+    file_names = file_names or names
+    lines = lines.filter(F.trim(F.col("value")) != "").filter(F.col("value") != F.lit(sep.join(file_names)))
+    # One projection per step, so that the split and each cast run once per line.
+    split = lines.select("value", F.split(F.col("value"), _regex_quote(sep), -1).alias("_f"))
+    other = F.size(F.array_intersect("_f", F.array(*[F.lit(n) for n in names]))) == len(names)
+    value = F.when(other, F.raise_error(F.concat(F.lit("another header: "), F.col("value")))).otherwise(F.col("value"))
+    raw = split.select(
+        value.alias("value"),
+        F.size("_f").alias("_nf"),
+        *[F.nullif(F.trim(F.get(F.col("_f"), file_names.index(n))), F.lit("")).alias(f"_r{i}") for i, n in enumerate(names)],
+    )
+    return _checked(raw, schema, F.col("_nf") != len(file_names))
+
+
+def parse_flights_text(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = FLIGHTS_RAW, sep: str = ",", header: bool = True
+) -> DataFrame:
+    """:func:`parse_flights_lines` over files. With ``header``, the first line names the columns, in any
+    order and with others among them; all files of one call have the same header."""
+    lines = spark.read.text(path)
+    first = lines.first() if header else None
+    names = file_columns([x.strip() for x in first[0].split(sep)], schema) if first else None
+    return parse_flights_lines(lines, schema, sep, names)
+
+
+def _split(parsed: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    good = parsed.filter(F.col(ERROR_COL).isNull()).select(*schema.fieldNames())
+    return good, parsed.filter(F.col(ERROR_COL).isNotNull()).select("value", ERROR_COL)
+
+
 def read_flights_text(spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW, **kw) -> tuple[DataFrame, DataFrame]:
     """(good rows with ``schema``, rejected lines with ``value`` and ``_error``)."""
-    parsed = parse_flights_text(spark, path, schema, **kw)
-    good = parsed.filter(F.col(ERROR_COL).isNull()).select(*schema.fieldNames())
-    rejected = parsed.filter(F.col(ERROR_COL).isNotNull()).select("value", ERROR_COL)
-    return good, rejected
+    return _split(parse_flights_text(spark, path, schema, **kw), schema)
+
+
+def _csv_header(spark: SparkSession, path, sep: str) -> list[str]:
+    return [x.strip() for x in spark.read.option("header", True).option("sep", sep).csv(path).columns]
+
+
+def _csv_rows(spark: SparkSession, path, names: list[str], sep: str, header: bool, corrupt: str | None = None):
+    """All columns as text, and the broken line in ``corrupt`` if asked for. A file whose header differs is an error."""
+    extra = [corrupt] if corrupt else []
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *extra]])
+    reader = spark.read.schema(as_text).option("sep", sep).option("header", header).option("enforceSchema", not header)
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.option("mode", "PERMISSIVE").csv(path)
+
+
+def _csv_texts(schema: T.StructType):
+    return [F.nullif(F.trim(F.col(f"`{n}`")), F.lit("")).alias(f"_r{i}") for i, n in enumerate(schema.fieldNames())]
+
+
+def read_flights_csv(
+    spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW, sep: str = ",", header: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`read_flights_text` for quoted CSV. A file whose header differs from the first one's is an error."""
+    names = file_columns(_csv_header(spark, path, sep), schema) if header else schema.fieldNames()
+    if names is None:
+        raise ValueError("the first line is no header of these columns")
+    broken = F.col("_corrupt_line")
+    rows = _csv_rows(spark, path, names, sep, header, "_corrupt_line")
+    line = F.coalesce(broken, F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names])))
+    fields_found = F.when(broken.isNotNull(), F.size(F.split(broken, _regex_quote(sep), -1)))
+    raw = rows.select(line.alias("value"), fields_found.alias("_nf"), *_csv_texts(schema))
+    return _split(_checked(raw, schema, F.col("_nf").isNotNull()), schema)
 
 
 def rejected_summary(rejected: DataFrame) -> DataFrame:

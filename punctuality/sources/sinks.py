@@ -8,20 +8,23 @@ from pyspark.sql import functions as F
 from punctuality.operators.ordering import apply_order
 
 
+#: Spark's CSV writer trims blanks unless told not to.
+_VERBATIM = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _shape(df: DataFrame, keys, order, partition_by, single_file) -> DataFrame:
     keys = list(keys or [])
+    if order and partition_by:
+        raise ValueError("order and partition_by exclude each other: repartitioning loses the order")
+    if single_file:
+        # One writer task; the aggregate before the exchange stays parallel.
+        df = df.repartition(1)
+        return df.sortWithinPartitions(*keys) if keys and (order or partition_by) else df
     if partition_by:
         # Hash by the partition column, then order rows inside each file.
         df = df.repartition(partition_by)
-        if keys:
-            df = df.sortWithinPartitions(*keys)
-    elif order:
-        df = apply_order(df, keys, order)
-    if single_file:
-        # Reports have one row per group, so one writer task is enough; a
-        # coalesce keeps the order of a preceding global sort.
-        df = df.coalesce(1)
-    return df
+        return df.sortWithinPartitions(*keys) if keys else df
+    return apply_order(df, keys, order) if order else df
 
 
 def write_report(
@@ -40,7 +43,7 @@ def write_report(
     per row, fields joined by ``sep`` (nulls empty); ``parquet``."""
     out = _shape(df, keys, order, partition_by, single_file)
     if fmt in ("tsv", "csv"):
-        out.write.mode(mode).option("sep", sep).option("header", header).csv(path)
+        out.write.mode(mode).options(sep=sep, header=header, **_VERBATIM).csv(path)
     elif fmt == "text":
         line = F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in out.columns])
         out.select(line.alias("value")).write.mode(mode).text(path)
@@ -52,7 +55,7 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", header: bool =
     """Prepared trips: parquet by default, or headed CSV."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w.option("header", header).csv(path)
+        w.options(header=header, **_VERBATIM).csv(path)
     else:
         w.format(fmt).save(path)
 

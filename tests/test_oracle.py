@@ -4,17 +4,13 @@ import pytest
 from oracle_check import compare
 
 import __spark_entry__ as entry
+from punctuality.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
-# Queries no DuckDB SQL can reproduce (Spark's xxhash64); checked for row
-# count here and against a full sort in tests/test_properties.py.
-ROWS_ONLY = {"sample_exact_xxhash"}
-
-
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - ROWS_ONLY
+    assert set(QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -25,16 +21,12 @@ def test_entry_smoke(spark):
 
 @pytest.fixture(scope="module")
 def results(spark):
-    return compare(spark, SF)
+    return compare(spark, SF, sorted(QUERIES))
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(results, name):
     r = results[name]
     assert r["cols_match"], r
     assert r["rows"] == r["oracle_rows"], r
     assert r["hash_match"], r
-
-
-def test_rows_only_queries(results):
-    assert results["sample_exact_xxhash"]["rows"] == results["sample_exact"]["rows"]

@@ -109,11 +109,15 @@ def test_sample_exact_size_subset_and_stable(spark):
     assert len({r.id for r in s1}) == len(s1)
 
 
-def test_sample_exact_refines_without_global_sort(spark):
+def test_sample_exact_does_not_depend_on_partitioning_with_key_columns(spark):
     df = _numbers(spark, 5000, 5)
-    direct = sorted(sample_exact(df, 0.1, seed=3).collect())
-    refined = sorted(sample_exact(df, 0.1, seed=3, max_final=40).collect())
-    assert refined == direct and len(direct) == 500
+    one, other = (sorted(sample_exact(x, None, seed=3, n=500, key_cols=["g"]).collect()) for x in (df, df.repartition(13)))
+    assert one == other and len(one) == 500
+
+
+def test_sample_larger_than_the_input_is_an_error(spark):
+    with pytest.raises(ValueError):
+        sample_exact(_numbers(spark, 10, 2), None, n=11)
 
 
 def _brute_sample(rows, n, seed):
@@ -125,17 +129,17 @@ def _brute_sample(rows, n, seed):
 
 def test_sample_exact_copies_of_one_row(spark):
     # 3001 equal rows (75%): the cut always falls inside them, so they are
-    # taken by position (take_exact), not ordered in one task.
+    # made as copies, not ordered in one task.
     one = spark.range(1).select(F.lit(1).cast("long").alias("id"), F.lit(1).cast("long").alias("g"))
     copies = replicate(one, 3000).repartition(4).unionByName(_numbers(spark, 1000, 3))
-    got = sorted(tuple(r) for r in sample_exact(copies, 0.5, seed=1, method="md5", max_final=50).collect())
+    got = sorted(tuple(r) for r in sample_exact(copies, 0.5, seed=1, method="md5").collect())
     rows = [(1, 1)] * 3000 + [(i, i % 7) for i in range(1000)]
     assert got == sorted(_brute_sample(rows, 2000, 1))
 
 
 def test_sample_exact_matches_md5_order(spark):
     rows = [(i, i % 7) for i in range(3000)]
-    got = sorted(tuple(r) for r in sample_exact(_numbers(spark, 3000, 4), 0.02, seed=42, method="md5", max_final=16).collect())
+    got = sorted(tuple(r) for r in sample_exact(_numbers(spark, 3000, 4), 0.02, seed=42, method="md5").collect())
     assert got == sorted(_brute_sample(rows, 60, 42))
 
 
@@ -145,9 +149,7 @@ def test_sample_exact_xxhash_matches_full_sort(spark):
     df = _numbers(spark, 4000, 5).unionByName(replicate(_numbers(spark, 50, 1), 30))
     brute = df.withColumn(HASH_COL, row_hash(df, 9)).orderBy(HASH_COL, "id", "g").limit(333).drop(HASH_COL)
     want = sorted(tuple(r) for r in brute.collect())
-    for max_final in (1 << 20, 64, 8):
-        got = sorted(tuple(r) for r in sample_exact(df, None, seed=9, n=333, max_final=max_final).collect())
-        assert got == want, max_final
+    assert sorted(tuple(r) for r in sample_exact(df, None, seed=9, n=333).collect()) == want
 
 
 def test_sample_exact_edges(spark):
@@ -162,9 +164,8 @@ def test_sample_exact_edges(spark):
     st.lists(st.tuples(st.integers(0, 30), st.sampled_from(["a", "b", None])), min_size=1, max_size=300),
     st.integers(1, 40),
     st.sampled_from(["xxhash64", "md5"]),
-    st.sampled_from([1 << 20, 16, 3]),
 )
-def test_sample_exact_vs_full_sort(spark, rows, copies, method, max_final):
+def test_sample_exact_vs_full_sort(spark, rows, copies, method):
     """Duplicate-heavy inputs: the sample equals the first n rows of a full
     sort by (hash, values), whatever path the cut takes."""
     from punctuality.operators.sampling import HASH_COL, row_hash
@@ -175,7 +176,7 @@ def test_sample_exact_vs_full_sort(spark, rows, copies, method, max_final):
     n = max(1, total // 3)
     full = df.withColumn(HASH_COL, row_hash(df, 5, method=method))
     want = sorted((tuple(r) for r in full.orderBy(HASH_COL, "x", "s").limit(n).drop(HASH_COL).collect()), key=repr)
-    got = sorted((tuple(r) for r in sample_exact(df, None, seed=5, n=n, method=method, max_final=max_final).collect()), key=repr)
+    got = sorted((tuple(r) for r in sample_exact(df, None, seed=5, n=n, method=method).collect()), key=repr)
     assert got == want
 
 
@@ -190,7 +191,7 @@ def test_sample_exact_when_the_cut_is_not_where_expected(spark, monkeypatch, bou
     df = _numbers(spark, 3000, 4)
     full = df.withColumn(HASH_COL, row_hash(df, 11))
     want = sorted(tuple(r) for r in full.orderBy(HASH_COL, "id", "g").limit(700).drop(HASH_COL).collect())
-    got = sorted(tuple(r) for r in sample_exact(df, None, seed=11, n=700, max_final=32).collect())
+    got = sorted(tuple(r) for r in sample_exact(df, None, seed=11, n=700).collect())
     assert got == want
 
 
