@@ -11,8 +11,9 @@ are candidates. Within a band bucket every node is first paired with the bucket'
 the pairs are confirmed on the full sets and joined into components. Buckets that then still
 hold several components are compared further: every node outside the bucket's largest
 component against every node of the bucket in another component, in blocks of bounded size
-(each block pair a task of its own), by signature; those that could reach the threshold are confirmed on the full sets too. No
-bucket is gathered whole or cut off, and copies are not expanded into pairs.
+(each block pair a task of its own), by signature; those that could reach the threshold are confirmed
+on the full sets inside the block. No bucket is gathered whole or cut off, and neither copies nor
+near copies are expanded into rows of pairs.
 
 With the default 24 bands of 5 slots, a pair at similarity 0.85 shares no band with a chance
 below 1e-6, at 0.8 below 1e-4. ``slack`` is five standard deviations of a signature's estimate.
@@ -153,24 +154,28 @@ def node_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     return found
 
 
+def _similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union of two sorted sets."""
+    if len(p) < len(q):
+        p, q = q, p
+    if 100 * len(q) < percent * len(p):
+        return False
+    spot = np.searchsorted(p, q)
+    spot[spot == len(p)] = 0
+    both = int((p[spot] == q).sum())
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
+def _elements(value: pa.BinaryScalar) -> np.ndarray:
+    return np.frombuffer(value.as_buffer(), _U)
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            keep = []
-            for p, q in zip(x, y, strict=True):
-                p, q = (np.frombuffer(v.as_buffer(), _U) for v in (p, q))
-                if len(p) < len(q):
-                    p, q = q, p
-                if 100 * len(q) < percent * len(p):
-                    keep.append(False)
-                    continue
-                spot = np.searchsorted(p, q)
-                spot[spot == len(p)] = 0
-                both = int((p[spot] == q).sum())
-                keep.append(100 * both >= percent * (len(p) + len(q) - both))
+            keep = [_similar(_elements(p), _elements(q), percent) for p, q in zip(batch.column("x"), batch.column("y"), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
@@ -178,39 +183,80 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
-def _block_pairs(low: float, best: int | None):
-    """Pairs of a block of outside nodes and a block of members, of different components, whose
-    signatures agree in at least ``low`` of the slots; only in the first band that the two share.
-    With ``best``, only that many of an outside node, the most similar ones."""
+def _candidates(t: pa.Table, low: float, best: int | None) -> Iterator[tuple[int, np.ndarray]]:
+    """Each outside node's place and those of the block's members that are of another component and
+    agree with it in at least ``low`` of the slots; only in the first band that the two share. With
+    ``best``, only that many of an outside node, the most similar ones."""
+    outside = np.asarray(t.column("outside"))
+    part = np.asarray(t.column("component"))
+    band = t.column("band")[0].as_py()
+    signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(len(part), -1)
+    shared = band_keys(signature)
+    members = np.flatnonzero(~outside)
+    for i in np.flatnonzero(outside):
+        j = members[part[members] != part[i]]
+        agree = (signature[j] == signature[i]).sum(1)
+        same = agree >= low * signature.shape[1]
+        if best is None:
+            same &= (shared[j, :band] == shared[i, :band]).sum(1) == 0
+        j = j[same]
+        if best is not None:
+            j = j[np.argsort(-agree[same], kind="stable")[:best]]
+        yield i, j
+
+
+def _block_pairs(low: float, best: int):
+    """(a, b): the most similar pairs of a block."""
 
     def run(t: pa.Table) -> pa.Table:
-        outside = np.asarray(t.column("outside"))
-        node, part = np.asarray(t.column("node")), np.asarray(t.column("component"))
-        band = t.column("band")[0].as_py()
-        signature = np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint32).reshape(len(node), -1)
-        shared = band_keys(signature)
-        out_a, out_b = [], []
-        members = np.flatnonzero(~outside)
-        for i in np.flatnonzero(outside):
-            j = members[part[members] != part[i]]
-            agree = (signature[j] == signature[i]).sum(1)
-            same = agree >= low * signature.shape[1]
-            if best is None:
-                same &= (shared[j, :band] == shared[i, :band]).sum(1) == 0
-            j = j[same]
-            if best is not None:
-                j = j[np.argsort(-agree[same], kind="stable")[:best]]
-            out_a.append(np.minimum(node[j], node[i]))
-            out_b.append(np.maximum(node[j], node[i]))
-        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (out_a, out_b))
+        node = np.asarray(t.column("node"))
+        pairs = [(np.minimum(node[j], node[i]), np.maximum(node[j], node[i])) for i, j in _candidates(t, low, best)]
+        a, b = (np.concatenate([*x, np.zeros(0, np.int64)]) for x in (zip(*pairs, strict=True) if pairs else ((), ())))
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def _open_pairs(members: DataFrame, groups: DataFrame, signatures_of: DataFrame, block: int, low: float, best: int | None) -> DataFrame:
-    """(a, b): pairs of different components inside the buckets, see ``_block_pairs``. A bucket's nodes
-    outside its largest component meet all its nodes in blocks of about ``block`` by ``block``."""
+def _block_partners(low: float):
+    """The nodes of a block that are in any candidate pair: an outside node with its partners, a
+    member with none."""
+
+    def run(t: pa.Table) -> pa.Table:
+        node = np.asarray(t.column("node"))
+        found = [(i, j) for i, j in _candidates(t, low, None) if len(j)]
+        met = np.unique(np.concatenate([np.zeros(0, np.int64), *(node[j] for _, j in found)]))
+        rows = [(int(node[i]), node[j]) for i, j in found] + [(n, None) for n in met.tolist()]
+        keys = [pa.array([t.column(c)[0].as_py()] * len(rows), pa.int64()) for c in ("band", "key", "u", "m")]
+        own = [pa.array([n for n, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.list_(pa.int64()))]
+        return pa.table([*keys, *own], ["band", "key", "u", "m", "node", "partners"])
+
+    return run
+
+
+def _block_links(percent: int):
+    """(a, b): the pairs of a block that the full sets confirm."""
+
+    def run(t: pa.Table) -> pa.Table:
+        partners, elements = t.column("partners"), t.column("elements")
+        node = t.column("node").to_pylist()
+        sets: dict[int, list] = {}
+        for i, n in enumerate(node):  # more than one set where rows share a doc_id
+            sets.setdefault(n, []).append(_elements(elements[i]))
+        links = set()
+        for i, n in enumerate(node):
+            own = _elements(elements[i])
+            for other in partners[i].as_py() or ():
+                if any(_similar(own, x, percent) for x in sets[other]):
+                    links.add((min(n, other), max(n, other)))
+        a, b = zip(*sorted(links), strict=True) if links else ((), ())
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _open_blocks(members: DataFrame, groups: DataFrame, signatures_of: DataFrame, block: int) -> DataFrame:
+    """What is left of the buckets: a bucket's nodes outside its largest component meet all its nodes
+    in blocks (band, key, u, m) of about ``block`` by ``block`` nodes."""
     labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     sizes = labelled.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("size"))
     main = sizes.groupBy("band", "key").agg(
@@ -226,15 +272,25 @@ def _open_pairs(members: DataFrame, groups: DataFrame, signatures_of: DataFrame,
     open_members = labelled.join(main, ["band", "key"])
     deal = F.xxhash64("node")
     outside = open_members.where("component <> main").select(
-        "band", "key", "node", "component", F.lit(True).alias("outside"),
+        F.col("band").cast("long").alias("band"), "key", "node", "component", F.lit(True).alias("outside"),
         F.pmod(deal, "u_blocks").alias("u"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("m_blocks") - 1)).alias("m"),
     )
     inside = open_members.select(
-        "band", "key", "node", "component", F.lit(False).alias("outside"),
+        F.col("band").cast("long").alias("band"), "key", "node", "component", F.lit(False).alias("outside"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("u_blocks") - 1)).alias("u"), F.pmod(deal, "m_blocks").alias("m"),
     )
-    blocks = outside.unionByName(inside).join(signatures_of, "node")
-    return blocks.groupBy("band", "key", "u", "m").applyInArrow(_block_pairs(low, best), "a long, b long")
+    return outside.unionByName(inside).join(signatures_of, "node")
+
+
+_BLOCK = ("band", "key", "u", "m")
+
+
+def _open_links(blocks: DataFrame, sets: DataFrame, percent: int, low: float) -> DataFrame:
+    """(a, b): all links left inside the blocks. The full sets go to the blocks, once per node with a
+    candidate there, and the pairs are confirmed where they are found: no pair becomes a row."""
+    found = blocks.groupBy(*_BLOCK).applyInArrow(_block_partners(low), "band long, key long, u long, m long, node long, partners array<long>")
+    with_sets = materialize(found, "minhash-partners").join(sets, "node")
+    return with_sets.groupBy(*_BLOCK).applyInArrow(_block_links(percent), "a long, b long").distinct()
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, block: int = 256, slack: float = 0.18) -> DataFrame:
@@ -261,16 +317,24 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, bl
     links = materialize(confirmed(stars, sets, percent), "minhash-links")
     groups = components(links)
 
-    # What is left of the buckets: nodes outside each bucket's largest component. First the most similar
-    # pairs, which join most of them, then all pairs that are left.
+    # Nodes outside each bucket's largest component: first the most similar pairs, which join most
+    # of them, then all that is left.
     tested = stars
-    for best in (3, 3, None):
-        more = _open_pairs(members, groups, nodes.select("node", "signature"), block, percent / 100 - slack, best)
+    low = percent / 100 - slack
+    signatures_of = nodes.select("node", "signature")
+
+    def joined(links: DataFrame) -> DataFrame:
+        if not links.limit(1).count():
+            return groups
+        return components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+    for _ in range(2):
+        more = _open_blocks(members, groups, signatures_of, block).groupBy(*_BLOCK).applyInArrow(_block_pairs(low, 3), "a long, b long")
         more = materialize(more.distinct().join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
-        more_links = materialize(confirmed(more, sets, percent), "minhash-links")
         tested = tested.unionByName(more)
-        if more_links.limit(1).count():
-            groups = components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more_links))
+        groups = joined(materialize(confirmed(more, sets, percent), "minhash-links"))
+    rest = _open_links(_open_blocks(members, groups, signatures_of, block), sets, percent, low)
+    groups = joined(materialize(rest, "minhash-links"))
 
     out = with_class.join(groups, "node", "left")
     component = F.coalesce("component", with_class["node"], "doc_id")
