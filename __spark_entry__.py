@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from punctuality.plans.catalog import QUERIES  # noqa: E402
 from punctuality.plans.reports import delay_report, delay_report_text  # noqa: E402
+from punctuality.plans.roundtrips import AWKWARD_TEXT, edge_columns  # noqa: E402
 from punctuality.schemas import CAUSE_LABELS, FLIGHTS_RAW  # noqa: E402
-from punctuality.sources.fixtures import flights, flights_raw_sql, flights_sql  # noqa: E402
+from punctuality.sources.fixtures import FLIGHT_COLUMNS, flights, flights_raw_sql, flights_sql  # noqa: E402
 
 try:  # the text operators are a part by themselves; without them everything else works
     import corpus_pipeline  # noqa: E402
@@ -62,6 +63,8 @@ def _txt2(x: str) -> str:
 
 
 _FLIGHTS = f"flights AS ({flights_sql('lineitem')})"
+_RAW_AS_FLIGHTS = f"flights AS ({flights_raw_sql('lineitem')})"
+_EDGE = f"flights AS (SELECT {', '.join(edge_columns(FLIGHT_COLUMNS))} FROM ({flights_sql('lineitem')}) t3)"
 _RAW = f"flights_raw AS ({flights_raw_sql('lineitem')})"
 _CARRIER = (
     "carrier AS (SELECT op_unique_carrier, origin, arr_delay, cancelled, month FROM flights_raw "
@@ -107,7 +110,7 @@ _TOP = "top AS (SELECT origin, month, {cols} FROM ranked WHERE rnk <= 3 GROUP BY
 )
 _REPORT = (
     "report AS (SELECT s.*, t.cause_1, t.count_1, t.cause_2, t.count_2, t.cause_3, t.count_3 "
-    "FROM stats s LEFT JOIN top t ON s.origin = t.origin AND s.month = t.month)"
+    "FROM stats s LEFT JOIN top t ON s.origin IS NOT DISTINCT FROM t.origin AND s.month IS NOT DISTINCT FROM t.month)"
 )
 
 
@@ -232,6 +235,25 @@ ORACLE: dict[str, str] = {
     "ELSE 'bad_value' END AS reason FROM flights_raw WHERE dep_delay IN (7, 8, 9)) x GROUP BY reason",
 }
 
+# Round trips and rare cases: what was written, computed again.
+_LINE = "low_str || chr(9) || med_str || chr(9) || high_str || chr(9) || cause_str"
+ORACLE |= {
+    "text_wide_raw": ORACLE["csv_roundtrip"],
+    "text_reordered_header": ORACLE["csv_roundtrip"],
+    "table_roundtrip": ORACLE["csv_roundtrip"],
+    "prep_from_wide_raw": ORACLE["prep_carrier"],
+    "tsv_roundtrip": _with(_RAW) + f"SELECT op_unique_carrier, {AWKWARD_TEXT} AS note, month, arr_delay FROM flights_raw",
+    "text_lines_roundtrip": f"SELECT origin || chr(9) || CAST(month AS VARCHAR) || chr(9) || {_LINE} AS line FROM ({_REPORT_TEXT}) t4",
+    "partitioned_report": _REPORT_TYPED,
+    "single_file_report": f"SELECT *, 1 AS n_files FROM ({_REPORT_TEXT.replace(_FLIGHTS, _RAW_AS_FLIGHTS)}) t4",
+    "report_order_check": f"SELECT kind, count(*) AS n_rows, 0 AS out_of_order FROM ({_REPORT_TYPED}) t4, "
+    "(VALUES ('single'), ('global'), ('clustered'), ('by_month')) k(kind) GROUP BY kind",
+    "distinct_approx_check": f"SELECT position, column_name, true AS \"close\" FROM ({ORACLE['distinct_profile']}) t4",
+    "carrier_profile_edge": _CARRIER_PROFILE.replace(_FLIGHTS, _EDGE),
+    "delay_report_edge": _REPORT_TYPED.replace(_FLIGHTS, _EDGE),
+    "delay_report_edge_text": _REPORT_TEXT.replace(_FLIGHTS, _EDGE),
+}
+
 
 def oracle_sql() -> dict[str, str]:
     out = {k: v for k, v in ORACLE.items() if k in QUERIES}

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from punctuality.functions.numeric import ratio_pct, round2
 
@@ -37,27 +38,45 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def distinct_profile(df: DataFrame, cols=None, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+def _distinct_text(f: T.StructField):
+    """A text that is equal for equal values of the column only."""
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, T.FloatType | T.DoubleType):
+        return (c + F.lit(0.0)).cast("string")  # one zero
+    if isinstance(f.dataType, T.BinaryType):
+        return F.hex(c)
+    if isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType):
+        return F.when(c.isNotNull(), F.to_json(c))
+    return c.cast("string")
+
+
+def distinct_profile(df: DataFrame, cols=None, approx: bool = False, rsd: float = 0.01, per_column: bool = False) -> DataFrame:
     """(position, column, distinct_count), nulls not counted.
 
-    Exact: one single-column ``count(DISTINCT c)`` per column, unioned.
-    Each branch reads only its own column (pruned in the scan, so the
-    columns are read about once in total) and deduplicates map-side before
-    its shuffle; several distinct aggregates in one ``agg`` would instead
-    copy every row once per column (an Expand) keyed on all of them.
+    Exact, in one scan: each row gives a (position, value) pair per column, values as text,
+    which are deduplicated map-side, shuffled and counted by position.
+    ``per_column=True``: one single-column ``count(DISTINCT c)`` per column, unioned; each branch
+    scans anew but reads only its own column where the format stores columns.
     ``approx=True``: one pass with a HyperLogLog++ sketch per column, a
     fixed-size buffer per task.
     """
     sub = df.select(*[f"`{c}`" for c in cols]) if cols else df
     if approx:
         return _per_column(sub, [F.approx_count_distinct(F.col(f"`{c}`"), rsd) for c in sub.columns], "distinct_count")
-    parts = [
-        sub.agg(F.count_distinct(F.col(f"`{c}`")).alias("distinct_count")).select(
-            F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), "distinct_count"
-        )
-        for i, c in enumerate(sub.columns)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    if per_column:
+        parts = [
+            sub.agg(F.count_distinct(F.col(f"`{c}`")).alias("distinct_count")).select(
+                F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), "distinct_count"
+            )
+            for i, c in enumerate(sub.columns)
+        ]
+        return reduce(DataFrame.unionByName, parts)
+    names = F.array(*[F.lit(c) for c in sub.columns])
+    pairs = [F.struct(F.lit(i + 1).alias("position"), _distinct_text(f).alias("value")) for i, f in enumerate(sub.schema.fields)]
+    values = sub.select(F.inline(F.array(*pairs)))
+    every = df.sparkSession.range(1, len(pairs) + 1).select(F.col("id").cast("int").alias("position"), F.lit(None).cast("string").alias("value"))
+    counts = values.unionByName(every).distinct().groupBy("position").agg(F.count("value").alias("distinct_count"))
+    return counts.select("position", F.get(names, F.col("position") - 1).alias("column_name"), "distinct_count")
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:

@@ -29,6 +29,7 @@ from punctuality.operators.profile import (
 )
 from punctuality.operators.sampling import replicate, sample_exact
 from punctuality.operators.topk import top_cause_rows, top_causes_text
+from punctuality.plans import roundtrips
 from punctuality.plans.reports import carrier_report, delay_report, delay_report_from_parts, delay_report_text
 from punctuality.schemas import FLIGHTS_RAW
 from punctuality.session import scratch_path
@@ -168,4 +169,19 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": _csv_roundtrip,
     "text_good_rows": _text_good,
     "text_rejected_summary": _text_rejected,
+    "text_wide_raw": roundtrips.text_wide_raw,
+    "text_reordered_header": roundtrips.text_reordered_header,
+    # Jobs and writers, read back
+    "prep_from_wide_raw": roundtrips.prep_from_wide_raw,
+    "tsv_roundtrip": roundtrips.tsv_roundtrip,
+    "text_lines_roundtrip": roundtrips.text_lines_roundtrip,
+    "table_roundtrip": roundtrips.table_roundtrip,
+    "partitioned_report": roundtrips.partitioned_report,
+    "single_file_report": roundtrips.single_file_report,
+    "report_order_check": roundtrips.report_order_check,
+    "distinct_approx_check": roundtrips.distinct_approx_check,
+    # Rare cases: odd and unknown months, unknown cancellation, codes that are no causes
+    "carrier_profile_edge": lambda s, d: carrier_profile(roundtrips.edge_flights(s, d)),
+    "delay_report_edge": lambda s, d: delay_report(roundtrips.edge_flights(s, d)),
+    "delay_report_edge_text": lambda s, d: delay_report_text(delay_report(roundtrips.edge_flights(s, d))),
 }

@@ -16,8 +16,9 @@ tab-separated text without a header, like the original jobs' output.
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from punctuality.operators.prep import to_carrier_dataset, to_cause_dataset
 from punctuality.operators.sampling import replicate, sample_exact
@@ -48,27 +49,38 @@ def _parser() -> argparse.ArgumentParser:
 REJECTED_SCHEMA = "value STRING, _error STRING"
 
 
-def _read(spark: SparkSession, a: argparse.Namespace, schema) -> DataFrame:
+def _read(spark: SparkSession, a: argparse.Namespace, schema) -> tuple[DataFrame, Callable[[], None]]:
+    """The good rows, and what to call once a pass over all of them is done: it sets the rejected
+    lines aside. They are counted in that pass, and the input is read again only if there are any."""
     if a.input_format == "parquet":
-        return read_flights(spark, a.input, schema, fmt=a.input_format)
+        return read_flights(spark, a.input, schema, fmt=a.input_format), lambda: None
     read = read_flights_text if a.input_format == "text" else read_flights_csv
-    good, rejected = read(spark, a.input, schema)
-    if not a.no_rejected:
-        path = a.output.rstrip("/") + "_rejected"
-        write_report(rejected, path, fmt="json")  # lines as they are
-        counts = {r.reason: r.lines for r in rejected_summary(spark.read.schema(REJECTED_SCHEMA).json(path)).collect()}
+    if a.no_rejected:
+        return read(spark, a.input, schema)[0], lambda: None
+    seen = Observation()
+    good, rejected = read(spark, a.input, schema, observe=seen)
+    path = a.output.rstrip("/") + "_rejected"
+
+    def set_aside() -> None:
+        counts = {}
+        if seen.get["rejected"]:
+            write_report(rejected, path, fmt="json")  # lines as they are
+            counts = {r.reason: r.lines for r in rejected_summary(spark.read.schema(REJECTED_SCHEMA).json(path)).collect()}
+        else:
+            write_report(spark.createDataFrame([], REJECTED_SCHEMA), path, fmt="json")
         print(f"rejected lines: {sum(counts.values())} {counts} -> {path}")
-    return good
+
+    return good, set_aside
 
 
 def run(spark: SparkSession, argv: list[str]) -> None:
     a = _parser().parse_args(argv)
     if a.job == "carrier_profile":
-        df = _read(spark, a, FLIGHTS_CARRIER)
+        df, set_aside = _read(spark, a, FLIGHTS_CARRIER)
         out = carrier_report(df, text=not a.typed)
         write_report(out, a.output, keys=PROFILE_KEYS, order=a.order, partition_by=a.partition_by, single_file=a.single_file)
     elif a.job == "delay_report":
-        df = _read(spark, a, FLIGHTS_CAUSES)
+        df, set_aside = _read(spark, a, FLIGHTS_CAUSES)
         out = delay_report(df)
         if not a.typed:
             out = delay_report_text(out)
@@ -77,7 +89,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
         # Each dataset is written once from the raw input; the sample and the
         # copies are then read back from that output (column-pruned and
         # splittable when parquet), not recomputed from the raw files.
-        raw = _read(spark, a, FLIGHTS_RAW)
+        raw, set_aside = _read(spark, a, FLIGHTS_RAW)
         for name, ds in (("carrier", to_carrier_dataset(raw)), ("causes", to_cause_dataset(raw))):
             path = f"{a.output}/{name}"
             write_dataset(ds, path, fmt=a.output_format)
@@ -87,6 +99,7 @@ def run(spark: SparkSession, argv: list[str]) -> None:
                 write_dataset(sample_exact(written, a.sample, a.seed), f"{path}_sample", fmt=a.output_format)
             if a.replicate:
                 write_dataset(replicate(written, a.replicate), f"{path}_x{a.replicate}", fmt=a.output_format)
+    set_aside()
 
 
 def main(argv: list[str] | None = None) -> None:

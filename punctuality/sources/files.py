@@ -4,7 +4,7 @@ losing them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -121,14 +121,18 @@ def parse_flights_text(
     return parse_flights_lines(lines, schema, sep, names)
 
 
-def _split(parsed: DataFrame, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    good = parsed.filter(F.col(ERROR_COL).isNull()).select(*schema.fieldNames())
+def _split(parsed: DataFrame, schema: T.StructType, observe: Observation | None = None) -> tuple[DataFrame, DataFrame]:
+    """``observe`` counts the ``rejected`` lines of a pass over the good rows."""
+    passed = parsed.observe(observe, F.count(F.col(ERROR_COL)).alias("rejected")) if observe else parsed
+    good = passed.filter(F.col(ERROR_COL).isNull()).select(*schema.fieldNames())
     return good, parsed.filter(F.col(ERROR_COL).isNotNull()).select("value", ERROR_COL)
 
 
-def read_flights_text(spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW, **kw) -> tuple[DataFrame, DataFrame]:
+def read_flights_text(
+    spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW, observe: Observation | None = None, **kw
+) -> tuple[DataFrame, DataFrame]:
     """(good rows with ``schema``, rejected lines with ``value`` and ``_error``)."""
-    return _split(parse_flights_text(spark, path, schema, **kw), schema)
+    return _split(parse_flights_text(spark, path, schema, **kw), schema, observe)
 
 
 def _csv_header(spark: SparkSession, path, sep: str) -> list[str]:
@@ -150,7 +154,7 @@ def _csv_texts(schema: T.StructType):
 
 
 def read_flights_csv(
-    spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW, sep: str = ",", header: bool = True
+    spark: SparkSession, path, schema: T.StructType = FLIGHTS_RAW, sep: str = ",", header: bool = True, observe: Observation | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Like :func:`read_flights_text` for quoted CSV. A file whose header differs from the first one's is an error."""
     names = file_columns(_csv_header(spark, path, sep), schema) if header else schema.fieldNames()
@@ -161,7 +165,7 @@ def read_flights_csv(
     line = F.coalesce(broken, F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names])))
     fields_found = F.when(broken.isNotNull(), F.size(F.split(broken, _regex_quote(sep), -1)))
     raw = rows.select(line.alias("value"), fields_found.alias("_nf"), *_csv_texts(schema))
-    return _split(_checked(raw, schema, F.col("_nf").isNotNull()), schema)
+    return _split(_checked(raw, schema, F.col("_nf").isNotNull()), schema, observe)
 
 
 def rejected_summary(rejected: DataFrame) -> DataFrame:
