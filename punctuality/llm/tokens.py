@@ -14,6 +14,7 @@ null ids come first. No rows: no ids, an empty index.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -68,6 +69,7 @@ class PieceEncoder:
     """Ids of texts, through a cache of the ids of their pieces."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
