@@ -1,12 +1,14 @@
 """Approximate nearest neighbours: a graph by NN-descent, queries by greedy graph search.
 
 Equal vectors are one node (its smallest vec_id); their members meet again in the answer.
-NN-descent starts from neighbours drawn at random and repeats a join: each node introduces its
+NN-descent starts from the nearest neighbours in the leaves of several trees of random hyperplanes, so that
+groups of near copies meet however many groups there are, and repeats a join: each node introduces its
 neighbours (and those that hold it as a neighbour) to each other, and every node keeps the
 ``degree`` nearest that it has met. A pair is looked at only while one side is new. It ends when few lists change.
 
-Search: each query keeps its ``beam`` nearest nodes so far, starting from drawn entry points.
-Every round expands the nearest ``width`` not yet expanded ones by a join with the graph and the
+Search: each query keeps its ``beam`` nearest nodes so far, starting from its own node and from drawn entry
+points, whose number grows with the root of the number of nodes. A group that no edge leaves or enters is thus
+searched by its own queries. Every round expands the nearest ``width`` not yet expanded ones by a join with the graph and the
 vectors; a query ends when its whole beam is expanded. All queries go on together; those that are done leave.
 The answer is ranked by the exact distance in double precision.
 
@@ -17,6 +19,7 @@ returned. No rows: an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -67,8 +70,54 @@ def _decoded(column) -> np.ndarray:
     return raw[:, 4:].astype(np.float32) * raw[:, :4].copy().view("<f4")
 
 
-def _first_neighbours(degree: int):
-    """Within each drawn group, every node's nearest ``degree`` others."""
+def _tree(x: np.ndarray, most: int, rng: np.random.Generator):
+    """Random hyperplanes that halve the rows of ``x`` until ``most`` or fewer are left: (plane, cut and the two
+    children of each tree node, the rows of each leaf). A leaf is its own child."""
+    planes, cuts, kids, parts, todo = [], [], [], [], [np.arange(len(x))]
+    for rows in todo:
+        at = len(planes)
+        planes.append(np.zeros(x.shape[1]))
+        cuts.append(0.0)
+        kids.append((at, at))
+        if len(rows) <= most:
+            parts.append(rows)
+            continue
+        i, j = rng.choice(len(rows), 2, replace=False)
+        planes[at] = x[rows[i]].astype(float) - x[rows[j]]
+        along = x[rows] @ planes[at]
+        order = np.argsort(along, kind="stable")
+        half = len(rows) // 2
+        cuts[at] = (along[order[half - 1]] + along[order[half]]) / 2
+        kids[at] = (len(todo), len(todo) + 1)
+        todo += [rows[order[:half]], rows[order[half:]]]
+    return np.array(planes), np.array(cuts), np.array(kids), parts
+
+
+def _leaves(trees):
+    """Each node's leaf in every tree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = _decoded(b.column("code"))
+            if not len(x):
+                continue
+            for draw, (planes, cuts, kids) in enumerate(trees.value):
+                at = np.zeros(len(x), np.int64)
+                while True:
+                    side = np.einsum("ij,ij->i", x, planes[at]) > cuts[at]
+                    below = kids[at, side.astype(int)]
+                    if (below == at).all():
+                        break
+                    at = below
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("node"), b.column("code"), pa.array(np.full(len(x), draw, np.int64)), pa.array(at)], ["node", "code", "draw", "leaf"]
+                )
+
+    return run
+
+
+def _first_neighbours(degree: int, most: int = 64):
+    """Within each leaf, halved further while it has more than ``most`` nodes, every node's nearest ``degree`` others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -79,20 +128,26 @@ def _first_neighbours(degree: int):
             at = at - at[0]
             out = []
             for i, j in zip(at[:-1], at[1:], strict=True):
-                y = x[i:j]
-                sq = (y * y).sum(1)
-                d = np.maximum(sq[:, None] - 2 * y @ y.T + sq[None, :], 0)
-                np.fill_diagonal(d, np.inf)
-                k = min(degree, j - i - 1)
-                near = np.argsort(d, axis=1, kind="stable")[:, :k]
-                rows = np.repeat(np.arange(j - i), k)
-                out.append((node[i + rows], node[i + near.ravel()], d[rows, near.ravel()].astype(float)))
+                for part in _tree(x[i:j], most, np.random.default_rng(j - i))[3]:
+                    y, own = x[i:j][part], node[i:j][part]
+                    d = _squared(y[None])[0]
+                    np.fill_diagonal(d, np.inf)
+                    k = min(degree, len(y) - 1)
+                    near = np.argsort(d, axis=1, kind="stable")[:, :k]
+                    rows = np.repeat(np.arange(len(y)), k)
+                    out.append((own[rows], own[near.ravel()], d[rows, near.ravel()].astype(float)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b", "d"])
 
     return run
 
 
+def _squared(v: np.ndarray) -> np.ndarray:
+    """Squared distances between the rows of each of several groups."""
+    sq = (v * v).sum(2)
+    return np.maximum(sq[:, :, None] - 2 * (v @ v.transpose(0, 2, 1)) + sq[:, None, :], 0)
+
+
 def _introduce(best: int):
     """The neighbours of each node, introduced to each other. A node takes from one introducer the
     ``best`` nearest of those that are nearer than its farthest neighbour, one of the two being new."""
@@ -118,8 +173,7 @@ def _introduce(best: int):
                 ids[group, place] = node
                 new, limit, real = (np.zeros((len(size), most), t) for t in (bool, np.float32, bool))
                 new[group, place], limit[group, place], real[group, place] = fresh, far, True
-                sq = (v * v).sum(2)
-                d = np.maximum(sq[:, :, None] - 2 * (v @ v.transpose(0, 2, 1)) + sq[:, None, :], 0)
+                d = _squared(v)
                 ok = real[:, None, :] & (new[:, :, None] | new[:, None, :]) & (d < limit[:, :, None])
                 d[~ok] = np.inf
                 d[:, np.arange(most), np.arange(most)] = np.inf
@@ -144,12 +198,18 @@ def neighbour_graph(
     """
     count = nodes.count()
     nearest = Window.partitionBy("a").orderBy("d", "b")
-    # Several dealings into small groups, so that groups overlap and introductions lead out of them.
-    deal = F.posexplode(F.array(*[F.pmod(F.xxhash64(F.lit(seed + x), "node"), F.lit(max(1, count // 32))) for x in range(draws)]))
-    dealt = nodes.select("node", "code", deal.alias("draw", "group")).groupBy("draw", "group")
+    # Several trees, so that groups overlap and introductions lead out of them. They are grown on a sample of
+    # bounded size; leaves of many nodes are dealt out by a hash and halved further in the tasks.
+    drawn = nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(1 << 15).toArrow()
+    x, rng = _decoded(drawn.column("code")), np.random.default_rng(seed)
+    trees = nodes.sparkSession.sparkContext.broadcast([_tree(x, 48, rng)[:3] for _ in range(draws)])
+    dealt = nodes.mapInArrow(_leaves(trees), "node long, code binary, draw long, leaf long")
+    sizes = dealt.groupBy("draw", "leaf").agg(F.ceil(F.count(F.lit(1)) / 2048).alias("parts"))
+    dealt = dealt.join(sizes, ["draw", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts")).groupBy("draw", "leaf", "part")
     dealt = dealt.agg(F.collect_list(F.struct("node", "code")).alias("members")).select("members")
-    found = dealt.mapInArrow(_first_neighbours(-(-degree // draws)), "a long, b long, d double")
+    found = dealt.mapInArrow(_first_neighbours(-(-2 * degree // draws)), "a long, b long, d double")
     found = found.groupBy("a", "b").agg(F.min("d").alias("d"))
+    found = found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= degree).drop("n")
     edges = materialize(found.withColumn("fresh", F.lit(True)), "ann-edges")
     for r in range(rounds):
         both = edges.select("a", "b", "fresh", F.lit(0).alias("way")).unionByName(
@@ -175,16 +235,18 @@ def neighbour_graph(
 
 
 def _update_beams(beam: int, width: int):
-    """One round of one query: put the new nodes into its beam and pick what to expand next."""
+    """One round of one query: put the new nodes into its beam and pick what to expand next. Of the rows
+    of a query one has its ``state`` and vector (``qc``), the others a node and its vector."""
 
     def run(t: pa.Table) -> pa.Table:
         q = t.column("q")[0].as_py()
         state = [x for x in t.column("state").to_pylist() if x is not None]
         gather = lambda name, kind: np.array([v for x in state for v in x[name]], kind)
         node, dist, done, seen = gather("node", np.int64), gather("d", float), gather("done", bool), gather("seen", np.int64)
-        new = t.column("node").is_valid().to_numpy(zero_copy_only=False)
-        met = t.column("node").to_numpy(zero_copy_only=False)[new].astype(np.int64)
-        far = t.column("d").to_numpy(zero_copy_only=False)[new].astype(float)
+        own = t.column("qc").drop_null().slice(0, 1)
+        new = t.column("node").is_valid()
+        met = t.column("node").filter(new).to_numpy().astype(np.int64)
+        far = ((_decoded(t.column("code").filter(new)) - _decoded(own)) ** 2).sum(1).astype(float)
         met, at = np.unique(met, return_index=True)
         first = ~np.isin(met, seen)
         met, far = met[first], far[at][first]
@@ -196,8 +258,13 @@ def _update_beams(beam: int, width: int):
         done[todo] = True
         out = {"node": node, "d": dist, "done": done, "seen": np.concatenate([seen, met])}
         return pa.table(
-            [pa.array([q]), pa.array([{k: v.tolist() for k, v in out.items()}], _STATE), pa.array([node[todo].tolist()], pa.list_(pa.int64()))],
-            ["q", "state", "todo"],
+            [
+                pa.array([q]),
+                own.combine_chunks(),
+                pa.array([{k: v.tolist() for k, v in out.items()}], _STATE),
+                pa.array([node[todo].tolist()], pa.list_(pa.int64())),
+            ],
+            ["q", "qc", "state", "todo"],
         )
 
     return run
@@ -209,11 +276,21 @@ _STATE = pa.struct(
 _STATE_SQL = "struct<node:array<bigint>,d:array<double>,done:array<boolean>,seen:array<bigint>>"
 
 
-def _distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        if len(b):
-            d = ((_decoded(b.column("qc")) - _decoded(b.column("code"))) ** 2).sum(1)
-            yield pa.RecordBatch.from_arrays([b.column("q"), b.column("node"), pa.array(d.astype(float))], ["q", "node", "d"])
+def _first_beams(entries, beam: int):
+    """Each query's beam before the first round: the nearest of the drawn entries. None is expanded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, code = entries.value
+        x = _decoded(code)
+        for b in batches:
+            states = []
+            for y in _decoded(b.column("qc")):
+                d = ((x - y) ** 2).sum(1).astype(float)
+                order = np.lexsort((ids, d))[:beam]
+                states.append({"node": ids[order].tolist(), "d": d[order].tolist(), "done": [False] * len(order), "seen": ids.tolist()})
+            yield pa.RecordBatch.from_arrays([b.column("q"), b.column("qc"), pa.array(states, _STATE)], ["q", "qc", "state"])
+
+    return run
 
 
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,14 +301,22 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def graph_search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, beam: int = 192, width: int = 32, entries: int = 64, seed: int = 8) -> DataFrame:
-    """(q, node): the ``beam`` nearest nodes that each query (q, qc) reaches over ``edges`` (both ways)."""
+    """(q, node): the ``beam`` nearest nodes that each query (q, own, qc) reaches over ``edges`` (both ways).
+
+    It starts from the query's own node and from ``entries`` drawn ones, or as many as the root of the
+    number of nodes if that is more.
+    """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    graph = materialize(both.join(nodes.select(F.col("node").alias("b"), "code"), "b"), "ann-graph")
-    start = nodes.orderBy(F.xxhash64(F.lit(seed + 1), "node"), "node").limit(entries)  # a fixed number of entry points
-    first = queries.crossJoin(F.broadcast(start)).select("q", "qc", "node", "code").mapInArrow(_distances, "q long, node long, d double")
-    none = F.lit(None).cast(_STATE_SQL)
-    schema = f"q long, state {_STATE_SQL}, todo array<bigint>"
-    rows = first.withColumn("state", none)
+    graph = materialize(both, "ann-graph")
+    drawn = nodes.orderBy(F.xxhash64(F.lit(seed + 1), "node"), "node").limit(max(entries, math.isqrt(nodes.count()))).toArrow()
+    start = nodes.sparkSession.sparkContext.broadcast((drawn.column("node").to_numpy().astype(np.int64), drawn.column("code").combine_chunks()))
+    vectors = nodes.select("node", "code")
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("qc", "binary"), ("state", _STATE_SQL))]
+    blank = [F.lit(None).cast(kind).alias(name) for name, kind in (("node", "long"), ("code", "binary"))]
+    schema = f"q long, qc binary, state {_STATE_SQL}, todo array<bigint>"
+    first = queries.select("q", "qc").mapInArrow(_first_beams(start, beam), f"q long, qc binary, state {_STATE_SQL}")
+    own = queries.select("q", F.col("own").alias("node")).join(vectors, "node").select("q", "node", "code", *none)
+    rows = own.unionByName(first.select("q", *blank, "qc", "state"))
     finished = []
     while True:
         states = materialize(rows.groupBy("q").applyInArrow(_update_beams(beam, width), schema), "ann-beams")
@@ -240,10 +325,9 @@ def graph_search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, beam: i
         if not going.limit(1).count():
             break
         ask = going.select("q", F.explode("todo").alias("a"))
-        near = ask.join(graph, "a").groupBy("q", F.col("b").alias("node")).agg(F.first("code").alias("code"))
-        near = near.join(queries, "q").select("q", "qc", "node", "code").mapInArrow(_distances, "q long, node long, d double")
-        carried = going.select("q", F.lit(None).cast("long").alias("node"), F.lit(None).cast("double").alias("d"), "state")
-        rows = near.withColumn("state", none).unionByName(carried)
+        near = ask.join(graph, "a").select("q", F.col("b").alias("node")).distinct()
+        near = near.join(vectors, "node").select("q", "node", "code", *none)
+        rows = near.unionByName(going.select("q", *blank, "qc", "state"))
     return reduce(DataFrame.unionByName, finished).select("q", F.explode("node").alias("node"))
 
 
@@ -259,7 +343,9 @@ def nearest(vectors: DataFrame, query_step: int = 100, k: int = 10, **options) -
     asked = rows.where(F.col("vec_id") % query_step == 0).select(F.col("vec_id").alias("q"), F.col("v").alias("qv"))
     asked = materialize(asked, "ann-queries")
     codes = asked.select(F.col("q").alias("node"), F.col("qv").alias("v")).mapInArrow(coded, "node long, code binary")
-    queries = materialize(codes.select(F.col("node").alias("q"), F.col("code").alias("qc")), "ann-query-codes")
+    codes = codes.select(F.col("node").alias("q"), F.col("code").alias("qc"))
+    owns = asked.join(classes.select(F.col("node").alias("own"), F.col("v").alias("qv")), "qv").select("q", "qv", "own")
+    queries = materialize(codes.join(owns.select("q", "own"), "q"), "ann-query-codes")
     build = {x: options[x] for x in ("degree", "sample", "best", "rounds", "settled", "draws") if x in options}
     edges = neighbour_graph(nodes, **build)
     search = {x: options[x] for x in ("beam", "width", "entries") if x in options}

@@ -226,6 +226,27 @@ def test_neighbours_mostly_as_by_brute_force(spark):
     assert nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def _recall(spark, x, step):
+    from punctuality.llm.ann import nearest
+
+    share_package(spark)
+    got = {}
+    for r in nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), query_step=step).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), step):
+        d = ((x - x[q]) ** 2).sum(1)
+        d[q] = np.inf
+        hits += len(got[q] & set(np.lexsort((np.arange(len(x)), d))[:10].tolist()))
+    return hits / (10 * len(range(0, len(x), step)))
+
+
+def test_queries_find_their_own_group_of_near_copies(spark):
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.standard_normal((200, 16)), 30, 0) + 0.02 * rng.standard_normal((6000, 16))
+    assert _recall(spark, x[rng.permutation(6000)], 100) >= 0.95
+
+
 def test_language_model_counts_and_scores(docs, empty):
     from punctuality.llm.lm import score_documents
 
