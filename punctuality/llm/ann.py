@@ -10,7 +10,7 @@ Search: each query keeps its ``beam`` nearest nodes so far, starting from its ow
 points, whose number grows with the root of the number of nodes. A group that no edge leaves or enters is thus
 searched by its own queries. Every round expands the nearest ``width`` not yet expanded ones by a join with the graph and the
 vectors; a query ends when its whole beam is expanded. All queries go on together; those that are done leave.
-The answer is ranked by the exact distance in double precision.
+Graph and beams compare the vectors as given, in double precision, and so is the answer ranked.
 
 Vectors that are null or zero, hold a null or a non-finite component or differ in length from the most frequent one
 take no part, nor does a null vec_id. Rows that share a vec_id and vector count once; with fewer than k candidates all found are
@@ -48,26 +48,22 @@ def _doubles(column) -> np.ndarray:
 
 
 def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as 8-bit numbers after a 32-bit scale: what travels while the graph is built and searched."""
+    """Vectors as they travel while the graph is built and searched: the bytes of 32-bit numbers after a 0,
+    or of 64-bit ones after a 1 where 32 bits don't hold the vector exactly."""
     for b in batches:
         if len(b):
             x = _doubles(b.column("v"))
-            scale = (np.abs(x).max(1) / 127).astype("<f4")
-            scale[scale == 0] = np.finfo("<f4").tiny
-            code = np.clip(np.rint(x / scale[:, None]), -127, 127).astype(np.int8)
-            raw = np.concatenate([scale[:, None].view(np.int8), code], 1)
-            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array([r.tobytes() for r in raw], pa.binary())], ["node", "code"])
+            with np.errstate(over="ignore"):
+                short = x.astype("<f4")
+            fits = (short == x).all(1)
+            raw = [b"\0" + s.tobytes() if f else b"\1" + v.tobytes() for f, s, v in zip(fits, short, x.astype("<f8"), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(raw, pa.binary())], ["node", "code"])
 
 
 def _decoded(column) -> np.ndarray:
-    """The vectors of an Arrow column of codes, all of one length."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    n = len(column)
-    if not n:
-        return np.zeros((0, 1), np.float32)
-    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + n + 1]
-    raw = np.frombuffer(column.buffers()[2], np.int8)[offsets[0] : offsets[-1]].reshape(n, -1)
-    return raw[:, 4:].astype(np.float32) * raw[:, :4].copy().view("<f4")
+    """The vectors of an Arrow column of codes, all of one length, exactly."""
+    raw = column.to_pylist()
+    return np.array([np.frombuffer(r, "<f8" if r[0] else "<f4", offset=1) for r in raw], np.float64) if raw else np.zeros((0, 1))
 
 
 def _tree(x: np.ndarray, most: int, rng: np.random.Generator):
@@ -83,7 +79,7 @@ def _tree(x: np.ndarray, most: int, rng: np.random.Generator):
             parts.append(rows)
             continue
         i, j = rng.choice(len(rows), 2, replace=False)
-        planes[at] = x[rows[i]].astype(float) - x[rows[j]]
+        planes[at] = x[rows[i]] - x[rows[j]]
         along = x[rows] @ planes[at]
         order = np.argsort(along, kind="stable")
         half = len(rows) // 2
@@ -135,7 +131,7 @@ def _first_neighbours(degree: int, most: int = 64):
                     k = min(degree, len(y) - 1)
                     near = np.argsort(d, axis=1, kind="stable")[:, :k]
                     rows = np.repeat(np.arange(len(y)), k)
-                    out.append((own[rows], own[near.ravel()], d[rows, near.ravel()].astype(float)))
+                    out.append((own[rows], own[near.ravel()], d[rows, near.ravel()]))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["a", "b", "d"])
 
@@ -143,7 +139,9 @@ def _first_neighbours(degree: int, most: int = 64):
 
 
 def _squared(v: np.ndarray) -> np.ndarray:
-    """Squared distances between the rows of each of several groups."""
+    """Squared distances between the rows of each of several groups. They are taken from the group's first row, so
+    that those of near copies don't drown in the rounding of their length."""
+    v = v - v[:, :1]
     sq = (v * v).sum(2)
     return np.maximum(sq[:, :, None] - 2 * (v @ v.transpose(0, 2, 1)) + sq[:, None, :], 0)
 
@@ -167,11 +165,11 @@ def _introduce(best: int):
                 group = np.repeat(np.arange(len(size)), size)
                 place = np.arange(len(node)) - np.repeat(at[:-1] - at[0], size)
                 most = int(size.max())
-                v = np.zeros((len(size), most, x.shape[1]), np.float32)
+                v = np.zeros((len(size), most, x.shape[1]))
                 v[group, place] = x
                 ids = np.full((len(size), most), -1, np.int64)
                 ids[group, place] = node
-                new, limit, real = (np.zeros((len(size), most), t) for t in (bool, np.float32, bool))
+                new, limit, real = (np.zeros((len(size), most), t) for t in (bool, np.float64, bool))
                 new[group, place], limit[group, place], real[group, place] = fresh, far, True
                 d = _squared(v)
                 ok = real[:, None, :] & (new[:, :, None] | new[:, None, :]) & (d < limit[:, :, None])
@@ -182,7 +180,7 @@ def _introduce(best: int):
                 dist = np.take_along_axis(d, near, 2)
                 g, i, j = np.nonzero(np.isfinite(dist))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[g, i]), pa.array(ids[g, near[g, i, j]]), pa.array(dist[g, i, j].astype(float))], ["a", "b", "d"]
+                    [pa.array(ids[g, i]), pa.array(ids[g, near[g, i, j]]), pa.array(dist[g, i, j])], ["a", "b", "d"]
                 )
 
     return run
@@ -246,7 +244,7 @@ def _update_beams(beam: int, width: int):
         own = t.column("qc").drop_null().slice(0, 1)
         new = t.column("node").is_valid()
         met = t.column("node").filter(new).to_numpy().astype(np.int64)
-        far = ((_decoded(t.column("code").filter(new)) - _decoded(own)) ** 2).sum(1).astype(float)
+        far = ((_decoded(t.column("code").filter(new)) - _decoded(own)) ** 2).sum(1)
         met, at = np.unique(met, return_index=True)
         first = ~np.isin(met, seen)
         met, far = met[first], far[at][first]
@@ -285,7 +283,7 @@ def _first_beams(entries, beam: int):
         for b in batches:
             states = []
             for y in _decoded(b.column("qc")):
-                d = ((x - y) ** 2).sum(1).astype(float)
+                d = ((x - y) ** 2).sum(1)
                 order = np.lexsort((ids, d))[:beam]
                 states.append({"node": ids[order].tolist(), "d": d[order].tolist(), "done": [False] * len(order), "seen": ids.tolist()})
             yield pa.RecordBatch.from_arrays([b.column("q"), b.column("qc"), pa.array(states, _STATE)], ["q", "qc", "state"])

@@ -247,6 +247,12 @@ def test_queries_find_their_own_group_of_near_copies(spark):
     assert _recall(spark, x[rng.permutation(6000)], 100) >= 0.95
 
 
+def test_near_copies_closer_than_a_rounding_step_are_told_apart(spark):
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.standard_normal((2, 16)), 600, 0) + 0.0005 * rng.standard_normal((1200, 16))
+    assert _recall(spark, x[rng.permutation(1200)], 50) >= 0.95
+
+
 def test_language_model_counts_and_scores(docs, empty):
     from punctuality.llm.lm import score_documents
 
