@@ -5,8 +5,8 @@ written as Parquet and read again as the next one's ``docs``. All but the last r
 ``documents``.
 
 1. toxicity: documents with a score of 0.5 or more go (null ids and texts are scored like others).
-2. near duplicates (five words, similarity 0.8): one document of each group stays; of rows with
-   one doc_id one stays. Rows without doc_id stay.
+2. near duplicates (five words, similarity 0.8): one row of each group stays, one with the smallest doc_id.
+   Rows of one doc_id are told apart by their texts (a 64-bit hash). Rows without doc_id stay.
 3. benchmark decontamination (10 words): documents with a benchmark passage go.
 4. mixing: documents are repeated or left out so that the sources meet their targets.
 5. token files: returns doc_id, start, n_tokens and ids_crc32 of each document written.
@@ -34,19 +34,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("__score") < 0.5).drop("__score")
 
 
+def _row():
+    """What tells rows apart: a doc_id may stand for several texts, or be null."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = near_duplicate_groups(docs, width=5, percent=80)
-    kept = groups.where("kept and doc_id is not null").select("doc_id").distinct()
-    stay = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    stay = stay.withColumn("__n", first).where("__n = 1").drop("__n")
+    rows = docs.where("doc_id is not null").withColumn("__row", _row())
+    groups = near_duplicate_groups(rows.select(F.col("__row").alias("doc_id"), "text"), width=5, percent=80)
+    groups = groups.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
+    least = rows.select("doc_id", "__row").join(groups, "__row").groupBy("__group").agg(F.min(F.struct("doc_id", "__row")).alias("__least"))
+    stay = rows.join(least.select("__least.__row"), "__row", "left_semi")
+    others = [c for c in docs.columns if c != "doc_id"]
+    first = F.row_number().over(Window.partitionBy("doc_id", "__row").orderBy(*others))
+    stay = stay.withColumn("__n", first).where("__n = 1").select(*docs.columns)
     return stay.unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contamination(docs, table(spark, sf_dir, "benchmark"), n=10)
-    bad = found.where("contaminated").select(F.col("doc_id").alias("__d")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__d")), "left_anti")
+    rows = docs.withColumn("__row", _row())
+    found = contamination(rows.select(F.col("__row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), n=10)
+    bad = found.where("contaminated").select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(bad, "__row", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

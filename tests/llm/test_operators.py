@@ -309,3 +309,38 @@ def test_pipeline_keeps_the_columns_and_repeats_nothing_it_dropped(spark):
         assert out.columns == docs.columns and out.exceptAll(docs.distinct()).distinct().join(docs, "doc_id", "left_anti").count() == 0, name
         docs = out
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == docs.count()
+
+
+def _tables(tmp_path, spark, docs, bench):
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)
+
+
+def _say(rng, n):
+    return " ".join(f"w{x}" for x in rng.integers(0, 5000, n))
+
+
+def test_near_duplicate_stage_keeps_rows_apart_that_share_an_id(spark, tmp_path):
+    import corpus_pipeline
+
+    share_package(spark)
+    rng = np.random.default_rng(7)
+    base, other, third = (_say(rng, 80) for _ in range(3))
+    near = base + " more"
+    docs = [(1, base, "a"), (7, None, "a"), (7, other, "a"), (7, near, "a"), (8, third, "a"), (8, third, "a"), (9, third, "b"), (None, base, "a"), (None, base, "a")]
+    table, sf = _tables(tmp_path, spark, docs, [(1, "x")])
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, table, sf).collect()), key=str)
+    assert kept == sorted([(1, base), (7, None), (7, other), (8, third), (None, base), (None, base)], key=str)
+
+
+def test_decontamination_stage_drops_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    share_package(spark)
+    rng = np.random.default_rng(8)
+    passage, clean = _say(rng, 20), _say(rng, 60)
+    docs = [(1, clean + " " + passage, "a"), (1, clean, "a"), (None, passage, "a"), (None, clean, "a"), (2, None, "a")]
+    table, sf = _tables(tmp_path, spark, docs, [(1, passage)])
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, table, sf).collect()), key=str)
+    assert kept == sorted([(1, clean), (None, clean), (2, None)], key=str)
