@@ -8,8 +8,9 @@ and compared. Items of fewer than n words are one window of their own length: th
 fingerprint is the smallest hash of k = min(k, length) words over that window, so the same
 rule holds with their own w.
 
-The benchmark goes to the executors in blocks of at most ``block_words`` words (by item;
-the bound is what limits the broadcast, one longer item being a block by itself), and the
+The benchmark goes to the executors in blocks of at most ``block_words`` windows (the bound is what
+limits the broadcast; windows are dealt by a hash of item, length and window, so an item may be in several
+blocks, and there are as many as it takes for the largest to keep the bound), and the
 documents are read once per block, so a large benchmark costs passes, not memory. Documents
 are never shuffled by their text or by a fingerprint: a common passage makes no hot key.
 
@@ -174,7 +175,10 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, k: int = 5, bl
     blocks = max(1, -(-rows // block_words))
     d = docs.select("doc_id", text_bytes(F.col("text")).alias("text"))
     d = d.select("doc_id", F.xxhash64("text").alias("row"), "text")
-    part = F.pmod(F.xxhash64("item_id"), F.lit(blocks))
+    dealt = F.xxhash64("item_id", "length", "window")
+    while blocks > 1 and windows.groupBy(F.pmod(dealt, F.lit(blocks))).count().agg(F.max("count")).first()[0] > block_words:
+        blocks += -(-blocks // 8)
+    part = F.pmod(dealt, F.lit(blocks))
     found = [_block_hits(d, windows.where(part == i), k) for i in range(blocks)]
     if blocks == 1:
         merged = found[0].select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("items").alias("items"))

@@ -344,3 +344,21 @@ def test_decontamination_stage_drops_rows_not_ids(spark, tmp_path):
     table, sf = _tables(tmp_path, spark, docs, [(1, passage)])
     kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_contaminated(spark, table, sf).collect()), key=str)
     assert kept == sorted([(1, clean), (None, clean), (2, None)], key=str)
+
+
+def test_no_block_of_the_benchmark_exceeds_its_bound(spark, monkeypatch):
+    from punctuality.llm import decontaminate
+
+    share_package(spark)
+    rng = np.random.default_rng(9)
+    docs = spark.createDataFrame([(1, "a b"), (2, _say(rng, 30))], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, _say(rng, 60)), (None, _say(rng, 40)), (3, "a b")], "item_id long, text string")
+    sizes, hits = [], decontaminate._block_hits
+
+    def counted(docs, block, k):
+        sizes.append(block.count())
+        return hits(docs, block, k)
+
+    monkeypatch.setattr(decontaminate, "_block_hits", counted)
+    got = {r.doc_id: r.contaminated for r in decontaminate.contamination(docs, bench, block_words=20).collect()}
+    assert sum(sizes) == 51 + 31 + 1 and max(sizes) <= 20 and got == {1: True, 2: False}
