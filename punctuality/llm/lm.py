@@ -9,8 +9,8 @@
    its class (both softmax). Words outside the vocabulary share one entry and split its probability by
    (count + 0.5), unseen words together being one more outcome, so probabilities add up to 1 over
    all words seen and one for the rest. Training reads every training text whole, window by
-   window (truncated backpropagation, the state carried on). It goes in rounds over parts
-   of the chunks: tasks train on their chunks from the same weights, and the
+   window (truncated backpropagation, the state carried on); a task's last batch may be smaller. It goes in rounds
+   over parts of the chunks, dealt out across the partitions: tasks train on their chunks from the same weights, and the
    weights are averaged by tokens through a tree of aggregations; the model's size is fixed.
 4. Scoring runs over all texts, the state carried through each whole document.
 
@@ -52,7 +52,7 @@ def pack_chunks(docs: DataFrame, held_out, rounds: int) -> DataFrame:
                 train = ~out[i:j]
                 counts = np.bincount(tokens[np.repeat(train, np.diff(first))], minlength=len(words))
                 row = [
-                    [base + n], [n % rounds], [b.column("doc_id").slice(i, j - i).to_pylist()], [train.tobytes()],
+                    [base + n], [(TaskContext.get().partitionId() + n) % rounds], [b.column("doc_id").slice(i, j - i).to_pylist()], [train.tobytes()],
                     [np.diff(first).astype("<i4").tobytes()], [tokens.astype("<u4").tobytes()], [words.tobytes()], [counts.astype("<i4").tobytes()],
                 ]
                 n += 1
@@ -296,6 +296,14 @@ def train_round(packed: DataFrame, model: RecurrentModel, vocabulary, entry, ste
         grad = {k: np.zeros_like(v) for k, v in start.items()}
         power = {k: np.full_like(v, 1e-6) for k, v in start.items()}
         seen = pending = 0
+
+        def update():
+            for k, g in grad.items():
+                g /= pending
+                power[k] += g * g
+                local.p[k] -= rate * g / np.sqrt(power[k])
+                g[:] = 0
+
         for b in batches:
             for train, sizes, tokens, words in zip(*(b.column(c).to_pylist() for c in ("train", "sizes", "tokens", "words")), strict=True):
                 sizes = np.frombuffer(sizes, "<i4").astype(np.int64)
@@ -312,13 +320,11 @@ def train_round(packed: DataFrame, model: RecurrentModel, vocabulary, entry, ste
                     local.backward(kept, lanes, inputs, d, grad)
                     pending += len(targets)
                     if pending >= batch:
-                        for k, g in grad.items():
-                            g /= pending
-                            power[k] += g * g
-                            local.p[k] -= rate * g / np.sqrt(power[k])
-                            g[:] = 0
+                        update()
                         seen, pending = seen + pending, 0
-                seen, pending = seen + pending, 0
+        if pending:  # what the last batch has less
+            update()
+            seen += pending
         if seen:
             mine = np.concatenate([local.p[x].ravel() for x in names])
             parts = np.split(mine * np.float32(seen), np.arange(block, len(mine), block))

@@ -362,3 +362,15 @@ def test_no_block_of_the_benchmark_exceeds_its_bound(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "_block_hits", counted)
     got = {r.doc_id: r.contaminated for r in decontaminate.contamination(docs, bench, block_words=20).collect()}
     assert sum(sizes) == 51 + 31 + 1 and max(sizes) <= 20 and got == {1: True, 2: False}
+
+
+def test_every_training_text_moves_the_weights(docs):
+    from pyspark.sql import functions as F
+
+    from punctuality.llm.lm import RecurrentModel, pack_chunks, train_round
+
+    packed = pack_chunks(docs, F.lit(False), 2).cache()
+    assert {r["round"] for r in packed.select("round").collect()} == {0, 1}
+    model = RecurrentModel.start(np.array([5.0, 5.0]), 4, 2)
+    after = train_round(packed, model, np.zeros(0, np.uint64), np.zeros(0, np.int64), 8, 0.05, 1 << 30)
+    assert any((after.p[x] != model.p[x]).any() for x in model.p)
