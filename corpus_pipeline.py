@@ -7,7 +7,8 @@ written as Parquet and read again as the next one's ``docs``. All but the last r
 1. toxicity: documents with a score of 0.5 or more go (null ids and texts are scored like others).
 2. near duplicates (five words, similarity 0.8): one row of each group stays, one with the smallest doc_id.
    Rows of one doc_id are told apart by their texts (a 64-bit hash). Rows without doc_id stay.
-3. benchmark decontamination (10 words): documents with a benchmark passage go.
+3. benchmark decontamination: documents with 10 successive words of a benchmark item go, or with a whole
+   item of 8 or 9 words. Shorter items (answers such as 'yes') reject nothing here; op9 reports them.
 4. mixing: documents are repeated or left out so that the sources meet their targets.
 5. token files: returns doc_id, start, n_tokens and ids_crc32 of each document written.
 
@@ -34,6 +35,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("__score") < 0.5).drop("__score")
 
 
+#: Fewest words of a benchmark item that rejects documents, and what op9 takes as a word.
+LEAST_ITEM_WORDS = 8
+_ITEM_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+
+
 def _row():
     """What tells rows apart: a doc_id may stand for several texts, or be null."""
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
@@ -52,8 +58,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = table(spark, sf_dir, "benchmark").where(F.regexp_count("text", F.lit(_ITEM_WORD)) >= LEAST_ITEM_WORDS)
     rows = docs.withColumn("__row", _row())
-    found = contamination(rows.select(F.col("__row").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), n=10)
+    found = contamination(rows.select(F.col("__row").alias("doc_id"), "text"), items, n=10)
     bad = found.where("contaminated").select(F.col("doc_id").alias("__row")).distinct()
     return rows.join(bad, "__row", "left_anti").select(*docs.columns)
 

@@ -374,3 +374,13 @@ def test_every_training_text_moves_the_weights(docs):
     model = RecurrentModel.start(np.array([5.0, 5.0]), 4, 2)
     after = train_round(packed, model, np.zeros(0, np.uint64), np.zeros(0, np.int64), 8, 0.05, 1 << 30)
     assert any((after.p[x] != model.p[x]).any() for x in model.p)
+
+
+def test_short_benchmark_items_reject_nothing(spark, tmp_path):
+    import corpus_pipeline
+
+    share_package(spark)
+    eight = "One two, thrée four five six seven 8"
+    docs = [(1, "yes it is 42", "a"), (2, "so " + eight + " so", "a"), (3, "one two thrée four five six seven nine", "a")]
+    table, sf = _tables(tmp_path, spark, docs, [(1, "yes"), (2, "42"), (3, eight), (4, "four five six seven"), (5, None)])
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_contaminated(spark, table, sf).collect()) == [1, 3]
