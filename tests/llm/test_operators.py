@@ -384,3 +384,12 @@ def test_short_benchmark_items_reject_nothing(spark, tmp_path):
     docs = [(1, "yes it is 42", "a"), (2, "so " + eight + " so", "a"), (3, "one two thrée four five six seven nine", "a")]
     table, sf = _tables(tmp_path, spark, docs, [(1, "yes"), (2, "42"), (3, eight), (4, "four five six seven"), (5, None)])
     assert sorted(r.doc_id for r in corpus_pipeline.drop_contaminated(spark, table, sf).collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("name", ["op3_superminhash", "op4_fm_dedup", "op9_winnowing"])
+def test_text_operators_match_their_sql(spark, name):
+    from oracle_check import compare
+
+    share_package(spark)
+    r = compare(spark, "/root/testdata/sf0.001", [name])[name]
+    assert r["cols_match"] and r["rows"] == r["oracle_rows"] and r["hash_match"], r
