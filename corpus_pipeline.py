@@ -13,7 +13,7 @@ written as Parquet and read again as the next one's ``docs``. All but the last r
 5. token files: returns doc_id, start, n_tokens and ids_crc32 of each document written.
 
 The decisions rest on trained weights and random rounding, which SQL doesn't express; ``tests/llm`` checks
-each stage against a plain computation.
+the operators against plain computations, and near_duplicates and decontamination on planted rows.
 """
 
 from __future__ import annotations
