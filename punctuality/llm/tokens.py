@@ -14,6 +14,7 @@ null ids come first. No rows: no ids, an empty index.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -66,13 +67,17 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Ids of texts, through a cache of the ids of their pieces."""
+    """Ids of texts, through a cache of the ids of their pieces. ``cut`` gives the pieces' starts; it
+    holds for one normalizer and pre-tokenizer, and a tokenizer with others is an error."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cut, normalizer: dict | None, pre_tokenizer: dict):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks run side by side already
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.cut = Tokenizer.from_file(path), cut
+        parts = json.loads(self.tokenizer.to_str())
+        if parts["normalizer"] != normalizer or parts["pre_tokenizer"] != pre_tokenizer:
+            raise ValueError(f"texts can't be cut into pieces for this tokenizer: {path}")
         self.clear()
 
     def clear(self) -> None:
@@ -103,7 +108,7 @@ class PieceEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of each text's (with the end id)."""
         filled = np.diff(offsets) > 0
-        starts = piece_starts(data, np.append(offsets[:-1][filled], len(data))) if len(data) else np.zeros(0, np.int64)
+        starts = self.cut(data, np.append(offsets[:-1][filled], len(data))) if len(data) else np.zeros(0, np.int64)
         ends = np.append(starts[1:], len(data)) if len(starts) else starts
         keys = Sums(BYTE_CODES[data]).of(starts, ends) ^ (ends - starts).astype(np.uint64)
         unique, at, back = np.unique(keys, return_index=True, return_inverse=True)
@@ -123,10 +128,14 @@ class PieceEncoder:
         return tail[ranges(begin, counts)], per_text
 
 
-def encoder(path: str) -> PieceEncoder:
+#: The pre-tokenizer for which ``piece_starts`` holds, without a normalizer.
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+
+
+def encoder(path: str, cut=piece_starts, normalizer: dict | None = None, pre_tokenizer: dict = BYTE_LEVEL) -> PieceEncoder:
     """This Python worker's encoder for a tokenizer file."""
     if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
+        _encoders[path] = PieceEncoder(path, cut, normalizer, pre_tokenizer)
     return _encoders[path]
 
 
