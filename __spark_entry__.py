@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from punctuality.plans.catalog import QUERIES  # noqa: E402
 from punctuality.plans.reports import delay_report, delay_report_text  # noqa: E402
-from punctuality.plans.roundtrips import AWKWARD_TEXT, edge_columns  # noqa: E402
+from punctuality.plans.roundtrips import AWKWARD_TEXT, MIXED_MONTHS, edge_columns  # noqa: E402
 from punctuality.schemas import CAUSE_LABELS, FLIGHTS_RAW  # noqa: E402
 from punctuality.sources.fixtures import FLIGHT_COLUMNS, flights, flights_raw_sql, flights_sql  # noqa: E402
 
@@ -255,6 +255,57 @@ ORACLE |= {
 }
 
 
+_TYPES = {"int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE"}
+_ONCE = "CASE WHEN count(*) >= 0 THEN '{}' END"  # one row
+_COUNT = "CAST(count(*) FILTER (WHERE {}) AS VARCHAR)"
+
+
+def _profile_all() -> str:
+    rows = [("shape", 1, "rows", "n", "CAST(count(*) AS VARCHAR)"), ("shape", 2, "columns", "n", _ONCE.format(len(RAW_COLUMNS)))]
+    for i, f in enumerate(FLIGHTS_RAW.fields, 1):
+        nulls = f"count(*) FILTER (WHERE {f.name} IS NULL)"
+        pct = f"CASE WHEN count(*) > 0 THEN {_txt2(_r2(f'CAST({nulls} AS DOUBLE) * 100 / count(*)'))} END"
+        rows += [("schema", i, f.name, "type", _ONCE.format(f.dataType.simpleString())), ("nulls", i, f.name, "null_count", f"CAST({nulls} AS VARCHAR)"), ("nulls", i, f.name, "null_pct", pct)]
+    late = "arr_delay IS NULL AND cancelled "
+    by = {"0": "= 0", "1": "= 1", "other": "NOT IN (0, 1)", "null": "IS NULL"}
+    rows += [("null_delay", i, n, "flights", _COUNT.format(late + c)) for i, (n, c) in enumerate(by.items(), 1)]
+    rows += [("cancelled_null", 1, "cancelled_flights", "flights", _COUNT.format("cancelled = 1")), ("cancelled_null", 2, "cancelled_null_delay", "flights", _COUNT.format(late + "= 1"))]
+    suspect = late + "= 0 "
+    rows += [("diverted", i, n, "flights", _COUNT.format(suspect + c)) for i, (n, c) in enumerate({"suspects": "", "diverted": "AND diverted = 1", "other": "AND diverted = 0"}.items(), 1)]
+    n, all_n = (f"count(*) FILTER (WHERE {suspect} {c})" for c in ("AND diverted = 1", ""))
+    rows.append(("diverted", 4, "verdict", "verdict", f"CASE WHEN {n} > 0 AND {n} = {all_n} THEN 'confirmed' WHEN {n} > 0 THEN 'partial' ELSE 'refuted' END"))
+    parts = [f"SELECT '{s}' AS section, {i} AS position, '{item}' AS item, '{m}' AS metric, {v} AS value FROM flights_raw" for s, i, item, m, v in rows]
+    return _with(_RAW) + " UNION ALL ".join(parts)
+
+
+_MIXED_GOOD = f"month IN ({', '.join(str(m) for k, v in MIXED_MONTHS.items() if k != 'lacking' for m in v)})"
+_MIXED_LACKING = f"month IN ({', '.join(map(str, MIXED_MONTHS['lacking']))})"
+_STEP = "SELECT '{}' AS step, count(*) AS n_rows, sum(arr_delay) AS minutes FROM flights_raw WHERE {}"
+_VALUES = "SELECT 'values_{c}' AS part, CAST({c} AS VARCHAR) AS item, 'n' AS metric, CAST(count(*) AS VARCHAR) AS value FROM flights_raw WHERE {c} IS NOT NULL GROUP BY {c}"
+_RAW_TEXT_REPORT = _REPORT_TEXT.replace(_FLIGHTS, _RAW_AS_FLIGHTS)
+ORACLE |= {
+    "profile_all": _profile_all(),
+    "first_rows": "SELECT CAST(row_number() OVER () AS INTEGER) AS position, l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT * FROM lineitem LIMIT 20) t",
+    "schema_rows": " UNION ALL ".join(
+        f"SELECT {i} AS position, '{f.name}' AS column_name, CASE typeof(max({f.name})) WHEN '{_TYPES[f.dataType.simpleString()]}' THEN '{f.dataType.simpleString()}' END AS type "
+        f"FROM ({flights_raw_sql('lineitem')}) t4"
+        for i, f in enumerate(FLIGHTS_RAW.fields, 1)
+    ),
+    "text_mixed_headers": _with(_RAW) + f"SELECT * FROM flights_raw WHERE {_MIXED_GOOD}",
+    "csv_mixed_headers": _with(_RAW) + f"SELECT * FROM flights_raw WHERE {_MIXED_GOOD}",
+    "text_mixed_rejected": _with(_RAW) + f"SELECT 'missing_column:arr_delay' AS reason, count(*) AS lines FROM flights_raw WHERE {_MIXED_LACKING} HAVING count(*) > 0",
+    "external_table_scan": _with(_RAW) + " UNION ALL ".join(_STEP.format(*x) for x in (("made", "month <= 6"), ("added", "month IS NOT NULL"), ("moved", "month > 9"), ("files", "month IS NOT NULL"))),
+    "distinct_sketch_check": f"SELECT column_name, true AS \"close\" FROM ({ORACLE['distinct_profile']}) t4 WHERE column_name <> 'month'",
+    "delay_report_staged": _REPORT_TYPED,
+    "job_profile": f"SELECT section AS part, item, metric, value FROM ({_profile_all()}) t4 UNION ALL "
+    f"SELECT 'distinct', column_name, 'n', CAST(distinct_count AS VARCHAR) FROM ({_distinct_profile()}) t5 UNION ALL "
+    + " UNION ALL ".join(f"SELECT * FROM ({_with(_RAW)}{_VALUES.format(c=c)}) t6" for c in ("cancellation_code", "month")),
+    "job_text_lines": f"SELECT coalesce(origin, '') || ';' || CAST(month AS VARCHAR) || ';' || {_LINE.replace('chr(9)', chr(39) + ';' + chr(39))} AS line FROM ({_RAW_TEXT_REPORT}) t4",
+    "job_separator": _CARRIER_PROFILE_TEXT.replace(_FLIGHTS, _RAW_AS_FLIGHTS),
+    "job_mixed_parquet": _REPORT_TYPED.replace(_FLIGHTS, f"flights AS (SELECT * FROM ({flights_raw_sql('lineitem')}) t4 WHERE {_MIXED_GOOD})"),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     out = {k: v for k, v in ORACLE.items() if k in QUERIES}
     return out | llm_queries.ORACLE_SQL if llm_queries else out

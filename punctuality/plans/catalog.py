@@ -25,6 +25,7 @@ from punctuality.operators.profile import (
     diverted_check,
     null_delay_by_status,
     null_profile,
+    profile_all,
     value_counts,
 )
 from punctuality.operators.sampling import replicate, sample_exact
@@ -165,12 +166,19 @@ QUERIES: dict[str, Query] = {
     "cancelled_null_check": lambda s, d: cancelled_null_check(flights_raw(s, d)),
     "diverted_check": lambda s, d: diverted_check(flights_raw(s, d)),
     "dataset_shape": lambda s, d: dataset_shape(flights_raw(s, d)),
+    "profile_all": lambda s, d: profile_all(flights_raw(s, d)),
+    "first_rows": roundtrips.first_trips,
+    "schema_rows": roundtrips.schema_listing,
     # Readers
     "csv_roundtrip": _csv_roundtrip,
     "text_good_rows": _text_good,
     "text_rejected_summary": _text_rejected,
     "text_wide_raw": roundtrips.text_wide_raw,
     "text_reordered_header": roundtrips.text_reordered_header,
+    "text_mixed_headers": roundtrips.text_mixed_headers,
+    "csv_mixed_headers": roundtrips.csv_mixed_headers,
+    "text_mixed_rejected": roundtrips.text_mixed_rejected,
+    "external_table_scan": roundtrips.external_table_scan,
     # Jobs and writers, read back
     "prep_from_wide_raw": roundtrips.prep_from_wide_raw,
     "tsv_roundtrip": roundtrips.tsv_roundtrip,
@@ -180,6 +188,12 @@ QUERIES: dict[str, Query] = {
     "single_file_report": roundtrips.single_file_report,
     "report_order_check": roundtrips.report_order_check,
     "distinct_approx_check": roundtrips.distinct_approx_check,
+    "distinct_sketch_check": roundtrips.distinct_sketch_check,
+    "delay_report_staged": roundtrips.staged_report,
+    "job_profile": roundtrips.job_profile,
+    "job_text_lines": roundtrips.job_text_lines,
+    "job_separator": roundtrips.job_separator,
+    "job_mixed_parquet": roundtrips.job_mixed_parquet,
     # Rare cases: odd and unknown months, unknown cancellation, codes that are no causes
     "carrier_profile_edge": lambda s, d: carrier_profile(roundtrips.edge_flights(s, d)),
     "delay_report_edge": lambda s, d: delay_report(roundtrips.edge_flights(s, d)),

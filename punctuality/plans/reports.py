@@ -18,7 +18,7 @@ from punctuality.functions.numeric import round2
 from punctuality.functions.text import cause_label, format_causes, format_tier
 from punctuality.functions.tiers import delay_tier
 from punctuality.operators.aggregates import TIER_LABELS, carrier_profile, carrier_profile_text, tier_stats
-from punctuality.operators.causes import CODE_COL, cause_counts_exploded, cause_inputs, cause_items, cause_tallies
+from punctuality.operators.causes import CODE_COL, cause_counts_exploded, cause_inputs, cause_items, cause_tallies, explode_causes
 from punctuality.operators.ordering import apply_order
 from punctuality.operators.topk import top_cause_rows, top_k_per_group
 from punctuality.schemas import (
@@ -28,6 +28,7 @@ from punctuality.schemas import (
     TIER_TEXT,
     TIERS,
 )
+from punctuality.sources.tables import Stages, current_database
 
 REPORT_KEYS = ("origin", "month")
 PROFILE_KEYS = ("op_unique_carrier", "origin")
@@ -136,6 +137,28 @@ def delay_report_from_parts(df: DataFrame, keys=REPORT_KEYS, k: int = 3, order:
     return apply_order(stats.join(top, keys, "left"), keys, order)
 
 
+def delay_report_staged(df: DataFrame, path: str, database: str = "punctuality_stages", keys=REPORT_KEYS, k: int = 3) -> DataFrame:
+    """The same typed report by staged tables: tiers, cause rows and top causes are tables of ``database`` while it is
+    computed, each read by the next step; the report is written to ``path`` and read back, and the tables are
+    dropped. For inputs whose intermediate results shall not be kept or computed twice in one plan."""
+    spark, keys = df.sparkSession, list(keys)
+    with current_database(spark, database), Stages(spark) as stage:
+        stats = stage.put("tiers", tier_stats(df, tuple(keys)))
+        causes = stage.put("causes", explode_causes(df, tuple(keys)))
+        counts = causes.groupBy(*keys, "cause").agg(F.count(F.lit(1)).alias("cause_count"))
+        top = stage.put("top_causes", _flatten_top(top_cause_rows(counts, tuple(keys), k), keys, k))
+        report = _null_safe_left(stats, top, keys)
+        report.write.mode("overwrite").parquet(path)
+        return spark.read.schema(report.schema).parquet(path)
+
+
+def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on keys that may be null."""
+    renamed = right.select(*[F.col(c).alias(f"_{c}") for c in keys], *[c for c in right.columns if c not in keys])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return left.join(renamed, same, "left").drop(*[f"_{c}" for c in keys])
+
+
 def delay_report_text(report: DataFrame, keys=REPORT_KEYS, k: int = 3, order: str | None = None) -> DataFrame:
     """(origin, month, low_str, med_str, high_str, cause_str) text lines."""
     keys = list(keys)

@@ -4,7 +4,10 @@ losing them."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,15 +138,79 @@ def read_flights_text(
     return _split(parse_flights_text(spark, path, schema, **kw), schema, observe)
 
 
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a file on any Hadoop file system, compressed or not; None if it is empty."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(conf).open(at)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(at)
+        data = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(data, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def header_layouts(spark: SparkSession, path: str | list[str], readers: int = 16) -> dict[str, list[str]]:
+    """First line -> the files that begin with it, for all files of ``path`` that are not empty. Spark lists the
+    files; the driver reads the first line of each and nothing else."""
+    jvm = spark._jvm
+    files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in sorted(spark.read.text(path).inputFiles())]
+    layouts: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(readers) as pool:
+        for file, line in zip(files, pool.map(lambda f: first_line(spark, f), files), strict=True):
+            if line is not None:
+                layouts.setdefault(line, []).append(file)
+    return layouts
+
+
+def read_flights_mixed(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = FLIGHTS_RAW,
+    sep: str = ",",
+    fmt: str = "text",
+    observe: Observation | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """(good rows, rejected lines) of files that each have a header of their own: columns in any order, with
+    others among them. Files with the same header are read together, by :func:`read_flights_text` or
+    (``fmt="csv"``) :func:`read_flights_csv`, so every file is scanned once and each line is split by its file's
+    positions. The lines of a file that lacks a column are rejected as ``missing_column:<names>``; a file whose first line is
+    no header holds the schema's columns in order. No lines at all: empty results.
+    """
+    parsed = []
+    for header, files in header_layouts(spark, path).items():
+        names = [x.strip().strip('"' if fmt == "csv" else "") for x in header.lstrip("\ufeff").split(sep)]
+        missing = [n for n in schema.fieldNames() if n not in names]
+        known = 2 * len(missing) <= len(schema)
+        if known and missing:
+            lines = spark.read.text(files).filter((F.trim("value") != "") & (F.col("value") != F.lit(header)))
+            none = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+            parsed.append(lines.select(*none, "value", F.lit("missing_column:" + ",".join(missing)).alias(ERROR_COL)))
+        elif fmt == "csv":
+            parsed.append(_parsed_csv(spark, files, schema, names if known else schema.fieldNames(), sep, known, check=False))
+        else:
+            lines = spark.read.text(files)
+            lines = lines.filter(F.col("value") != F.lit(header)) if known else lines
+            parsed.append(parse_flights_lines(lines, schema, sep, names if known else None))
+    if not parsed:
+        parsed = [_checked(spark.createDataFrame([], _raw_schema(schema)), schema, F.lit(False))]
+    return _split(reduce(DataFrame.unionByName, parsed), schema, observe)
+
+
+def _raw_schema(schema: T.StructType) -> str:
+    return ", ".join(["value string", "_nf int", *(f"_r{i} string" for i in range(len(schema)))])
+
+
 def _csv_header(spark: SparkSession, path, sep: str) -> list[str]:
     return [x.strip() for x in spark.read.option("header", True).option("sep", sep).csv(path).columns]
 
 
-def _csv_rows(spark: SparkSession, path, names: list[str], sep: str, header: bool, corrupt: str | None = None):
-    """All columns as text, and the broken line in ``corrupt`` if asked for. A file whose header differs is an error."""
+def _csv_rows(spark: SparkSession, path, names: list[str], sep: str, header: bool, corrupt: str | None = None, check: bool = True):
+    """All columns as text, and the broken line in ``corrupt`` if asked for. With ``check``, a file whose header differs is an error."""
     extra = [corrupt] if corrupt else []
     as_text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *extra]])
-    reader = spark.read.schema(as_text).option("sep", sep).option("header", header).option("enforceSchema", not header)
+    reader = spark.read.schema(as_text).option("sep", sep).option("header", header).option("enforceSchema", not (header and check))
     if corrupt:
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     return reader.option("mode", "PERMISSIVE").csv(path)
@@ -160,12 +227,30 @@ def read_flights_csv(
     names = file_columns(_csv_header(spark, path, sep), schema) if header else schema.fieldNames()
     if names is None:
         raise ValueError("the first line is no header of these columns")
+    return _split(_parsed_csv(spark, path, schema, names, sep, header), schema, observe)
+
+
+def _parsed_csv(spark: SparkSession, path, schema: T.StructType, names: list[str], sep: str, header: bool, check: bool = True) -> DataFrame:
+    """Like :func:`parse_flights_lines`, of quoted CSV files with the columns ``names``."""
     broken = F.col("_corrupt_line")
-    rows = _csv_rows(spark, path, names, sep, header, "_corrupt_line")
+    rows = _csv_rows(spark, path, names, sep, header, "_corrupt_line", check)
     line = F.coalesce(broken, F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names])))
     fields_found = F.when(broken.isNotNull(), F.size(F.split(broken, _regex_quote(sep), -1)))
     raw = rows.select(line.alias("value"), fields_found.alias("_nf"), *_csv_texts(schema))
-    return _split(_checked(raw, schema, F.col("_nf").isNotNull()), schema, observe)
+    return _checked(raw, schema, F.col("_nf").isNotNull())
+
+
+def first_rows(spark: SparkSession, path: str | list[str], n: int = 5, fmt: str = "parquet", **options) -> DataFrame:
+    """The first ``n`` rows in the order of the files' names and of the rows inside each file, with their ``position``
+    from 1. Each task keeps ``n`` rows (a bounded top-n, not a bare limit)."""
+    df = spark.read.options(**options).format(fmt).load(path)
+    inside = F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id()
+    where = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), inside)
+    if fmt == "parquet":
+        where = F.struct(F.col("_metadata.file_path"), inside)
+    top = df.select("*", where.alias("_where")).orderBy("_where").limit(n)
+    position = F.row_number().over(Window.orderBy("_where"))  # over n rows
+    return top.select(position.alias("position"), *[F.col(f"`{c}`") for c in df.columns])
 
 
 def rejected_summary(rejected: DataFrame) -> DataFrame:
