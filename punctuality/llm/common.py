@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.session import scratch_path
+from punctuality.session import remove_path, scratch_path
 
 #: Bytes of text that are handled at once inside a task (one longer text is handled alone).
 SLICE_BYTES = 1 << 20
+#: Row groups of intermediate tables: what a writing task buffers.
+ROW_GROUP_BYTES = 16 << 20
 
 _U = np.uint64
 _RADIX = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
@@ -32,10 +34,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     lineage with files that outlive a lost executor."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a materialized table that no later step reads."""
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove_path(df.sparkSession, file)
+
+
 def text_bytes(column: Column) -> Column:
     """The UTF-8 bytes of a text; null counts as empty."""
     return F.coalesce(column.cast("binary"), F.lit(b""))
@@ -176,3 +184,15 @@ def share_package(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
+#: Python workers give freed memory back instead of keeping it for the next step.
+_LEAN = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_MMAP_THRESHOLD_": str(4 << 20), "MALLOC_TRIM_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2"}
+
+
+def lean_workers(spark: SparkSession, records: int = 2000) -> None:
+    """For jobs of many steps on the same executors: lean Python workers and Arrow batches of at most ``records`` rows."""
+    for k, v in _LEAN.items():
+        spark.sparkContext.environment.setdefault(k, v)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, str(min(records, int(spark.conf.get(key)))))

@@ -20,11 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from punctuality.llm.common import ALNUM, BYTE_CODES, LOWER, Sums, id_fold, mix, slices, text_bytes, word_bounds
+from punctuality.llm.common import ALNUM, BYTE_CODES, LOWER, Sums, id_fold, materialize, mix, slices, text_bytes, word_bounds
 
 #: Kinds of group names; a counterfactual puts the next name of the same kind.
 IDENTITY = (
@@ -180,6 +180,14 @@ def fit_weights(rows, n_features: int, l2: float = 2e-4, swap_weight: float = 1.
     return w, float(bias)
 
 
+def _scores(data: np.ndarray, offsets: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
+    t, f = _features(data, offsets)
+    used = weights[f] != 0
+    t, f = _distinct(t[used], f[used])
+    z = np.bincount(t, weights[f], len(offsets) - 1) + bias
+    return 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+
+
 class ToxicityModel:
     """Weights by feature slot and an intercept."""
 
@@ -194,16 +202,61 @@ class ToxicityModel:
             weights, bias = sent.value
             for b in batches:
                 for i, j, data, offsets in slices(b, text):
-                    t, f = _features(data, offsets)
-                    used = weights[f] != 0
-                    t, f = _distinct(t[used], f[used])
-                    z = np.bincount(t, weights[f], j - i) + bias
-                    score = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                    score = _scores(data, offsets, weights, bias)
                     yield pa.RecordBatch.from_arrays([*(b.column(c).slice(i, j - i) for c in keep), pa.array(score)], [*keep, name])
 
         schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(name, T.DoubleType())])
         return docs.mapInArrow(run, schema)
 
+    def column(self, text: Column) -> Column:
+        """The score of a text column; only the texts go through Python, other columns stay where they are."""
+        weights, bias = self.weights, self.bias
+        some = np.flatnonzero(weights)  # a few thousand
+        values = weights[some]
+
+        @F.arrow_udf("double")
+        def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            full = np.zeros(1 << BITS)
+            full[some] = values
+            for column in texts:
+                batch = pa.RecordBatch.from_arrays([column], ["text"])
+                parts = [_scores(data, offsets, full, bias) for _, _, data, offsets in slices(batch, "text")]
+                yield pa.array(np.concatenate([*parts, np.zeros(0)]))
+
+        return score(text_bytes(text))
+
+
+def _id_bits(ids: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of ``bits`` bits with the ids, two bits each: at most ``bits`` / 64 numbers to the driver."""
+    place = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(bits))
+    places = ids.select(F.explode(F.array(place(1), place(2))).alias("at"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int"))
+    words = places.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
+    out = np.zeros(bits >> 6, np.int64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
+    return out.view(np.uint64)
+
+
+def labelled_texts(docs: DataFrame, train: DataFrame, bits: int) -> DataFrame:
+    """(doc_id, text, label): the texts that have a label in ``train`` (doc_id, label).
+
+    A filter of fixed size with the labels' ids goes to the tasks that read the texts; what passes it (the labelled
+    texts and a few more, all of them if there are far more labels than bits) is joined by a shuffle.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(_id_bits(train, bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = sent.value
+        for b in batches:
+            at = [b.column(c).to_numpy().astype(np.uint64) for c in ("h1", "h2")]
+            hit = [(words[(x >> np.uint64(6)).astype(np.int64)] >> (x & np.uint64(63))) & np.uint64(1) for x in at]
+            yield b.select(["doc_id", "text"]).filter(pa.array((hit[0] & hit[1]).astype(bool)))
+
+    place = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(bits))
+    d = docs.where("doc_id is not null").select("doc_id", text_bytes(F.col("text")).alias("text"), place(1).alias("h1"), place(2).alias("h2"))
+    some = d.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text binary")
+    return some.join(train.hint("merge"), "doc_id")
+
 
 def train_toxicity(
     docs: DataFrame,
@@ -214,12 +267,14 @@ def train_toxicity(
     sample_per_class: int = 10_000,
     identity=IDENTITY,
     swap_weight: float = 1.0,
+    filter_bits: int = 1 << 25,
 ) -> ToxicityModel:
-    """Fit on the labelled rows outside fold ``held_out`` (crc32 of the id modulo ``folds``)."""
+    """Fit on the labelled rows outside fold ``held_out`` (crc32 of the id modulo ``folds``). ``filter_bits``: see
+    :func:`labelled_texts`; any number gives the same model."""
     train = labels.where(F.col("toxic").isin(0, 1) & (id_fold(F.col("doc_id"), folds) != held_out))
     train = train.select("doc_id", F.col("toxic").cast("int").alias("label"))
-    texts = docs.where(id_fold(F.col("doc_id"), folds) != held_out).select("doc_id", text_bytes(F.col("text")).alias("text"))
-    counts = feature_counts(texts.join(train, "doc_id").select("text", "label"))
+    labelled = materialize(labelled_texts(docs, train, filter_bits), "toxicity-labelled")
+    counts = feature_counts(labelled.select("text", "label"))
     n = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     names = _hash_words([w for kind in identity for w in kind]) >> np.uint64(64 - BITS)
     if not n.get(0) or not n.get(1):
@@ -233,7 +288,8 @@ def train_toxicity(
     picked = [
         train.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_per_class) for label in (0, 1)
     ]
-    sample = texts.join(F.broadcast(picked[0].unionByName(picked[1])), "doc_id").select("text", "label")
+    chosen_ids = picked[0].unionByName(picked[1]).select("doc_id", "label").distinct()  # at most 2 * sample_per_class rows
+    sample = labelled.join(F.broadcast(chosen_ids), ["doc_id", "label"]).select("text", "label")
     rows = _sample_rows(sample, chosen, _swaps(identity))
     w, bias = fit_weights(rows, len(chosen), swap_weight=swap_weight)
     weights = np.zeros(1 << BITS)
