@@ -10,8 +10,10 @@ per source is left, which is rounded by chance. The words taken from a source th
 its target by less than one document.
 
 Groups are dealt by a hash of the document within its source, so a hot source becomes many
-small groups. Rows that agree in id, source and size are one unit (decided alike), which
-are counted before anything is shuffled by source.
+small groups. Rows that agree in id, source and size are one unit, which are counted before anything is
+shuffled by source. Of a unit of n rows with the fraction f, floor(n * f) rows are rounded up outright, and one row
+goes to the tree with what is left of n * f, so that also a source of equal rows misses its target by less
+than one document. Which rows of a unit are rounded up goes by a hash of their columns.
 
 Null source: a source of its own, ordered last. Null text: size 0, taken 0 times. Null id:
 an id like any other. No rows: an empty result.
@@ -139,8 +141,9 @@ def mix_sources(
     fan: int = 64,
     seed: int = 20,
 ) -> DataFrame:
-    """(doc_id, source, size, rows, source_size, target, copies): one row per unit of ``docs``
-    (equal doc_id, source and size; ``rows`` such rows), each of which is taken ``copies`` times."""
+    """(doc_id, source, size, rows, source_size, target, whole, more): one row per unit of ``docs``
+    (equal doc_id, source and size; ``rows`` such rows), each of which is taken ``whole`` times, and ``more`` of them
+    once more."""
     units = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"))
     units = materialize(units.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("rows")), "mix-units")
     targets = materialize(source_targets(units.select("source", "size", "rows"), weights, share, most), "mix-targets")
@@ -149,34 +152,62 @@ def mix_sources(
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = u.withColumn("whole", F.floor(rate)).withColumn("part", rate - F.floor(rate))
     u = u.withColumn("key", F.struct(F.xxhash64(F.lit(seed), "doc_id", "size").alias("h"), "doc_id", "size"))
-    open_units = u.where((F.col("part") > 0) & (F.col("size") > 0)).select(
-        "source", "key", (F.col("size") * F.col("rows")).cast("double").alias("mass"), "part", "units"
-    )
+    up = F.when(F.col("size") > 0, F.col("rows") * F.col("part")).otherwise(F.lit(0.0))
+    u = u.withColumn("sure", F.floor(up)).withColumn("open", up - F.floor(up))
+    open_units = u.where("open > 0").select("source", "key", F.col("size").cast("double").alias("mass"), F.col("open").alias("part"), "units")
     extra = round_units(open_units, fan, seed).select(
         F.col("source").alias("s"), F.col("key.doc_id").alias("d"), F.col("key.size").alias("z"), "extra"
     )
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("size") == F.col("z")) & F.col("source").eqNullSafe(F.col("s"))
     out = u.join(extra, same, "left")
-    copies = F.when(F.col("size") == 0, 0).otherwise(F.col("whole") + F.coalesce(F.col("extra"), F.lit(0.0))).cast("int")
-    return out.select("doc_id", "source", "size", "rows", "source_size", "target", copies.alias("copies"))
+    whole = F.when(F.col("size") == 0, 0).otherwise(F.col("whole")).cast("int")
+    more = F.col("sure") + F.coalesce(F.col("extra"), F.lit(0.0)).cast("long")
+    return out.select("doc_id", "source", "size", "rows", "source_size", "target", whole.alias("whole"), more.alias("more"))
+
+
+#: Parts that the different rows of one unit are numbered in.
+SALTS = 256
+
+
+def _numbered(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` of units of which some rows are rounded up (``__more`` of ``__rows``), with ``__n``, how often each is
+    taken. Equal rows are counted map-side and are one row here; the others of a unit are numbered in parts by their hash."""
+    unit = ["__d", "__s", "__z"]
+    same = rows.groupBy(*columns, *unit, "__whole", "__more").agg(F.count(F.lit(1)).alias("__m"))
+    same = same.withColumn("__h", F.xxhash64(*[F.col(f"`{c}`") for c in columns])).withColumn("__salt", F.pmod("__h", F.lit(SALTS)))
+    same = materialize(same, "mix-repeated")
+    before = lambda w: F.coalesce(F.sum("__m").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = same.groupBy(*unit, "__salt").agg(F.sum("__m").alias("__m"))
+    parts = parts.withColumn("__base", before(Window.partitionBy(*unit).orderBy("__salt"))).drop("__m")
+    names = {c: f"{c}_" for c in (*unit, "__salt")}
+    at = parts.select(*[F.col(c).alias(n) for c, n in names.items()], "__base")
+    out = same.join(at, reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]))
+    place = F.col("__base") + before(Window.partitionBy(*unit, "__salt").orderBy("__h", *[F.col(f"`{c}`") for c in columns]))
+    up = F.greatest(F.lit(0), F.least(F.col("__m"), F.col("__more") - F.col("__place")))
+    return out.withColumn("__place", place).withColumn("__n", (F.col("__m") * F.col("__whole") + up).cast("int"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    plan = mix_sources(docs, **options).where("copies > 0")
+    """The rows of ``docs``, each as often as the mix takes it. Columns must be comparable (no maps)."""
+    plan = materialize(mix_sources(docs, **options).where("whole > 0 or more > 0"), "mix-plan")
     plan = plan.select(
-        F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("copies").alias("__n")
-    )
+        F.col("doc_id").alias("__d"), F.col("source").alias("__s"), F.col("size").alias("__z"), F.col("rows").alias("__rows"),
+        F.col("whole").alias("__whole"), F.col("more").alias("__more"),
+    )
     same = (
         F.col("doc_id").eqNullSafe(F.col("__d"))
         & F.col("source").eqNullSafe(F.col("__s"))
         & (n_words(F.col("text")) == F.col("__z"))
     )
-    out = docs.join(plan, same, "inner").withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-    return out.select(*docs.columns)
+    alike = (F.col("__more") == 0) | (F.col("__more") == F.col("__rows"))
+    one = docs.join(plan.where(alike), same).withColumn("__n", F.col("__whole") + F.least("__more", F.lit(1).cast("long")).cast("int"))
+    some = _numbered(docs.join(plan.where(~alike), same), docs.columns)
+    take = lambda rows: rows.where("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)
+    return take(one).unionByName(take(some))
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, source_size, target, taken (words)."""
-    m = mix_sources(docs, **options).withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    m = mix_sources(docs, **options).withColumn("__k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))))
+    copies = F.col("whole") + F.when(F.col("__k") <= F.col("more"), 1).otherwise(0)
+    return m.select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"))
