@@ -10,9 +10,10 @@ rule holds with their own w.
 
 The benchmark goes to the executors in blocks of at most ``block_words`` windows (the bound is what
 limits the broadcast; windows are dealt by a hash of item, length and window, so an item may be in several
-blocks, and there are as many as it takes for the largest to keep the bound), and the
-documents are read once per block, so a large benchmark costs passes, not memory. Documents
-are never shuffled by their text or by a fingerprint: a common passage makes no hot key.
+blocks, and there are as many as it takes for the largest to keep the bound), one after another: a block's hits are
+written and its broadcast is gone before the next one is read. The documents are read once per block, so a large
+benchmark costs passes, not memory. Documents are never shuffled by their text or by a fingerprint: a common
+passage makes no hot key. Windows are equal if two 64-bit hashes of them are.
 
 Null or empty texts have no words: they are returned with zero hits; such items match
 nothing. Repeated item rows count once per item_id. Repeated documents get a row each.
@@ -27,10 +28,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import ALNUM, LOWER, Sums, covered, signed, slices, text_bytes, word_bounds, word_hashes
+from punctuality.llm.common import ALNUM, LOWER, Sums, covered, materialize, mix, signed, slices, text_bytes, word_bounds, word_hashes
 
 
 def _words(data: np.ndarray, offsets: np.ndarray):
@@ -39,6 +41,11 @@ def _words(data: np.ndarray, offsets: np.ndarray):
     return word_hashes(data, starts, ends, False), first
 
 
+def _checks(hashes: np.ndarray) -> Sums:
+    """A second hash of any stretch of words."""
+    return Sums(mix(hashes ^ np.uint64(0x5851F42D4C957F2D)))
+
+
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     """Smallest of each run of ``w`` values."""
     have = 1
@@ -63,8 +70,8 @@ def _windows(hashes: np.ndarray, first: np.ndarray, n: int, k: int):
 
 
 def item_windows(items: DataFrame, n: int, k: int) -> DataFrame:
-    """(item_id string, length, mark, window): every n-word window of the items, or the one
-    window of a shorter item, with its fingerprint."""
+    """(item_id string, length, mark, window, check): every n-word window of the items, or the one
+    window of a shorter item, with its fingerprint and two hashes."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -83,16 +90,17 @@ def item_windows(items: DataFrame, n: int, k: int) -> DataFrame:
                             pa.array(np.full(len(text), length, np.int32)),
                             pa.array(signed(mark)),
                             pa.array(signed(sums.of(start, start + length))),
+                            pa.array(signed(_checks(hashes).of(start, start + length))),
                         ],
-                        ["item_id", "length", "mark", "window"],
+                        ["item_id", "length", "mark", "window", "check"],
                     )
 
     df = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), text_bytes(F.col("text")).alias("text"))
-    return df.mapInArrow(rows, "item_id string, length int, mark long, window long").distinct()
+    return df.mapInArrow(rows, "item_id string, length int, mark long, window long, check long").distinct()
 
 
-def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> DataFrame:
-    """doc key, n_words, spans (int64 pairs), items (strings): hits of one block of items."""
+def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
+    """(doc key, n_words, spans (int64 pairs), items (strings)) with the hits of one block of items, and what was sent."""
     spark = docs.sparkSession
     rows = block.toPandas()  # bounded by block_words
     names = sorted(set(rows["item_id"]))
@@ -104,6 +112,7 @@ def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> DataFrame:
             np.unique(part["mark"].to_numpy().view(np.uint64)),
             part["window"].to_numpy().view(np.uint64)[order],
             np.array([number[x] for x in part["item_id"]], np.int64)[order],
+            part["check"].to_numpy().view(np.uint64)[order],
         )
     sent = spark.sparkContext.broadcast((names, by_length))
 
@@ -114,7 +123,7 @@ def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> DataFrame:
                 hashes, first = _words(data, offsets)
                 spans = [[] for _ in range(j - i)]
                 items = [set() for _ in range(j - i)]
-                for length, (marks, windows, owner) in by_length.items():
+                for length, (marks, windows, owner, checks) in by_length.items():
                     found = _windows(hashes, first, length, k)
                     if found is None:
                         continue
@@ -125,9 +134,15 @@ def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> DataFrame:
                     start, text = start[near], text[near]
                     whole = sums.of(start, start + length)
                     lo, hi = np.searchsorted(windows, whole, "left"), np.searchsorted(windows, whole, "right")
-                    for t, s, x, y in zip(text[hi > lo], start[hi > lo], lo[hi > lo], hi[hi > lo], strict=True):
-                        spans[t].append((s - first[t], s - first[t] + length))
-                        items[t].update(owner[x:y].tolist())
+                    text, start, lo, hi = (x[hi > lo] for x in (text, start, lo, hi))
+                    if not len(text):
+                        continue
+                    again = _checks(hashes).of(start, start + length)
+                    for t, s, x, y, z in zip(text, start, lo, hi, again, strict=True):
+                        own = owner[x:y][checks[x:y] == z]
+                        if len(own):
+                            spans[t].append((s - first[t], s - first[t] + length))
+                            items[t].update(own.tolist())
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("doc_id").slice(i, j - i),
@@ -139,7 +154,8 @@ def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> DataFrame:
                     ["doc_id", "row", "n_words", "spans", "items"],
                 )
 
-    return docs.mapInArrow(hits, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, row long, n_words long, spans binary, items array<string>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(hits, f"doc_id {kind}, row long, n_words long, spans binary, items array<string>"), sent
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +186,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, k: int = 5, bl
     One row per input row. With more than one block the hits of a document meet by doc_id and
     a hash of its text; equal rows meet as one and are repeated afterwards.
     """
-    windows = item_windows(items, n, k)
+    windows = materialize(item_windows(items, n, k), "winnow-windows")
     rows = windows.count()
     blocks = max(1, -(-rows // block_words))
     d = docs.select("doc_id", text_bytes(F.col("text")).alias("text"))
@@ -179,10 +195,14 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, k: int = 5, bl
     while blocks > 1 and windows.groupBy(F.pmod(dealt, F.lit(blocks))).count().agg(F.max("count")).first()[0] > block_words:
         blocks += -(-blocks // 8)
     part = F.pmod(dealt, F.lit(blocks))
-    found = [_block_hits(d, windows.where(part == i), k) for i in range(blocks)]
     if blocks == 1:
-        merged = found[0].select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("items").alias("items"))
+        merged = _block_hits(d, windows, k)[0].select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("items").alias("items"))
     else:
+        found = []
+        for i in range(blocks):
+            hits, sent = _block_hits(d, windows.where(part == i), k)
+            found.append(materialize(hits, "winnow-hits"))
+            sent.destroy()
         merged = reduce(DataFrame.unionByName, found).groupBy("doc_id", "row").agg(
             F.max("n_words").alias("n_words"),
             F.collect_set("spans").alias("spans"),
