@@ -1,6 +1,7 @@
 """Approximate nearest neighbours: a graph by NN-descent, queries by greedy graph search.
 
-Equal vectors are one node (its smallest vec_id); their members meet again in the answer.
+Equal vectors are one node (its smallest vec_id, or a 64-bit hash where that id has other vectors too); their members
+meet again in the answer.
 NN-descent starts from the nearest neighbours in the leaves of several trees of random hyperplanes, so that
 groups of near copies meet however many groups there are, and repeats a join: each node introduces its
 neighbours (and those that hold it as a neighbour) to each other, and every node keeps the
@@ -13,7 +14,8 @@ vectors; a query ends when its whole beam is expanded. All queries go on togethe
 Graph and beams compare the vectors as given, in double precision, and so is the answer ranked.
 
 Vectors that are null or zero, hold a null or a non-finite component or differ in length from the most frequent one
-take no part, nor does a null vec_id. Rows that share a vec_id and vector count once; with fewer than k candidates all found are
+take no part, nor does a null vec_id. Rows that share a vec_id and vector count once; a vec_id with several
+vectors is one query and one neighbour, at the smallest distance of any of its vectors; with fewer than k candidates all found are
 returned. No rows: an empty result.
 """
 
@@ -336,21 +338,27 @@ def nearest(vectors: DataFrame, query_step: int = 100, k: int = 10, **options) -
     members = Window.partitionBy("v").orderBy("vec_id")
     ranked = rows.withColumn("n", F.row_number().over(members)).where(F.col("n") <= k + 1)
     classes = ranked.groupBy("v").agg(F.min("vec_id").alias("node"), F.sort_array(F.collect_list("vec_id")).alias("members"))
+    # A vec_id with several vectors does not name a node.
+    several = rows.groupBy(F.col("vec_id").alias("node")).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    classes = classes.join(several, "node", "left")
+    classes = classes.select(F.when(F.col("c").isNull(), F.col("node")).otherwise(F.xxhash64("node", "v")).alias("node"), "v", "members")
     classes = materialize(classes, "ann-classes")
     nodes = materialize(classes.select("node", "v").mapInArrow(coded, "node long, code binary"), "ann-nodes")
-    asked = rows.where(F.col("vec_id") % query_step == 0).select(F.col("vec_id").alias("q"), F.col("v").alias("qv"))
-    asked = materialize(asked, "ann-queries")
-    codes = asked.select(F.col("q").alias("node"), F.col("qv").alias("v")).mapInArrow(coded, "node long, code binary")
-    codes = codes.select(F.col("node").alias("q"), F.col("code").alias("qc"))
-    owns = asked.join(classes.select(F.col("node").alias("own"), F.col("v").alias("qv")), "qv").select("q", "qv", "own")
-    queries = materialize(codes.join(owns.select("q", "own"), "q"), "ann-query-codes")
+    # A query is a vector: all asked rows that hold it share its search.
+    asked = rows.where(F.col("vec_id") % query_step == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"))
+    asked = asked.join(classes.select(F.col("node").alias("q"), F.col("v").alias("qv")), "qv")
+    asked = materialize(asked.select("query_id", "q"), "ann-queries")
+    own = nodes.join(asked.select(F.col("q").alias("node")).distinct(), "node")
+    queries = materialize(own.select(F.col("node").alias("q"), F.col("node").alias("own"), F.col("code").alias("qc")), "ann-query-codes")
     build = {x: options[x] for x in ("degree", "sample", "best", "rounds", "settled", "draws") if x in options}
     edges = neighbour_graph(nodes, **build)
     search = {x: options[x] for x in ("beam", "width", "entries") if x in options}
     found = graph_search(nodes, edges, queries, **search)
-    found = found.join(classes.select("node", "v"), "node").join(asked, "q").select("q", "node", "qv", "v")
-    found = found.mapInArrow(_exact, "q long, node long, d double")
-    out = found.join(classes.select("node", F.explode("members").alias("vec_id")), "node").where("vec_id <> q")
-    rank = F.row_number().over(Window.partitionBy("q").orderBy("d", "vec_id"))
+    vectors_of = classes.select(F.col("node").alias("q"), F.col("v").alias("qv"))
+    found = found.join(classes.select("node", "v"), "node").join(vectors_of, "q").select("q", "node", "qv", "v")
+    found = found.mapInArrow(_exact, "q long, node long, d double").join(asked, "q")
+    out = found.join(classes.select("node", F.explode("members").alias("vec_id")), "node").where("vec_id <> query_id")
+    out = out.groupBy("query_id", "vec_id").agg(F.min("d").alias("d"))  # an id with several vectors counts by its nearest
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("d", "vec_id"))
     out = out.withColumn("rank", rank).where(F.col("rank") <= k)
-    return out.select(F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", F.col("d").alias("score"))
+    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("d").alias("score"))
