@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import materialize
+from punctuality.llm.common import discard, materialize
 
 
 def _to_least(edges: DataFrame, larger_only: bool) -> DataFrame:
@@ -27,11 +27,12 @@ def _to_least(edges: DataFrame, larger_only: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least id reachable over ``edges`` (a, b), for every node that has
     an edge to another one. Alternates the two steps above until nothing changes; every
-    round is written to the shared folder."""
+    round is written to the shared folder, where it replaces the one before."""
     edges = materialize(edges.select("a", "b").where("a <> b").distinct(), "edges")
     seen = None
     while True:
-        edges = materialize(_to_least(_to_least(edges, True), False), "edges")
+        before, edges = edges, materialize(_to_least(_to_least(edges, True), False), "edges")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))

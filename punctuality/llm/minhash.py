@@ -293,8 +293,11 @@ def _open_links(blocks: DataFrame, sets: DataFrame, percent: int, low: float) ->
     return with_sets.groupBy(*_BLOCK).applyInArrow(_block_links(percent), "a long, b long").distinct()
 
 
-def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, block: int = 256, slack: float = 0.18) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
+def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, block: int = 2048, last_block: int = 512, slack: float = 0.18) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept.
+
+    ``block``: nodes of a side of a block that compares signatures (1 MB of them); ``last_block``: of one whose
+    candidates bring their full sets."""
     signed_docs = materialize(signed_documents(docs, width), "minhash-signed")
     classes = signed_docs.where("n > 0 and doc_id is not null").groupBy("key_a", "key_b", "n").agg(F.min("doc_id").alias("node"))
     with_class = signed_docs.join(classes, ["key_a", "key_b", "n"], "left")
@@ -333,7 +336,7 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, bl
         more = materialize(more.distinct().join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
         tested = tested.unionByName(more)
         groups = joined(materialize(confirmed(more, sets, percent), "minhash-links"))
-    rest = _open_links(_open_blocks(members, groups, signatures_of, block), sets, percent, low)
+    rest = _open_links(_open_blocks(members, groups, signatures_of, last_block), sets, percent, low)
     groups = joined(materialize(rest, "minhash-links"))
 
     out = with_class.join(groups, "node", "left")
