@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import materialize, share_package, table
+from punctuality.llm.common import lean_workers, materialize, share_package, table
 from punctuality.llm.decontaminate import contamination
 from punctuality.llm.minhash import near_duplicate_groups
 from punctuality.llm.mixing import mixed_documents
@@ -30,9 +30,9 @@ from punctuality.llm.toxicity import train_toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    lean_workers(spark)  # the stages share their executors; this holds for those that follow
     model = train_toxicity(docs, table(spark, sf_dir, "labels"))
-    scored = model.score(docs, docs.columns, name="__score")
-    return scored.where(F.col("__score") < 0.5).drop("__score")
+    return docs.where(model.column(F.col("text")) < 0.5)
 
 
 #: Fewest words of a benchmark item that rejects documents, and what op9 takes as a word.
