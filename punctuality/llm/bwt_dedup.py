@@ -39,20 +39,31 @@ def byte_cut(data: np.ndarray, offsets: np.ndarray):
 def common_prefixes(bwt: np.ndarray, least: int) -> np.ndarray:
     """For each suffix in sorted order, whether its common prefix with the one before is shorter
     than ``least``. Level by level: suffixes are apart at level l + 1 if their first symbols
-    differ or the suffixes one symbol later are apart at level l."""
-    later = np.argsort(bwt, kind="stable")  # from a suffix to the one that starts a symbol later
+    differ or the suffixes one symbol later are apart at level l. Where those two are neighbours, only what came
+    apart at the last level is followed backward; elsewhere the numbers of their intervals are compared.
+    Suffixes that agree in ``least`` symbols may be in any order."""
+    n = len(bwt)
+    later = np.argsort(bwt, kind="stable").astype(np.int32)  # from a suffix to the one that starts a symbol later
     first = bwt[later]
     apart = np.append(True, first[1:] != first[:-1])
-    open_ = np.flatnonzero(~apart)  # still together with the one before
+    earlier = np.empty(n, np.int32)
+    earlier[later] = np.arange(n, dtype=np.int32)
+    neighbours = np.append(False, np.diff(later) == 1)
+    open_ = np.flatnonzero(~apart & ~neighbours)  # still together with the one before
+    high, low = later[open_], later[open_ - 1]
+    neighbours &= ~apart
+    new = np.flatnonzero(apart)
     for _ in range(least - 1):
-        if not len(open_):
+        new = earlier[new]
+        new = new[neighbours[new]]
+        if len(open_):
+            interval = np.cumsum(apart, dtype=np.int32)
+            hit = interval[high] != interval[low]
+            new = np.append(new, open_[hit])
+            open_, high, low = open_[~hit], high[~hit], low[~hit]
+        if not len(new):
             break
-        interval = np.cumsum(apart)
-        new = interval[later[open_]] != interval[later[open_ - 1]]
-        if not new.any():
-            break
-        apart[open_[new]] = True
-        open_ = open_[~new]
+        apart[new] = True
     return apart
 
 
@@ -65,7 +76,7 @@ def byte_matcher(least: int):
         symbols = np.frombuffer(b"\x00".join(texts) + b"\x00\x00", np.uint8).astype(np.int16) + 1
         symbols[starts + sizes] = 0  # separators
         symbols[-1] = 0
-        order = suffix_array(symbols, 256)
+        order = suffix_array(symbols, 256, least)
         apart = common_prefixes(transform(symbols, order), least)
         owner = np.repeat(np.arange(len(texts)), sizes + 1)
         owner = np.append(owner, len(texts) - 1)

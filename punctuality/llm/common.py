@@ -130,6 +130,11 @@ class Sums:
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
+    def of_all(self, size: int) -> np.ndarray:
+        """Of every stretch of ``size`` codes."""
+        n = len(self.sums) - size
+        return mix((self.sums[size:] - self.sums[:n]) * self.down[:n])
+
 
 #: 64-bit codes of the bytes, unequal and fixed.
 BYTE_CODES = mix(np.arange(1, 257, dtype=_U) * _U(0xD6E8FEB86659FD93))

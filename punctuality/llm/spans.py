@@ -38,6 +38,10 @@ _U = np.uint64
 #: Entries of one anchor above which it is dealt by window.
 HOT_ENTRIES = 4096
 
+#: Bits of an anchor's hash that route it. Anchors that agree in them by chance only send some stretches in
+#: vain: the 64-bit hash of the stretch and the comparison of the bytes decide.
+ROUTE = _U((1 << 48) - 1)
+
 #: One anchor: its hash, the stretch's hash, document, first unit, and the stretch's size in units.
 ENTRY = np.dtype([("anchor", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("start", "<i4"), ("size", "<i2")])
 #: One span of a document.
@@ -55,7 +59,7 @@ def stretches(codes: np.ndarray, first: np.ndarray, length: int, k: int):
     n, w = len(codes), length - k + 1
     sums = Sums(codes)
     at = np.arange(n - k + 1)
-    grams = sums.of(at, at + k)
+    grams = sums.of_all(k)
     low = _U(24)  # the place, in the low bits, decides among equals: leftmost
     if n >= 1 << 24:
         low = _U(int(n).bit_length())
@@ -104,14 +108,9 @@ def anchors(docs: DataFrame, codes: Codes, length: int, k: int, buckets: int) ->
                 whole = sums.of(start, start + size) ^ (place - start).astype(_U)
                 on = _earliest([anchor, whole], doc)
                 entry = np.zeros(int(on.sum()), ENTRY)
-                entry["anchor"], entry["doc"], entry["size"] = anchor[on], doc[on], size[on]
+                entry["anchor"], entry["doc"], entry["size"] = anchor[on] & ROUTE, doc[on], size[on]
                 entry["start"], entry["whole"] = (start - first[text])[on], whole[on]
-                bucket = (anchor[on] % _U(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                bucket, entry = bucket[order], entry[order]
-                cut = np.flatnonzero(np.diff(bucket)) + 1
-                firsts = np.append(0, cut)[: len(entry)]
-                rows = [(int(bucket[f]), None, _pack(e)) for f, e in zip(firsts, np.split(entry, cut), strict=True)]
+                rows = [(at, None, payload) for at, payload in _pack(entry, buckets)]
                 off = ~on
                 span = np.zeros(int(off.sum()), SPAN)
                 span["start"] = (start - first[text])[off]
@@ -127,25 +126,37 @@ def anchors(docs: DataFrame, codes: Codes, length: int, k: int, buckets: int) ->
     return docs.mapInArrow(run, "bucket long, doc long, payload binary")
 
 
-def _pack(entry: np.ndarray) -> bytes:
-    """Entries sorted by anchor, column after column (close numbers next to each other)."""
-    entry = entry[np.argsort(entry["anchor"], kind="stable")]
-    anchor = np.diff(entry["anchor"], prepend=_U(0))
-    doc = entry["doc"].min() if len(entry) else 0
-    wide = len(entry) and int(entry["doc"].max()) - int(doc) >= 1 << 32
-    shift = (entry["doc"] - doc).astype("<u8" if wide else "<u4")
-    return b"".join(
-        [np.int64(len(entry)).tobytes(), np.int64(doc).tobytes(), np.int64(wide).tobytes(), anchor.astype("<u8").tobytes(), entry["whole"].tobytes(), shift.tobytes(), entry["start"].tobytes(), entry["size"].tobytes()]
-    )
+def _planes(entry: np.ndarray) -> np.ndarray:
+    """The entries' bytes, first those at place 0 of all entries, and so on: equal bytes lie together."""
+    return np.ascontiguousarray(entry).view(np.uint8).reshape(len(entry), ENTRY.itemsize).T
+
+
+def _from_planes(raw: bytes, at: int = 0) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, offset=at).reshape(ENTRY.itemsize, -1).T.copy().view(ENTRY).ravel()
+
+
+def _pack(entry: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes]]:
+    """(bucket, payload): the entries of each bucket, sorted by anchor, as byte planes with anchors
+    and documents as differences."""
+    part, bucket = np.divmod(entry["anchor"], _U(buckets))
+    order = np.lexsort((part, bucket))
+    entry, part, bucket = entry[order], part[order], bucket[order]
+    head = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    counts = np.diff(np.append(head, len(entry)))
+    entry["anchor"] = np.diff(part, prepend=_U(0))
+    entry["anchor"][head] = part[head]
+    least = np.minimum.reduceat(entry["doc"], head)
+    entry["doc"] -= np.repeat(least, counts)
+    planes = np.ascontiguousarray(_planes(entry))
+    for i, n, at, doc in zip(head.tolist(), counts.tolist(), bucket[head].tolist(), least.tolist(), strict=True):
+        yield at, np.array([at, buckets, doc], "<i8").tobytes() + planes[:, i : i + n].tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
-    n, doc, wide = np.frombuffer(raw, "<i8", 3).tolist()
-    out, at = np.zeros(n, ENTRY), 24
-    for name, kind in (("anchor", "<u8"), ("whole", "<u8"), ("doc", "<u8" if wide else "<u4"), ("start", "<i4"), ("size", "<i2")):
-        x = np.frombuffer(raw, kind, n, at)
-        at += x.nbytes
-        out[name] = np.cumsum(x, dtype=_U) if name == "anchor" else x.astype(np.int64) + doc if name == "doc" else x
+    bucket, buckets, doc = np.frombuffer(raw, "<i8", 3).tolist()
+    out = _from_planes(raw, 24)
+    out["anchor"] = np.cumsum(out["anchor"], dtype=_U) * _U(buckets) + _U(bucket)
+    out["doc"] += doc
     return out
 
 
@@ -247,7 +258,7 @@ def fetch(docs: DataFrame, entries: DataFrame, codes: Codes, cut: Callable, leng
                 for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
                     texts = [raw[x:y] for x, y in zip(lo[part].tolist(), hi[part].tolist(), strict=True)]
                     sizes = np.fromiter(map(len, texts), "<i4", len(texts))
-                    rows.append((int(shard[part[0]]), entry[part].tobytes(), sizes.tobytes(), b"".join(texts)))
+                    rows.append((int(shard[part[0]]), _planes(entry[part]).tobytes(), sizes.tobytes(), b"".join(texts)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], ["shard", "entries", "sizes", "texts"]
                 )
@@ -274,7 +285,7 @@ def match_shards(dealt: DataFrame, matcher: Callable[[list[bytes], np.ndarray],
             yield from one_shard(by_shard.popitem()[1])
 
     def one_shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        entry = np.concatenate([np.frombuffer(e, ENTRY) for e, _, _ in rows])
+        entry = np.concatenate([_from_planes(e) for e, _, _ in rows])
         sizes = np.concatenate([np.frombuffer(s, "<i4") for _, s, _ in rows]).astype(np.int64)
         raw = b"".join(t for _, _, t in rows)
         at = np.cumsum(sizes) - sizes

@@ -5,29 +5,44 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(symbols: np.ndarray, top: int) -> np.ndarray:
-    """Start of each suffix in sorted order, by prefix doubling. Symbols are 0 to ``top``; the
-    first sort packs as many of them into one number as fit."""
+def suffix_array(symbols: np.ndarray, top: int, depth: int | None = None) -> np.ndarray:
+    """Start of each suffix in sorted order, by prefix doubling. Symbols are 0 to ``top``; they are
+    numbered densely and the first sort packs as many of them into one number as fit. Later sorts
+    take only suffixes still tied. With ``depth``, suffixes that agree in so many symbols may stay in any order."""
     n = len(symbols)
-    bits = max(1, int(top + 1).bit_length())
-    have = max(1, 62 // bits)
-    padded = np.append(symbols.astype(np.int64) + 1, np.zeros(have, np.int64))
+    used = np.zeros(top + 1, bool)
+    used[symbols] = True
+    dense = np.cumsum(used)[symbols]  # from 1; 0 is beyond the end
+    bits = max(1, int(used.sum()).bit_length())
+    have = max(1, min(62 // bits, n))
+    padded = np.append(dense, np.zeros(have, np.int64))
     key = np.zeros(n, np.int64)
     for i in range(have):
         key = (key << bits) | padded[i : i + n]
-    while True:
-        order = np.argsort(key, kind="stable")
-        step = np.zeros(n, np.int64)
-        step[1:] = key[order][1:] != key[order][:-1]
-        rank = np.zeros(n, np.int64)
-        rank[order] = np.cumsum(step)
-        if n == 0 or rank[order[-1]] == n - 1:
-            return order
-        after = np.zeros(n, np.int64)
-        if have < n:
-            after[:-have] = rank[have:] + 1
-        key = rank * (n + 1) + after
+    order = np.argsort(key)
+    key = key[order]
+    head = np.append(True, key[1:] != key[:-1])[:n]  # starts of groups of tied suffixes
+    rank = np.zeros(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    tied = _tied(head, np.arange(n))
+    while len(tied) and (depth is None or have < depth):
+        some = order[tied]
+        after = some + have
+        key = rank[some] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        some, key = some[by], key[by]
+        order[tied] = some
+        head = np.append(True, key[1:] != key[:-1])
+        rank[some] = tied[np.maximum.accumulate(np.where(head, np.arange(len(tied)), 0))]
+        tied = _tied(head, tied)
         have *= 2
+    return order
+
+
+def _tied(head: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The ``places`` in groups of several, ``head`` marking the first of each group."""
+    alone = head & np.append(head[1:], True)[: len(head)]
+    return places[~alone]
 
 
 def transform(symbols: np.ndarray, order: np.ndarray) -> np.ndarray:
