@@ -29,12 +29,27 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import NOT_SPACE, id_fold, materialize, signed, slices, text_bytes, word_bounds, word_hashes
+from punctuality.llm.common import NOT_SPACE, SLICE_BYTES, id_fold, materialize, signed, slices, text_bytes, word_bounds, word_hashes
 
 _U = np.uint64
 #: Entries of the model's vocabulary: 0 any other word, 1 the end, then the most frequent words.
 OTHER, END = 0, 1
 CHUNK_BYTES = 8 << 20
+#: Texts read side by side, and tokens whose outputs are scored at once.
+LANES, SCORED = 256, 8192
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(each text's first word, with the end; hashes of all words), some texts at a time."""
+    first, hashes, i = [np.zeros(1, np.int64)], [], 0
+    while i < len(offsets) - 1:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
+        part = data[offsets[i] : offsets[j]]
+        starts, ends, at = word_bounds(part, offsets[i : j + 1] - offsets[i], NOT_SPACE)
+        first.append(at[1:] + first[-1][-1])
+        hashes.append(word_hashes(part, starts, ends, True))
+        i = j
+    return np.concatenate(first), np.concatenate(hashes)
 
 
 def pack_chunks(docs: DataFrame, held_out, rounds: int) -> DataFrame:
@@ -47,8 +62,8 @@ def pack_chunks(docs: DataFrame, held_out, rounds: int) -> DataFrame:
         for b in batches:
             out = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
             for i, j, data, offsets in slices(b, "text", CHUNK_BYTES):
-                starts, ends, first = word_bounds(data, offsets, NOT_SPACE)
-                words, tokens, = np.unique(word_hashes(data, starts, ends, True), return_inverse=True)
+                first, hashes = _words(data, offsets)
+                words, tokens = np.unique(hashes, return_inverse=True)
                 train = ~out[i:j]
                 counts = np.bincount(tokens[np.repeat(train, np.diff(first))], minlength=len(words))
                 row = [
@@ -126,6 +141,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+def _softmax(states: np.ndarray, weights: np.ndarray, bias: np.ndarray, rows: np.ndarray, own: np.ndarray, slope: bool):
+    """(with ``slope`` the probabilities less 1 at ``own``, log probability of ``own``) for each row of states."""
+    e = states @ weights
+    reach = np.abs(weights).sum(0)  # states lie between -1 and 1
+    top = (bias + reach).max()
+    if top - (bias - reach).max() < 60:  # one shift for all rows leaves each row's largest above exp(-60)
+        e += bias - top
+    else:
+        e += bias
+        e -= e.max(1, keepdims=True)
+    logp = e[rows, own]
+    np.exp(e, out=e)
+    total = e @ np.ones(e.shape[1], e.dtype)
+    logp -= np.log(total)
+    if slope:
+        e *= np.reciprocal(total)[:, None]
+        e[rows, own] -= 1
+    return e, logp
+
+
 class RecurrentModel:
     """Gated recurrent unit with a class-factored output. ``p``: its weights by name, float32.
 
@@ -184,51 +219,53 @@ class RecurrentModel:
         """Log probability of each target; with ``grad``, adds the gradients of their negative sum
         there and also returns the one of the states."""
         p, width = self.p, self.width
-        cls = targets // width
+        cls = (targets // width).astype(np.int16)  # short keys sort by digits
+        order = np.argsort(cls, kind="stable")
+        states, cls = states[order], cls[order]
         rows = np.arange(len(targets))
-        e = states @ p["to_class"]
-        e += p["class_bias"]
-        e -= e.max(1, keepdims=True)
-        logp = e[rows, cls]
-        np.exp(e, out=e)
-        total = e.sum(1)
-        logp -= np.log(total)
-        d_states = None
+        e, logp = _softmax(states, p["to_class"], p["class_bias"], rows, cls, grad is not None)
+        d = None
         if grad is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1
             grad["to_class"] += states.T @ e
             grad["class_bias"] += e.sum(0)
-            d_states = e @ p["to_class"].T
-        order = np.argsort(cls.astype(np.int16), kind="stable")  # short keys sort by digits
-        cut = np.searchsorted(cls[order], np.arange(len(p["class_bias"]) + 1))
+            d = e @ p["to_class"].T
+        cut = np.searchsorted(cls, np.arange(len(p["class_bias"]) + 1))
+        within = targets[order] - cls.astype(np.int64) * width
         for c in np.flatnonzero(np.diff(cut)).tolist():
-            i = order[cut[c] : cut[c + 1]]
-            block = slice(c * width, (c + 1) * width)
-            s = states[i]
-            w = p["to_word"][block]
-            e = s @ w.T
-            e += p["word_bias"][block]
-            e -= e.max(1, keepdims=True)
-            mine, k = targets[i] - c * width, rows[: len(i)]
-            own = e[k, mine]
-            np.exp(e, out=e)
-            total = e.sum(1)
-            logp[i] += own - np.log(total)
+            some, block = slice(cut[c], cut[c + 1]), slice(c * width, (c + 1) * width)
+            s, w = states[some], p["to_word"][block]
+            e, own = _softmax(s, w.T, p["word_bias"][block], rows[: len(s)], within[some], grad is not None)
+            logp[some] += own
             if grad is not None:
-                e /= total[:, None]
-                e[k, mine] -= 1
                 grad["to_word"][block] += e.T @ s
                 grad["word_bias"][block] += e.sum(0)
-                d_states[i] += e @ w
-        return logp, d_states
+                d[some] += e @ w
+        out, d_states = np.empty_like(logp), None
+        out[order] = logp
+        if grad is not None:
+            d_states = np.empty_like(d)
+            d_states[order] = d
+        return out, d_states
+
+    def learn(self, windows: list[tuple], grad: dict[str, np.ndarray]) -> None:
+        """Add the gradients of ``windows``: (targets, states, kept, lanes, inputs) each. The outputs of all are
+        computed at once, so that short windows (the ends of long texts) cost little."""
+        targets, states, kept, lanes, inputs = zip(*windows, strict=True)
+        _, d = self.outputs(np.concatenate(states), np.concatenate(targets), grad)
+        cut = np.cumsum([len(x) for x in inputs])[:-1]
+        some = zip(kept, lanes, np.split(d, cut), strict=True)
+        d_inputs = np.concatenate([self.backward(k, n, x, grad) for k, n, x in some])
+        inputs = np.concatenate(inputs)
+        order = np.argsort(inputs.astype(np.int16 if len(self.p["gates"]) < 1 << 15 else np.int64), kind="stable")
+        head = np.flatnonzero(np.append(True, np.diff(inputs[order]) != 0))
+        grad["gates"][inputs[order[head]]] += np.add.reduceat(d_inputs[order], head)
 
-    def backward(self, kept, lanes: np.ndarray, inputs: np.ndarray, d_states: np.ndarray, grad: dict[str, np.ndarray]) -> None:
-        """Backpropagation through the steps of one window."""
+    def backward(self, kept, lanes: np.ndarray, d_states: np.ndarray, grad: dict[str, np.ndarray]) -> np.ndarray:
+        """Backpropagation through the steps of one window: the gradient at the gates of each input."""
         p = self.p
         size = d_states.shape[1]
-        d_inputs = np.empty((len(inputs), 3 * size), np.float32)
-        at, carry = len(inputs), None
+        d_inputs = np.empty((len(d_states), 3 * size), np.float32)
+        at, carry = len(d_inputs), None
         for n, (h, z, r, new, y_new) in zip(lanes[::-1].tolist(), kept[::-1], strict=True):
             at -= n
             d = d_states[at : at + n].copy()
@@ -244,9 +281,7 @@ class RecurrentModel:
             grad["recur"] += h.T @ gate
             grad["bias"] += gate.sum(0)
             carry = d * z + gate @ p["recur"].T
-        order = np.argsort(inputs.astype(np.int16 if len(p["gates"]) < 1 << 15 else np.int64), kind="stable")
-        head = np.flatnonzero(np.append(True, np.diff(inputs[order]) != 0))
-        grad["gates"][inputs[order[head]]] += np.add.reduceat(d_inputs[order], head)
+        return d_inputs
 
 
 def _lanes(tokens: np.ndarray, first: np.ndarray, sizes: np.ndarray, steps: int):
@@ -273,13 +308,21 @@ def _lanes(tokens: np.ndarray, first: np.ndarray, sizes: np.ndarray, steps: int)
     return order, windows
 
 
+def _side_by_side(sizes: np.ndarray, chosen: np.ndarray) -> Iterator[np.ndarray]:
+    """The chosen texts, ``LANES`` of similar size at a time."""
+    order = np.argsort(-sizes, kind="stable")
+    order = order[chosen[order]]
+    for i in range(0, len(order), LANES):
+        yield order[i : i + LANES]
+
+
 def _chunk_tokens(words: np.ndarray, tokens: np.ndarray, vocabulary: np.ndarray, entry: np.ndarray) -> np.ndarray:
     """Vocabulary entries of a chunk's tokens; ``vocabulary`` sorted hashes, ``entry`` their numbers."""
-    number = np.full(len(words) + 1, OTHER, np.int64)
+    number = np.full(len(words) + 1, OTHER, np.int32)
     if len(vocabulary):
         spot = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
         number[:-1] = np.where(vocabulary[spot] == words, entry[spot], OTHER)
-    return np.append(number[tokens], OTHER) if len(tokens) else np.array([OTHER])
+    return np.append(number[tokens], OTHER) if len(tokens) else np.array([OTHER], np.int32)
 
 
 def train_round(packed: DataFrame, model: RecurrentModel, vocabulary, entry, steps: int, rate: float, batch: int) -> RecurrentModel:
@@ -296,35 +339,35 @@ def train_round(packed: DataFrame, model: RecurrentModel, vocabulary, entry, ste
         grad = {k: np.zeros_like(v) for k, v in start.items()}
         power = {k: np.full_like(v, 1e-6) for k, v in start.items()}
         seen = pending = 0
+        waiting = []
 
         def update():
+            nonlocal seen, pending
+            local.learn(waiting, grad)
+            waiting.clear()
             for k, g in grad.items():
                 g /= pending
                 power[k] += g * g
                 local.p[k] -= rate * g / np.sqrt(power[k])
                 g[:] = 0
+            seen, pending = seen + pending, 0
 
         for b in batches:
-            for train, sizes, tokens, words in zip(*(b.column(c).to_pylist() for c in ("train", "sizes", "tokens", "words")), strict=True):
-                sizes = np.frombuffer(sizes, "<i4").astype(np.int64)
-                y = _chunk_tokens(np.frombuffer(words, _U), np.frombuffer(tokens, "<u4").astype(np.int64), vocabulary, entry)
+            for train, sizes, tokens, words in zip(*(b.column(c) for c in ("train", "sizes", "tokens", "words")), strict=True):
+                sizes = np.frombuffer(sizes.as_buffer(), "<i4").astype(np.int64)
+                y = _chunk_tokens(np.frombuffer(words.as_buffer(), _U), np.frombuffer(tokens.as_buffer(), "<u4"), vocabulary, entry)
                 first = np.cumsum(sizes) - sizes
-                some = np.frombuffer(train, bool)
-                if not some.any():
-                    continue
-                order, windows = _lanes(y, first[some], sizes[some], steps)
-                state = np.zeros((len(order), start["recur"].shape[0]), np.float32)
-                for lanes, targets, inputs, _ in windows():
-                    state, states, kept = local.window(state[: lanes[0]], inputs, lanes, True)
-                    _, d = local.outputs(states, targets, grad)
-                    local.backward(kept, lanes, inputs, d, grad)
-                    pending += len(targets)
-                    if pending >= batch:
-                        update()
-                        seen, pending = seen + pending, 0
+                for some in _side_by_side(sizes, np.frombuffer(train.as_buffer(), bool)):
+                    _, windows = _lanes(y, first[some], sizes[some], steps)
+                    state = np.zeros((len(some), start["recur"].shape[0]), np.float32)
+                    for lanes, targets, inputs, _ in windows():
+                        state, states, kept = local.window(state[: lanes[0]], inputs, lanes, True)
+                        waiting.append((targets, states, kept, lanes, inputs))
+                        pending += len(targets)
+                        if pending >= batch:
+                            update()
         if pending:  # what the last batch has less
             update()
-            seen += pending
         if seen:
             mine = np.concatenate([local.p[x].ravel() for x in names])
             parts = np.split(mine * np.float32(seen), np.arange(block, len(mine), block))
@@ -417,7 +460,7 @@ def score_documents(
         model = RecurrentModel(p, width)
         for b in batches:
             for row in b.to_pylist():
-                words, local = np.frombuffer(row["words"], _U), np.frombuffer(row["tokens"], "<u4").astype(np.int64)
+                words, local = np.frombuffer(row["words"], _U), np.frombuffer(row["tokens"], "<u4")
                 sizes = np.frombuffer(row["sizes"], "<i4").astype(np.int64)
                 bucket = (words % _U(buckets)).astype(np.int64)
                 c = np.zeros(len(words), np.int64)
@@ -431,12 +474,24 @@ def score_documents(
                 y = _chunk_tokens(words, local, known, entry)
                 inside_other = np.where(y[:-1] == OTHER, log_c[local] - np.log10(rest_mass), 0.0) if len(local) else np.zeros(0)
                 total = np.bincount(text, inside_other, len(sizes)).astype(float)
-                order, windows = _lanes(y, first, sizes, steps)
-                state = np.zeros((len(order), p["recur"].shape[0]), np.float32)
-                for lanes, targets, inputs, lane in windows():
-                    state, states, _ = model.window(state[: lanes[0]], inputs, lanes, False)
-                    logp, _ = model.outputs(states, targets)
-                    total[order] += np.bincount(lane, logp, len(order)) / np.log(10)
+                waiting, n = [], 0
+
+                def settle(waiting, total=total):
+                    states, targets, texts = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                    total += np.bincount(texts, model.outputs(states, targets)[0], len(total)) / np.log(10)
+
+                for some in _side_by_side(sizes, np.ones(len(sizes), bool)):
+                    _, windows = _lanes(y, first[some], sizes[some], steps)
+                    state = np.zeros((len(some), p["recur"].shape[0]), np.float32)
+                    for lanes, targets, inputs, lane in windows():
+                        state, states, _ = model.window(state[: lanes[0]], inputs, lanes, False)
+                        waiting.append((states, targets, some[lane]))
+                        n += len(targets)
+                        if n >= SCORED:
+                            settle(waiting)
+                            waiting, n = [], 0
+                if waiting:
+                    settle(waiting)
                 train = np.frombuffer(row["train"], bool)
                 yield pa.RecordBatch.from_arrays(
                     [
