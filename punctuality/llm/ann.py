@@ -8,9 +8,14 @@ neighbours (and those that hold it as a neighbour) to each other, and every node
 ``degree`` nearest that it has met. A pair is looked at only while one side is new. It ends when few lists change.
 
 Search: each query keeps its ``beam`` nearest nodes so far, starting from its own node and from drawn entry
-points, whose number grows with the root of the number of nodes. A group that no edge leaves or enters is thus
+points, whose number grows with the root of the number of nodes up to ``most_entries``. A group that no edge leaves or enters is thus
 searched by its own queries. Every round expands the nearest ``width`` not yet expanded ones by a join with the graph and the
 vectors; a query ends when its whole beam is expanded. All queries go on together; those that are done leave.
+A query's state is its beam alone: a full beam only gets nearer, so a node that fell out of it and is met again
+falls out again. Edges are followed both ways; of those that lead to a node the nearest ``back`` are kept.
+The beam is as wide as the vectors need: ``trial`` queries, drawn by a hash, are searched first and compared with
+the exact answer over all rows, and the beam is doubled until ``target`` of their true neighbours are found (or it
+is ``most_beam`` wide, which is reported as a warning). Then all queries are searched with that beam.
 Graph and beams compare the vectors as given, in double precision, and so is the answer ranked.
 
 Vectors that are null or zero, hold a null or a non-finite component or differ in length from the most frequent one
@@ -22,11 +27,13 @@ returned. No rows: an empty result.
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -242,13 +249,13 @@ def _update_beams(beam: int, width: int):
         q = t.column("q")[0].as_py()
         state = [x for x in t.column("state").to_pylist() if x is not None]
         gather = lambda name, kind: np.array([v for x in state for v in x[name]], kind)
-        node, dist, done, seen = gather("node", np.int64), gather("d", float), gather("done", bool), gather("seen", np.int64)
+        node, dist, done = gather("node", np.int64), gather("d", float), gather("done", bool)
         own = t.column("qc").drop_null().slice(0, 1)
         new = t.column("node").is_valid()
         met = t.column("node").filter(new).to_numpy().astype(np.int64)
         far = ((_decoded(t.column("code").filter(new)) - _decoded(own)) ** 2).sum(1)
         met, at = np.unique(met, return_index=True)
-        first = ~np.isin(met, seen)
+        first = ~np.isin(met, node)
         met, far = met[first], far[at][first]
         node, dist = np.concatenate([node, met]), np.concatenate([dist, far])
         done = np.concatenate([done, np.zeros(len(met), bool)])
@@ -256,7 +263,7 @@ def _update_beams(beam: int, width: int):
         node, dist, done = node[order], dist[order], done[order]
         todo = np.flatnonzero(~done)[:width]
         done[todo] = True
-        out = {"node": node, "d": dist, "done": done, "seen": np.concatenate([seen, met])}
+        out = {"node": node, "d": dist, "done": done}
         return pa.table(
             [
                 pa.array([q]),
@@ -270,10 +277,8 @@ def _update_beams(beam: int, width: int):
     return run
 
 
-_STATE = pa.struct(
-    [("node", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())), ("done", pa.list_(pa.bool_())), ("seen", pa.list_(pa.int64()))]
-)
-_STATE_SQL = "struct<node:array<bigint>,d:array<double>,done:array<boolean>,seen:array<bigint>>"
+_STATE = pa.struct([("node", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())), ("done", pa.list_(pa.bool_()))])
+_STATE_SQL = "struct<node:array<bigint>,d:array<double>,done:array<boolean>>"
 
 
 def _first_beams(entries, beam: int):
@@ -287,7 +292,7 @@ def _first_beams(entries, beam: int):
             for y in _decoded(b.column("qc")):
                 d = ((x - y) ** 2).sum(1)
                 order = np.lexsort((ids, d))[:beam]
-                states.append({"node": ids[order].tolist(), "d": d[order].tolist(), "done": [False] * len(order), "seen": ids.tolist()})
+                states.append({"node": ids[order].tolist(), "d": d[order].tolist(), "done": [False] * len(order)})
             yield pa.RecordBatch.from_arrays([b.column("q"), b.column("qc"), pa.array(states, _STATE)], ["q", "qc", "state"])
 
     return run
@@ -300,16 +305,26 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b.column("q"), b.column("node"), pa.array(d)], ["q", "node", "d"])
 
 
-def graph_search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, beam: int = 192, width: int = 32, entries: int = 64, seed: int = 8) -> DataFrame:
-    """(q, node): the ``beam`` nearest nodes that each query (q, own, qc) reaches over ``edges`` (both ways).
+def both_ways(edges: DataFrame, back: int) -> DataFrame:
+    """(a, b) of ``edges`` (a, b, d), and (b, a) for the ``back`` nearest of those that lead to a node. A node
+    that very many others hold (a hub) thus has a bounded number of neighbours."""
+    nearest = Window.partitionBy("a").orderBy("d", "b")
+    held = edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "d")
+    held = held.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= back)
+    return edges.select("a", "b").unionByName(held.select("a", "b")).distinct()
 
-    It starts from the query's own node and from ``entries`` drawn ones, or as many as the root of the
-    number of nodes if that is more.
-    """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    graph = materialize(both, "ann-graph")
-    drawn = nodes.orderBy(F.xxhash64(F.lit(seed + 1), "node"), "node").limit(max(entries, math.isqrt(nodes.count()))).toArrow()
-    start = nodes.sparkSession.sparkContext.broadcast((drawn.column("node").to_numpy().astype(np.int64), drawn.column("code").combine_chunks()))
+
+def entry_points(nodes: DataFrame, entries: int = 64, most_entries: int = 4096, seed: int = 8) -> Broadcast:
+    """Ids and vectors of ``entries`` drawn nodes, or of as many as the root of the number of nodes if that is
+    more. At most ``most_entries`` are drawn (or ``entries``, if that is more), which bounds what is broadcast."""
+    many = max(entries, min(most_entries, math.isqrt(nodes.count())))
+    drawn = nodes.orderBy(F.xxhash64(F.lit(seed + 1), "node"), "node").limit(many).toArrow()
+    return nodes.sparkSession.sparkContext.broadcast((drawn.column("node").to_numpy().astype(np.int64), drawn.column("code").combine_chunks()))
+
+
+def graph_search(nodes: DataFrame, graph: DataFrame, start: Broadcast, queries: DataFrame, beam: int, width: int) -> DataFrame:
+    """(q, node, d): the ``beam`` nearest nodes that each query (q, own, qc) reaches over ``graph`` (a, b), with squared
+    distance. It starts from the query's own node and from the entry points ``start``."""
     vectors = nodes.select("node", "code")
     none = [F.lit(None).cast(kind).alias(name) for name, kind in (("qc", "binary"), ("state", _STATE_SQL))]
     blank = [F.lit(None).cast(kind).alias(name) for name, kind in (("node", "long"), ("code", "binary"))]
@@ -320,7 +335,7 @@ def graph_search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, beam: i
     finished = []
     while True:
         states = materialize(rows.groupBy("q").applyInArrow(_update_beams(beam, width), schema), "ann-beams")
-        finished.append(states.where("size(todo) = 0").select("q", "state.node"))
+        finished.append(states.where("size(todo) = 0").select("q", F.explode(F.arrays_zip("state.node", "state.d")).alias("x")))
         going = states.where("size(todo) > 0")
         if not going.limit(1).count():
             break
@@ -328,7 +343,57 @@ def graph_search(nodes: DataFrame, edges: DataFrame, queries: DataFrame, beam: i
         near = ask.join(graph, "a").select("q", F.col("b").alias("node")).distinct()
         near = near.join(vectors, "node").select("q", "node", "code", *none)
         rows = near.unionByName(going.select("q", *blank, "qc", "state"))
-    return reduce(DataFrame.unionByName, finished).select("q", F.explode("node").alias("node"))
+    return reduce(DataFrame.unionByName, finished).select("q", "x.node", "x.d")
+
+
+def _least_distances(sent: Broadcast, k: int):
+    """Of every query sent, the ``k`` least squared distances to a partition's other nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q, code = sent.value
+        y = _decoded(code)
+        least = [np.zeros(0)] * len(q)
+        for b in batches:
+            node, x = b.column("node").to_numpy(), _decoded(b.column("code"))
+            for i in range(len(q) if len(x) else 0):
+                d = ((x - y[i]) ** 2).sum(1)
+                least[i] = np.sort(np.append(least[i], d[node != q[i]]))[:k]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q, [len(d) for d in least])), pa.array(np.concatenate([*least, np.zeros(0)]))], ["q", "d"])
+
+    return run
+
+
+def exact_radius(nodes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """(q, radius, want): the squared distance of each query's k-th nearest other node by comparison with all, and
+    how many nodes (``k``, or all there are) lie within. ``queries`` (q, qc) are few: they are broadcast."""
+    few = queries.select("q", "qc").toArrow()
+    sent = nodes.sparkSession.sparkContext.broadcast((few.column("q").to_numpy().astype(np.int64), few.column("qc").combine_chunks()))
+    least = nodes.mapInArrow(_least_distances(sent, k), "q long, d double")
+    least = least.withColumn("n", F.row_number().over(Window.partitionBy("q").orderBy("d"))).where(F.col("n") <= k)
+    return materialize(least.groupBy("q").agg(F.max("d").alias("radius"), F.count(F.lit(1)).alias("want")), "ann-radius")
+
+
+def recall(found: DataFrame, radius: DataFrame) -> float:
+    """The share of the true nearest nodes of ``exact_radius`` among those found; nodes as near as the k-th count alike."""
+    near = found.join(radius, "q").where((F.col("node") != F.col("q")) & (F.col("d") <= F.col("radius") * (1 + 1e-9)))
+    near = near.groupBy("q").agg(F.count(F.lit(1)).alias("got"))
+    got = radius.join(near, "q", "left").agg(F.sum(F.least(F.coalesce("got", F.lit(0)), "want")), F.sum("want")).first()
+    return got[0] / got[1] if got[1] else 1.0
+
+
+def wide_enough(
+    nodes: DataFrame, graph: DataFrame, start: Broadcast, queries: DataFrame, k: int, beam: int = 512, most_beam: int = 8192, trial: int = 100, target: float = 0.93, seed: int = 8
+) -> int:
+    """The beam that finds ``target`` of the ``k`` nearest nodes of ``trial`` drawn queries (q, own, qc): ``beam``, doubled
+    as often as needed up to ``most_beam``."""
+    some = materialize(queries.orderBy(F.xxhash64(F.lit(seed + 2), "q"), "q").limit(trial), "ann-trial")
+    radius = exact_radius(nodes, some, k)
+    while (share := recall(graph_search(nodes, graph, start, some, beam, beam // 4), radius)) < target:
+        if 2 * beam > most_beam:
+            warnings.warn(f"a beam of {beam} finds {share:.3f} of the nearest neighbours, less than {target}", stacklevel=2)
+            break
+        beam *= 2
+    return beam
 
 
 def nearest(vectors: DataFrame, query_step: int = 100, k: int = 10, **options) -> DataFrame:
@@ -351,9 +416,10 @@ def nearest(vectors: DataFrame, query_step: int = 100, k: int = 10, **options) -
     own = nodes.join(asked.select(F.col("q").alias("node")).distinct(), "node")
     queries = materialize(own.select(F.col("node").alias("q"), F.col("node").alias("own"), F.col("code").alias("qc")), "ann-query-codes")
     build = {x: options[x] for x in ("degree", "sample", "best", "rounds", "settled", "draws") if x in options}
-    edges = neighbour_graph(nodes, **build)
-    search = {x: options[x] for x in ("beam", "width", "entries") if x in options}
-    found = graph_search(nodes, edges, queries, **search)
+    graph = materialize(both_ways(neighbour_graph(nodes, **build), options.get("back", 40)), "ann-graph")
+    start = entry_points(nodes, **{x: options[x] for x in ("entries", "most_entries") if x in options})
+    beam = wide_enough(nodes, graph, start, queries, k, **{x: options[x] for x in ("beam", "most_beam", "trial", "target") if x in options})
+    found = graph_search(nodes, graph, start, queries, beam, beam // 4).drop("d")
     vectors_of = classes.select(F.col("node").alias("q"), F.col("v").alias("qv"))
     found = found.join(classes.select("node", "v"), "node").join(vectors_of, "q").select("q", "node", "qv", "v")
     found = found.mapInArrow(_exact, "q long, node long, d double").join(asked, "q")

@@ -393,3 +393,32 @@ def test_text_operators_match_their_sql(spark, name):
     share_package(spark)
     r = compare(spark, "/root/testdata/sf0.001", [name])[name]
     assert r["cols_match"] and r["rows"] == r["oracle_rows"] and r["hash_match"], r
+
+
+def test_the_beam_widens_until_the_true_neighbours_are_found(spark):
+    from pyspark.sql import functions as F
+
+    from punctuality.llm import ann
+
+    share_package(spark)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((1500, 32))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "node long, v array<double>").repartition(3)
+    nodes = rows.mapInArrow(ann.coded, "node long, code binary").cache()
+    queries = nodes.where("node % 50 = 0").select(F.col("node").alias("q"), F.col("node").alias("own"), F.col("code").alias("qc"))
+    radius = {r.q: (r.radius, r.want) for r in ann.exact_radius(nodes, queries, 10).collect()}
+    for q, (far, want) in radius.items():
+        d = np.sort(((x - x[q]) ** 2).sum(1))
+        assert want == 10 and math.isclose(far, d[10])
+    # A poor graph: a few edges to neighbours, and hubs that all others hold.
+    near = [(i, int(j), float(((x[i] - x[j]) ** 2).sum())) for i in range(1500) for j in [*np.argsort(((x - x[i]) ** 2).sum(1))[1:4], 0] if i != j]
+    edges = spark.createDataFrame(near, "a long, b long, d double")
+    graph = ann.both_ways(edges, 5).cache()
+    assert graph.groupBy("a").count().agg(F.max("count")).first()[0] <= 4 + 5
+    start = ann.entry_points(nodes, 4, 8)
+    assert len(start.value[0]) == 8
+    beam = ann.wide_enough(nodes, graph, start, queries, 10, beam=16, trial=30)
+    share = {b: ann.recall(ann.graph_search(nodes, graph, start, queries, b, b // 4), ann.exact_radius(nodes, queries, 10)) for b in (16, beam)}
+    assert beam > 16 and share[16] < 0.93 <= share[beam]
+    with pytest.warns(UserWarning, match="a beam of 16 finds"):
+        assert ann.wide_enough(nodes, graph, start, queries, 10, beam=16, most_beam=16, trial=30) == 16
