@@ -218,6 +218,7 @@ def neighbour_graph(
     found = found.groupBy("a", "b").agg(F.min("d").alias("d"))
     found = found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= degree).drop("n")
     edges = materialize(found.withColumn("fresh", F.lit(True)), "ann-edges")
+    # The rounds join tables of as many rows each and are many: merged at every size, none passes the driver.
     for r in range(rounds):
         both = edges.select("a", "b", "fresh", F.lit(0).alias("way")).unionByName(
             edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "fresh", F.lit(1).alias("way"))
@@ -226,12 +227,12 @@ def neighbour_graph(
         some = both.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= sample)
         some = some.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
         far = edges.groupBy("a").agg(F.max("d").alias("far"), F.count(F.lit(1)).alias("held"))
-        known = nodes.join(far, F.col("node") == F.col("a"), "left").select(
+        known = nodes.join(far.hint("merge"), F.col("node") == F.col("a"), "left").select(
             F.col("node").alias("b"), "code", F.when(F.col("held") >= degree, F.col("far")).otherwise(float("inf")).alias("far")
         )
-        met = some.join(known, "b").groupBy("a").agg(F.collect_list(F.struct("b", "fresh", "far", "code")).alias("members"))
+        met = some.join(known.hint("merge"), "b").groupBy("a").agg(F.collect_list(F.struct("b", "fresh", "far", "code")).alias("members"))
         met = met.select("members").mapInArrow(_introduce(best), "a long, b long, d double")
-        old = edges.join(some.where("fresh").select("a", "b", F.lit(False).alias("f")), ["a", "b"], "left")
+        old = edges.join(some.where("fresh").select("a", "b", F.lit(False).alias("f")).hint("merge"), ["a", "b"], "left")
         old = old.select("a", "b", "d", F.coalesce("f", "fresh").alias("fresh"))
         every = old.unionByName(met.withColumn("fresh", F.lit(True))).groupBy("a", "b").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"))
         kept = every.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= degree).drop("n")
