@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import lean_workers, materialize, share_package, table
+from punctuality.llm.common import discard, lean_workers, materialize, share_package, table
 from punctuality.llm.decontaminate import contamination
 from punctuality.llm.minhash import near_duplicate_groups
 from punctuality.llm.mixing import mixed_documents
@@ -88,6 +88,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and read again."""
     share_package(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    for n, (name, stage) in enumerate(STAGES):
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        if n:
+            discard(before)  # no later stage reads it
     return docs

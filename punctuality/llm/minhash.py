@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import NOT_SPACE, Sums, materialize, mix, signed, slices, text_bytes, word_bounds, word_hashes
+from punctuality.llm.common import NOT_SPACE, Sums, discard, materialize, mix, signed, slices, text_bytes, word_bounds, word_hashes
 from punctuality.llm.graph import components
 
 SLOTS, BANDS = 120, 24
@@ -308,6 +308,7 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, bl
         ),
         "minhash-classes",
     )
+    discard(signed_docs)
     nodes = with_class.where("signature is not null").dropDuplicates(["node", "key_a", "key_b"])
     banded = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = banded.groupBy("band", "key").agg(F.min("node").alias("center"), F.max("node").alias("last")).where("center < last")
@@ -338,6 +339,9 @@ def near_duplicate_groups(docs: DataFrame, width: int = 5, percent: int = 80, bl
         groups = joined(materialize(confirmed(more, sets, percent), "minhash-links"))
     rest = _open_links(_open_blocks(members, groups, signatures_of, last_block), sets, percent, low)
     groups = joined(materialize(rest, "minhash-links"))
+    # The result reads the classes and the components only.
+    for done in (members, sets):
+        discard(done)
 
     out = with_class.join(groups, "node", "left")
     component = F.coalesce("component", with_class["node"], "doc_id")

@@ -200,9 +200,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
         & (n_words(F.col("text")) == F.col("__z"))
     )
     alike = (F.col("__more") == 0) | (F.col("__more") == F.col("__rows"))
-    one = docs.join(plan.where(alike), same).withColumn("__n", F.col("__whole") + F.least("__more", F.lit(1).cast("long")).cast("int"))
-    some = _numbered(docs.join(plan.where(~alike), same), docs.columns)
+    # One plan at every size: the documents are dealt with the plan's rows, which are as many.
+    one = docs.join(plan.where(alike).hint("merge"), same).withColumn("__n", F.col("__whole") + F.least("__more", F.lit(1).cast("long")).cast("int"))
     take = lambda rows: rows.where("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(*docs.columns)
+    split = plan.where(~alike)
+    if split.isEmpty():  # no unit of which only some rows are rounded up: the documents are dealt once
+        return take(one)
+    some = _numbered(docs.join(split, same), docs.columns)
     return take(one).unionByName(take(some))
 
 

@@ -1,5 +1,8 @@
 """What one review asked for: records, texts and tables that don't travel or stay without need."""
 
+import collections
+import re
+
 
 def test_neighbour_rounds_broadcast_nothing(spark, monkeypatch):
     import numpy as np
@@ -20,3 +23,39 @@ def test_neighbour_rounds_broadcast_nothing(spark, monkeypatch):
     assert graph.groupBy("a").count().where("count = 5").count() == 300
     rounds = [p for name, p in plans if name == "ann-edges"][1:]
     assert rounds and not any("BroadcastHashJoin" in p for p in rounds)
+
+
+def test_mix_deals_documents_once_without_split_units(spark, monkeypatch):
+    from punctuality.llm import mixing
+
+    docs = spark.createDataFrame([(i, f"s{i % 3}", "w " * (1 + i % 7)) for i in range(60)], "doc_id long, source string, text string")
+    taken = {r.doc_id: r.taken // r["size"] for r in mixing.mix_report(docs).collect()}
+    monkeypatch.setattr(mixing, "_numbered", None)  # for units of which only some rows are rounded up; there are none
+    mixed = mixing.mixed_documents(docs)
+    assert collections.Counter(r.doc_id for r in mixed.collect()) == {k: v for k, v in taken.items() if v}
+    assert "BroadcastHashJoin" not in mixed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_near_duplicates_leave_only_what_the_result_reads(spark):
+    from punctuality.llm.minhash import near_duplicate_groups
+    from punctuality.session import path_exists, scratch_scope
+
+    rows = [(i, " ".join(f"w{(i // 2) * 50 + j}" for j in range(30)) + (" x" if i % 2 else "")) for i in range(40)]
+    with scratch_scope(spark) as made:
+        out = near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+        left = {re.sub(r"-[0-9a-f]{32}$", "", p.rsplit("/", 1)[1]) for p in made if path_exists(spark, p)}
+        assert not left & {"minhash-signed", "minhash-members", "minhash-sets"}
+        assert {r.doc_id: r.component_id for r in out.collect()} == {i: i // 2 * 2 for i, _ in rows}
+
+
+def test_pipeline_drops_the_results_of_earlier_stages(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+    from punctuality.session import path_exists, scratch_scope
+
+    docs = tmp_path / "documents.parquet"
+    spark.range(5).withColumnRenamed("id", "doc_id").write.parquet(str(docs))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, lambda s, d, _: d.where("doc_id > 0")) for n in ("one", "two", "three")])
+    with scratch_scope(spark) as made:
+        out = corpus_pipeline.run(spark, str(tmp_path))
+        assert [path_exists(spark, p) for p in made] == [False, False, True]
+        assert out.count() == 4 and docs.exists()
