@@ -7,8 +7,9 @@ body. A block longer than ``segment`` bytes is cut: the first record has segment
 task writes its records one after another through Spark's text writer, records being
 bytes and the blank line that ends a record the separator; files are gzip streams.
 
-Reading: a file is parsed record by record. Records are grouped by origin id over all files, ordered by segment number,
-checked for a gap and for the total length, joined, and the chunked body is decoded and
+Reading: a file is parsed record by record. A response or revisit without a segment number is whole and is decoded where
+it is read. Segments are grouped by origin id over all files, ordered by segment number,
+checked for a gap and for the total length, and joined. The chunked body is decoded and
 compared with the digest. ``intact`` tells whether all of that held.
 
 Null html is an empty payload. A null page_id is never the smallest and refers to nothing. Rows that share
@@ -193,70 +194,93 @@ def _number(text: str | None) -> int | None:
     return int(text) if text and text.lstrip("-").isdigit() else None
 
 
-def parsed_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of all archives under ``path``, as they stand."""
+def _is_whole(f: dict[str, str]) -> bool:
+    """Whether a record's fields say that it is a page by itself. Every segment has a number (WARC 1.1, 5.19)."""
+    return f.get("warc-type") in ("response", "revisit") and not {"warc-segment-number", "warc-segment-origin-id", "warc-segment-total-length"} & f.keys()
+
+
+def _record(f: dict[str, str], block: bytes) -> tuple:
+    """A record as a row of ``PARSED``."""
+    own = f.get("warc-record-id")
+    return (
+        f.get("warc-segment-origin-id", own), _number(f.get("warc-segment-number")) or 1, _number(f.get("warc-segment-total-length")),
+        f.get("warc-type"), _number(f.get("warc-page-id")), f.get("warc-target-uri"),
+        f.get("warc-payload-digest", "").removeprefix("sha1:") or None, _number(f.get("warc-payload-length")),
+        _number(f.get("warc-refers-to", "").removeprefix("<urn:page:").removesuffix(">")), block,
+    )
+
+
+PAGE = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, intact boolean"
+_PAGE_NAMES = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", "intact"]
+_PAGE_TYPES = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.bool_()]
+
+
+def _page(records: list[dict]) -> tuple:
+    """The page of the records of one origin, as a row of ``PAGE``."""
+    s = sorted(records, key=lambda x: x["segment"])
+    head = s[0]
+    block = b"".join(x["block"] for x in s)
+    whole = [x["segment"] for x in s] == list(range(1, len(s) + 1)) and head["kind"] in ("response", "revisit")
+    whole &= len(s) == 1 or s[-1]["total"] == len(block)
+    if head["kind"] == "revisit":
+        payload, length, digest = None, head["length"], head["digest"]
+    else:
+        http, _, body = block.partition(b"\r\n\r\n")
+        payload = decode_chunked(body) if b"transfer-encoding: chunked" in http.lower() else body
+        length, digest = len(payload or b""), sha1_base32(payload or b"")
+        whole &= payload is not None and digest == head["digest"]
+    return head["page_id"], head["url"], length, digest, head["kind"], head["refers_to"], payload, bool(whole)
+
+
+def _batches(rows: Iterator[tuple], payload: int, names: list[str], types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of about 4 MB of the column number ``payload``."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[payload] or b"")
+        if size > 4 << 20:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), types, strict=True)], names)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*held, strict=True), types, strict=True)], names)
+
+
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+
+
+def _records_in(batch: pa.RecordBatch) -> Iterator[tuple[dict[str, str], bytes]]:
+    for content in batch.column("content"):
+        yield from records_of(content.as_buffer().to_pybytes())
+
+
+def parsed_records(spark: SparkSession, path: str, segments_only: bool = False) -> DataFrame:
+    """The records of all archives under ``path``, as they stand; with ``segments_only`` without those that are whole pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for content in b.column("content"):
-                rows, size = [], 0
-                for f, block in records_of(content.as_buffer().to_pybytes()):
-                    own = f.get("warc-record-id")
-                    rows.append(
-                        (
-                            f.get("warc-segment-origin-id", own), _number(f.get("warc-segment-number")) or 1, _number(f.get("warc-segment-total-length")),
-                            f.get("warc-type"), _number(f.get("warc-page-id")), f.get("warc-target-uri"),
-                            f.get("warc-payload-digest", "").removeprefix("sha1:") or None, _number(f.get("warc-payload-length")),
-                            _number(f.get("warc-refers-to", "").removeprefix("<urn:page:").removesuffix(">")), block,
-                        )
-                    )
-                    size += len(block)
-                    if size > 4 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], _NAMES)
-                        rows, size = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _TYPES, strict=True)], _NAMES)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(run, PARSED)
+            rows = (_record(f, block) for f, block in _records_in(b) if not (segments_only and _is_whole(f)))
+            yield from _batches(rows, -1, _NAMES, _TYPES)
+
+    return _archives(spark, path).mapInArrow(run, PARSED)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload, intact: one
-    row per response or revisit, segments put together."""
+    row per response or revisit, segments put together. Only segments are shuffled."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload", "intact"]
-        types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.bool_()]
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = (_page([dict(zip(_NAMES, _record(f, block), strict=True))]) for f, block in _records_in(b) if _is_whole(f))
+            yield from _batches(rows, -2, _PAGE_NAMES, _PAGE_TYPES)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, size = [], 0
-            for parts in b.column("parts"):
-                s = sorted(parts.as_py(), key=lambda x: x["segment"])
-                head = s[0]
-                block = b"".join(x["block"] for x in s)
-                whole = [x["segment"] for x in s] == list(range(1, len(s) + 1)) and head["kind"] in ("response", "revisit")
-                whole &= len(s) == 1 or s[-1]["total"] == len(block)
-                if head["kind"] == "revisit":
-                    payload, length, digest = None, head["length"], head["digest"]
-                else:
-                    http, _, body = block.partition(b"\r\n\r\n")
-                    payload = decode_chunked(body) if b"transfer-encoding: chunked" in http.lower() else body
-                    whole &= payload is not None and sha1_base32(payload) == head["digest"]
-                    length, digest = len(payload or b""), sha1_base32(payload or b"")
-                rows.append((head["page_id"], head["url"], length, digest, head["kind"], head["refers_to"], payload, bool(whole)))
-                size += len(block)
-                if size > 4 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-                    rows, size = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+            yield from _batches((_page(parts.as_py()) for parts in b.column("parts")), -2, _PAGE_NAMES, _PAGE_TYPES)
 
     fields = F.struct("segment", "total", "kind", "page_id", "url", "digest", "length", "refers_to", "block")
-    groups = parsed_records(spark, path).groupBy("origin").agg(F.collect_list(fields).alias("parts")).select("parts")
-    return groups.mapInArrow(
-        run,
-        "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary, intact boolean",
-    )
+    groups = parsed_records(spark, path, segments_only=True).groupBy("origin").agg(F.collect_list(fields).alias("parts")).select("parts")
+    return _archives(spark, path).mapInArrow(whole, PAGE).unionByName(groups.mapInArrow(joined, PAGE))
 
 
 def round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFrame:

@@ -59,3 +59,21 @@ def test_pipeline_drops_the_results_of_earlier_stages(spark, tmp_path, monkeypat
         out = corpus_pipeline.run(spark, str(tmp_path))
         assert [path_exists(spark, p) for p in made] == [False, False, True]
         assert out.count() == 4 and docs.exists()
+
+
+def test_only_segments_of_archives_are_grouped(spark, tmp_path):
+    from punctuality.llm.warc import parsed_records, read_warc, sha1_base32, write_warc
+
+    html = {1: "a" * 5000, 2: "b", 3: "b", 4: None, 5: "c" * 300}
+    path = str(tmp_path / "warc")
+    write_warc(spark.createDataFrame([(i, None, h) for i, h in html.items()], "page_id long, url string, html string"), path, segment=700, chunk=100)
+    assert {r.page_id for r in parsed_records(spark, path).collect()} == {*html, None}
+    cut = parsed_records(spark, path, segments_only=True).collect()
+    assert {r.page_id for r in cut} == {1, None} and sorted(r.segment for r in cut) == list(range(1, len(cut) + 1))
+    got = {r.page_id: r for r in read_warc(spark, path).collect()}
+    assert got.keys() == html.keys() and all(r.intact for r in got.values())
+    for i, h in html.items():
+        data = (h or "").encode()
+        assert (got[i].payload_bytes, got[i].payload_digest) == (len(data), sha1_base32(data))
+        assert (got[i].record_type, got[i].refers_to) == (("revisit", 2) if i == 3 else ("response", None))
+        assert i == 3 or bytes(got[i].payload) == data
