@@ -83,7 +83,17 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
 
     per_slice = docs.mapInArrow(run, "lang string, source string, term string, n long, docs long")
-    return per_slice.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Few rows of a slice agree in source and term, so they are added up where all counts of a term meet.
+    return per_slice.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+
+
+def kept_counts(docs: DataFrame, least_docs: int) -> DataFrame:
+    """(lang, source, term, n, total, first) of the terms that are in at least ``least_docs`` documents of their
+    language: ``total`` sums n over its sources, of which the smallest is marked ``first``."""
+    term = Window.partitionBy("lang", "term")
+    out = term_counts(docs).withColumn("in_docs", F.sum("docs").over(term)).withColumn("total", F.sum("n").over(term))
+    out = out.withColumn("first", F.col("source") == F.min("source").over(term)).where(F.col("in_docs") >= least_docs)
+    return out.select("lang", "source", "term", "n", "total", "first")
 
 
 def share(n: Column, size: Column, unit: int) -> Column:
@@ -186,10 +196,10 @@ def tree_corrections(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, a int, b int, value decimal(38,0)")
 
 
-def _sized(groups: DataFrame, kept: DataFrame, vocabulary: DataFrame, unit: int) -> DataFrame:
+def _sized(groups: DataFrame, kept: DataFrame, unit: int) -> DataFrame:
     """(lang, source, number, size, terms, absent, lang_size) per group: size is N + V, ``absent`` the share of a term without occurrence."""
     per_source = kept.groupBy("lang", "source").agg(F.sum("n").alias("n"))
-    per_lang = vocabulary.groupBy("lang").agg(F.sum("total").alias("all"), F.count(F.lit(1)).alias("terms"))
+    per_lang = kept.groupBy("lang").agg(F.sum("n").alias("all"), F.count_if("first").alias("terms"))
     out = groups.join(per_source, ["lang", "source"], "left").join(per_lang, "lang", "left")
     out = out.withColumn("terms", F.coalesce("terms", F.lit(0).cast("long")))
     out = out.withColumn("size", F.coalesce("n", F.lit(0).cast("long")) + F.col("terms"))
@@ -237,11 +247,8 @@ def source_divergence(docs: DataFrame, least_docs: int = 3, unit: int = 1_000_00
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         text_bytes(F.col("text")).alias("text"),
     )
-    counts = materialize(term_counts(d), "divergence-counts")
-    vocabulary = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"))
-    vocabulary = materialize(vocabulary.where(F.col("docs") >= least_docs).select("lang", "term", "total"), "divergence-terms")
-    kept = counts.select("lang", "source", "term", "n").join(vocabulary, ["lang", "term"])
-    sized = materialize(_sized(d.select("lang", "source").distinct(), kept, vocabulary, unit), "divergence-groups")
+    kept = materialize(kept_counts(d, least_docs), "divergence-terms")
+    sized = materialize(_sized(d.select("lang", "source").distinct(), kept, unit), "divergence-groups")
     kept = kept.join(sized, ["lang", "source"]).select(
         "lang", "source", "term", "number", "absent", share(F.col("n"), F.col("size"), unit).alias("p"), share(F.col("total"), F.col("lang_size"), unit).alias("q")
     )

@@ -3,6 +3,8 @@
 import collections
 import re
 
+from pyspark.sql import functions as F
+
 
 def test_neighbour_rounds_broadcast_nothing(spark, monkeypatch):
     import numpy as np
@@ -77,3 +79,15 @@ def test_only_segments_of_archives_are_grouped(spark, tmp_path):
         assert (got[i].payload_bytes, got[i].payload_digest) == (len(data), sha1_base32(data))
         assert (got[i].record_type, got[i].refers_to) == (("revisit", 2) if i == 3 else ("response", None))
         assert i == 3 or bytes(got[i].payload) == data
+
+
+def test_kept_counts_of_terms(spark):
+    from punctuality.llm.divergence import kept_counts
+
+    rows = [("x", "a", "One two"), ("x", "a", "one three"), ("x", "b", "one two two"), ("x", "", "two"), ("y", "a", "one"), ("y", "b", None)]
+    docs = spark.createDataFrame(rows, "lang string, source string, text string").withColumn("text", F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
+    got = {tuple(r) for r in kept_counts(docs, 3).collect()}
+    assert got == {
+        ("x", "a", "one", 2, 3, True), ("x", "b", "one", 1, 3, False),
+        ("x", "", "two", 1, 4, True), ("x", "a", "two", 1, 4, False), ("x", "b", "two", 2, 4, False),
+    }
