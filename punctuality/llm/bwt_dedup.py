@@ -27,6 +27,10 @@ from punctuality.llm.spans import removals, with_repeated_spans
 from punctuality.llm.suffixes import suffix_array, transform
 
 
+#: Bytes of stretches that are sorted together: their suffixes' numbers stay in the cache.
+RUN_BYTES = 1 << 17
+
+
 def byte_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return BYTE_CODES[data], offsets
 
@@ -130,5 +134,5 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeated_bytes(docs: DataFrame, least: int = 50, k: int = 16) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (bytes): one row per row of ``docs``,
     without the bytes covered by a string of ``least`` bytes that also starts in a document with a smaller doc_id."""
-    both = with_repeated_spans(docs, byte_codes, byte_cut, byte_matcher(least), least, k, unit_bytes=1.0)
+    both = with_repeated_spans(docs, byte_codes, byte_cut, byte_matcher(least), least, k, unit_bytes=1.0, per_run=RUN_BYTES)
     return both.mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -38,6 +38,9 @@ _U = np.uint64
 #: Entries of one anchor above which it is dealt by window.
 HOT_ENTRIES = 4096
 
+#: Windows whose anchors are found at once.
+BLOCK = 1 << 14
+
 #: Bits of an anchor's hash that route it. Anchors that agree in them by chance only send some stretches in
 #: vain: the 64-bit hash of the stretch and the comparison of the bytes decide.
 ROUTE = _U((1 << 48) - 1)
@@ -58,24 +61,33 @@ def stretches(codes: np.ndarray, first: np.ndarray, length: int, k: int):
         return None
     n, w = len(codes), length - k + 1
     sums = Sums(codes)
-    at = np.arange(n - k + 1)
-    grams = sums.of_all(k)
+    windows = n - length + 1  # those that reach into the next text among them
+    place = np.empty(windows, np.int64)
     low = _U(24)  # the place, in the low bits, decides among equals: leftmost
     if n >= 1 << 24:
         low = _U(int(n).bit_length())
-    key = (grams >> low << low) | at.astype(_U)
-    have = 1
-    while have * 2 <= w:
-        key = np.minimum(key[:-have], key[have:])
-        have *= 2
-    if w > have:
-        key = np.minimum(key[: len(key) - (w - have)], key[w - have :])
-    text = np.repeat(np.arange(len(counts)), counts)
-    window = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + first[text]
-    place = (key[window] & ((_U(1) << low) - _U(1))).astype(np.int64)
-    new = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (text[1:] != text[:-1])))
-    last = np.append(new[1:], len(text)) - 1
-    return text[new], grams[place[new]], window[new], window[last] + length - window[new], place[new], sums
+    for i in range(0, windows, BLOCK):  # blocks of windows, so that the passes over their hashes stay in the cache
+        at = np.arange(i, min(i + BLOCK, windows) + w - 1)
+        key = (sums.of(at, at + k) >> low << low) | at.astype(_U)
+        have = 1
+        while have * 2 <= w:
+            key = np.minimum(key[:-have], key[have:])
+            have *= 2
+        if w > have:
+            key = np.minimum(key[: len(key) - (w - have)], key[w - have :])
+        place[i : i + BLOCK] = (key & ((_U(1) << low) - _U(1))).astype(np.int64)
+    ends = first[:-1] + counts  # of each text's windows
+    there = counts > 0
+    new = np.append(True, place[1:] != place[:-1])
+    new[first[:-1][there]] = True
+    inside = np.zeros(windows + 1, np.int8)
+    np.add.at(inside, first[:-1][there], 1)
+    np.add.at(inside, ends[there], -1)
+    new = np.flatnonzero(new & (np.cumsum(inside[:-1], dtype=np.int8) > 0))
+    text = np.searchsorted(first, new, "right") - 1
+    last = np.minimum(np.append(new[1:], windows), ends[text])
+    at = place[new]
+    return text, sums.of(at, at + k), new, last - 1 + length - new, at, sums
 
 
 def _earliest(keys: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
