@@ -99,8 +99,9 @@ def item_windows(items: DataFrame, n: int, k: int) -> DataFrame:
     return df.mapInArrow(rows, "item_id string, length int, mark long, window long, check long").distinct()
 
 
-def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> tuple[DataFrame, Broadcast]:
-    """(doc key, n_words, spans (int64 pairs), items (strings)) with the hits of one block of items, and what was sent."""
+def _block_hits(docs: DataFrame, block: DataFrame, k: int, only: bool = False) -> tuple[DataFrame, Broadcast]:
+    """(doc key, n_words, spans (int64 pairs), items (strings)) with the hits of one block of items, and what was sent.
+    If it is the ``only`` block, the finished rows instead: a task then needs one Python worker, not a second one beside it."""
     spark = docs.sparkSession
     rows = block.toPandas()  # bounded by block_words
     names = sorted(set(rows["item_id"]))
@@ -155,9 +156,21 @@ def _block_hits(docs: DataFrame, block: DataFrame, k: int) -> tuple[DataFrame, B
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
+    if only:
+        return docs.mapInArrow(lambda batches: _finish(map(_alone, hits(batches))), _FINISHED.format(kind=kind)), sent
     return docs.mapInArrow(hits, f"doc_id {kind}, row long, n_words long, spans binary, items array<string>"), sent
 
 
+_FINISHED = "doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
+def _alone(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The hits of one block in the form of those that met."""
+    each = pa.array(np.arange(b.num_rows + 1, dtype=np.int32))
+    parts = [pa.ListArray.from_arrays(each, b.column(c)) for c in ("spans", "items")]
+    return pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("n_words"), *parts], ["doc_id", "n_words", "spans", "items"])
+
+
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n_hit, n_items, digest = [], [], []
@@ -196,19 +209,17 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 10, k: int = 5, bl
         blocks += -(-blocks // 8)
     part = F.pmod(dealt, F.lit(blocks))
     if blocks == 1:
-        merged = _block_hits(d, windows, k)[0].select("doc_id", "n_words", F.array("spans").alias("spans"), F.array("items").alias("items"))
-    else:
-        found = []
-        for i in range(blocks):
-            hits, sent = _block_hits(d, windows.where(part == i), k)
-            found.append(materialize(hits, "winnow-hits"))
-            sent.destroy()
-        merged = reduce(DataFrame.unionByName, found).groupBy("doc_id", "row").agg(
-            F.max("n_words").alias("n_words"),
-            F.collect_set("spans").alias("spans"),
-            F.collect_set("items").alias("items"),
-            (F.count(F.lit(1)) / blocks).cast("int").alias("rows"),
-        )
-        merged = merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("row", "rows", "copy")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return merged.mapInArrow(_finish, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+        return _block_hits(d, windows, k, only=True)[0]
+    found = []
+    for i in range(blocks):
+        hits, sent = _block_hits(d, windows.where(part == i), k)
+        found.append(materialize(hits, "winnow-hits"))
+        sent.destroy()
+    merged = reduce(DataFrame.unionByName, found).groupBy("doc_id", "row").agg(
+        F.max("n_words").alias("n_words"),
+        F.collect_set("spans").alias("spans"),
+        F.collect_set("items").alias("items"),
+        (F.count(F.lit(1)) / blocks).cast("int").alias("rows"),
+    )
+    merged = merged.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows")))).drop("row", "rows", "copy")
+    return merged.mapInArrow(_finish, _FINISHED.format(kind=docs.schema["doc_id"].dataType.simpleString()))

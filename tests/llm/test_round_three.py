@@ -91,3 +91,18 @@ def test_kept_counts_of_terms(spark):
         ("x", "a", "one", 2, 3, True), ("x", "b", "one", 1, 3, False),
         ("x", "", "two", 1, 4, True), ("x", "a", "two", 1, 4, False), ("x", "b", "two", 2, 4, False),
     }
+
+
+def test_contamination_by_one_block_needs_one_python_worker_a_task(spark):
+    from punctuality.llm.decontaminate import contamination
+
+    say = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    docs = [(1, "so " + say(1, 15) + " " + say(2, 9)), (1, "so " + say(1, 15) + " " + say(2, 9)), (2, say(3, 30)), (3, None), (None, "yes " + say(2, 9) + " yes"), (4, "")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([("a", say(1, 15)), ("b", say(2, 9)), ("c", "yes"), ("d", None)], "item_id string, text string")
+    alone, met = contamination(docs, items), contamination(docs, items, block_words=2)
+    assert alone._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    key = lambda r: str(tuple(r))
+    assert alone.schema == met.schema and sorted(alone.collect(), key=key) == sorted(met.collect(), key=key)
+    got = sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in alone.collect()), key=str)
+    assert got == sorted([(1, 25, 24, 2), (1, 25, 24, 2), (2, 30, 0, 0), (3, 0, 0, 0), (None, 11, 11, 2), (4, 0, 0, 0)], key=str)
