@@ -130,6 +130,10 @@ class Sums:
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
+    def of_run(self, first: int, last: int, size: int) -> np.ndarray:
+        """Of the stretches of ``size`` codes that start at ``first`` up to before ``last``."""
+        return mix((self.sums[first + size : last + size] - self.sums[first:last]) * self.down[first:last])
+
     def of_all(self, size: int) -> np.ndarray:
         """Of every stretch of ``size`` codes."""
         n = len(self.sums) - size
