@@ -9,8 +9,10 @@ neighbours (and those that hold it as a neighbour) to each other, and every node
 
 Search: each query keeps its ``beam`` nearest nodes so far, starting from its own node and from drawn entry
 points, whose number grows with the root of the number of nodes up to ``most_entries``. A group that no edge leaves or enters is thus
-searched by its own queries. Every round expands the nearest ``width`` not yet expanded ones by a join with the graph and the
-vectors; a query ends when its whole beam is expanded. All queries go on together; those that are done leave.
+searched by its own queries. Every round expands the nearest ``width`` not yet expanded ones; a query ends when its whole
+beam is expanded. Edges and vectors lie packed in slots of nodes. The nodes to expand are sent to the slots of
+their edges, the neighbours found to the slots of their vectors, and only those near enough for the beam back to the
+query, as numbers; the vector that travels is the query's, once for each slot. All queries go on together; those that are done leave.
 A query's state is its beam alone: a full beam only gets nearer, so a node that fell out of it and is met again
 falls out again. Edges are followed both ways; of those that lead to a node the nearest ``back`` are kept.
 The beam is as wide as the vectors need: ``trial`` queries, drawn by a hash, are searched first and compared with
@@ -27,6 +29,7 @@ returned. No rows: an empty result.
 from __future__ import annotations
 
 import math
+import pickle
 import warnings
 from collections.abc import Iterator
 from functools import reduce
@@ -37,8 +40,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import materialize
+from punctuality.llm.common import materialize, mix, ranges
 
+#: Nodes of a slot, about; rows that a task holds before it deals them; pairs of query and node that a task compares at once.
+SLOT_NODES, HELD, PAIRS = 8192, 1 << 16, 1 << 19
+#: Nodes of a leaf, about, in which all are compared with all.
+LEAF = 1024
 
 def usable(vectors: DataFrame) -> DataFrame:
     """(vec_id, v array<double>) of the rows that take part."""
@@ -71,8 +78,17 @@ def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _decoded(column) -> np.ndarray:
     """The vectors of an Arrow column of codes, all of one length, exactly."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    if not len(column):
+        return np.zeros((0, 1))
+    sizes = np.diff(at := np.frombuffer(column.buffers()[1], np.int32, offset=4 * column.offset, count=len(column) + 1))
+    if (sizes % 4 == 1).all() and (sizes == sizes[0]).all():
+        rows = np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]].reshape(len(sizes), -1)
+        if not rows[:, 0].any():
+            return np.ascontiguousarray(rows[:, 1:]).view("<f4").astype(np.float64)
     raw = column.to_pylist()
-    return np.array([np.frombuffer(r, "<f8" if r[0] else "<f4", offset=1) for r in raw], np.float64) if raw else np.zeros((0, 1))
+    return np.array([np.frombuffer(r, "<f8" if r[0] else "<f4", offset=1) for r in raw], np.float64)
 
 
 def _tree(x: np.ndarray, most: int, rng: np.random.Generator):
@@ -121,7 +137,7 @@ def _leaves(trees):
     return run
 
 
-def _first_neighbours(degree: int, most: int = 64):
+def _first_neighbours(degree: int, most: int = LEAF):
     """Within each leaf, halved further while it has more than ``most`` nodes, every node's nearest ``degree`` others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +154,9 @@ def _first_neighbours(degree: int, most: int = 64):
                     d = _squared(y[None])[0]
                     np.fill_diagonal(d, np.inf)
                     k = min(degree, len(y) - 1)
-                    near = np.argsort(d, axis=1, kind="stable")[:, :k]
+                    if not k:
+                        continue
+                    near = np.argpartition(d, k - 1, axis=1)[:, :k]
                     rows = np.repeat(np.arange(len(y)), k)
                     out.append((own[rows], own[near.ravel()], d[rows, near.ravel()]))
             if out:
@@ -209,13 +227,14 @@ def neighbour_graph(
     # bounded size; leaves of many nodes are dealt out by a hash and halved further in the tasks.
     drawn = nodes.orderBy(F.xxhash64(F.lit(seed), "node"), "node").limit(1 << 15).toArrow()
     x, rng = _decoded(drawn.column("code")), np.random.default_rng(seed)
-    trees = nodes.sparkSession.sparkContext.broadcast([_tree(x, 48, rng)[:3] for _ in range(draws)])
+    most = max(2, min(LEAF, LEAF * len(x) // max(1, count)))
+    trees = nodes.sparkSession.sparkContext.broadcast([_tree(x, most, rng)[:3] for _ in range(draws)])
     dealt = nodes.mapInArrow(_leaves(trees), "node long, code binary, draw long, leaf long")
-    sizes = dealt.groupBy("draw", "leaf").agg(F.ceil(F.count(F.lit(1)) / 2048).alias("parts"))
+    sizes = dealt.groupBy("draw", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF)).alias("parts"))
     dealt = dealt.join(sizes, ["draw", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node"), "parts")).groupBy("draw", "leaf", "part")
     dealt = dealt.agg(F.collect_list(F.struct("node", "code")).alias("members")).select("members")
-    found = dealt.mapInArrow(_first_neighbours(-(-2 * degree // draws)), "a long, b long, d double")
-    found = found.groupBy("a", "b").agg(F.min("d").alias("d"))
+    found = dealt.mapInArrow(_first_neighbours(-(-3 * degree // draws)), "a long, b long, d double")
+    found = found.repartition("a").groupBy("a", "b").agg(F.min("d").alias("d"))
     found = found.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= degree).drop("n")
     edges = materialize(found.withColumn("fresh", F.lit(True)), "ann-edges")
     # The rounds join tables of as many rows each and are many: merged at every size, none passes the driver.
@@ -223,18 +242,25 @@ def neighbour_graph(
         both = edges.select("a", "b", "fresh", F.lit(0).alias("way")).unionByName(
             edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "fresh", F.lit(1).alias("way"))
         )
+        both = both.repartition("a")
         drawn = Window.partitionBy("a", "way", "fresh").orderBy(F.xxhash64(F.lit(seed + r), "a", "b"))
         some = both.withColumn("n", F.row_number().over(drawn)).where(F.col("n") <= sample)
         some = some.groupBy("a", "b").agg(F.max("fresh").alias("fresh"))
+        # Only where one is new there are pairs to look at.
+        some = some.withColumn("any", F.max("fresh").over(Window.partitionBy("a"))).where("any").drop("any")
         far = edges.groupBy("a").agg(F.max("d").alias("far"), F.count(F.lit(1)).alias("held"))
         known = nodes.join(far.hint("merge"), F.col("node") == F.col("a"), "left").select(
             F.col("node").alias("b"), "code", F.when(F.col("held") >= degree, F.col("far")).otherwise(float("inf")).alias("far")
         )
         met = some.join(known.hint("merge"), "b").groupBy("a").agg(F.collect_list(F.struct("b", "fresh", "far", "code")).alias("members"))
         met = met.select("members").mapInArrow(_introduce(best), "a long, b long, d double")
-        old = edges.join(some.where("fresh").select("a", "b", F.lit(False).alias("f")).hint("merge"), ["a", "b"], "left")
-        old = old.select("a", "b", "d", F.coalesce("f", "fresh").alias("fresh"))
-        every = old.unionByName(met.withColumn("fresh", F.lit(True))).groupBy("a", "b").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"))
+        # An edge that was introduced is not new any more.
+        none = lambda kind: F.lit(None).cast(kind)
+        rows = edges.select("a", "b", "d", "fresh", F.lit(True).alias("held"), none("boolean").alias("used"))
+        rows = rows.unionByName(met.select("a", "b", "d", F.lit(True).alias("fresh"), none("boolean").alias("held"), none("boolean").alias("used")))
+        rows = rows.unionByName(some.where("fresh").select("a", "b", none("double").alias("d"), none("boolean").alias("fresh"), none("boolean").alias("held"), F.lit(True).alias("used")))
+        every = rows.repartition("a").groupBy("a", "b").agg(F.min("d").alias("d"), F.min("fresh").alias("fresh"), F.max("held").alias("held"), F.max("used").alias("used"))
+        every = every.where("d is not null").select("a", "b", "d", F.expr("fresh and not (coalesce(held, false) and coalesce(used, false))").alias("fresh"))
         kept = every.withColumn("n", F.row_number().over(nearest)).where(F.col("n") <= degree).drop("n")
         edges = materialize(kept, "ann-edges")
         if edges.where("fresh").count() <= settled * degree * count:
@@ -242,47 +268,191 @@ def neighbour_graph(
     return edges.select("a", "b", "d")
 
 
+def _slot(ids: np.ndarray, slots: int) -> np.ndarray:
+    return (mix(ids.astype(np.uint64)) % np.uint64(slots)).astype(np.int64)
+
+
+def _split(key: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(key, the columns' values of that key), for every key there."""
+    order = np.argsort(key, kind="stable")
+    cut = np.flatnonzero(np.diff(key[order])) + 1
+    for some in np.split(order, cut) if len(key) else []:
+        yield int(key[some[0]]), *(c[some] for c in columns)
+
+
+def _sent(rows: Iterator[tuple[int, tuple]]) -> Iterator[pa.RecordBatch]:
+    """(slot, payload): what goes to each slot."""
+    rows = [(slot, pickle.dumps(what, 5)) for slot, what in rows]
+    if rows:
+        slot, payload = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int64()), pa.array(payload, pa.binary())], ["slot", "payload"])
+
+
+def _received(one_slot):
+    """Runs ``one_slot`` on what each slot of a partition has been sent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_slot: dict[int, list[bytes]] = {}
+        for b in batches:
+            for slot, raw in zip(b.column("slot").to_pylist(), b.column("payload").to_pylist(), strict=True):
+                by_slot.setdefault(slot, []).append(raw)
+        while by_slot:
+            slot, raws = by_slot.popitem()
+            yield from one_slot(slot, [pickle.loads(x) for x in raws])
+
+    return run
+
+
+_PACKED = "slot long, payload binary"
+
+
+def _short(x: np.ndarray) -> np.ndarray:
+    """The vectors as 32-bit numbers if these hold all of them exactly."""
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return short if (short == x).all() else x
+
+
+def _packed(table: DataFrame, slots: int, columns, name: str) -> DataFrame:
+    """(slot, payload): the rows of each slot's nodes in one payload, sorted by node. ``columns(batch)`` gives arrays,
+    the node's first."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            held.append(columns(b))
+            n += len(b)
+            if n >= HELD:
+                yield from dealt(held)
+                held, n = [], 0
+        if n:
+            yield from dealt(held)
+
+    def dealt(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        held = [np.concatenate(c) for c in zip(*(x for x in held if len(x[0])), strict=True)]
+        return _sent((slot, c) for slot, *c in _split(_slot(held[0], slots), *held))
+
+    def merge(slot: int, parts: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        every = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        order = np.argsort(every[0], kind="stable")
+        return _sent([(slot, ("table", *(c[order] for c in every)))])
+
+    return materialize(table.mapInArrow(deal, _PACKED).repartition(slots, "slot").mapInArrow(_received(merge), _PACKED), name)
+
+
+def placed(nodes: DataFrame, graph: DataFrame) -> tuple[int, DataFrame, DataFrame]:
+    """(number of slots, vectors, edges): the nodes and their edges (a, b) in slots of about ``SLOT_NODES`` nodes."""
+    slots = max(8, nodes.count() // SLOT_NODES)
+    ids = lambda b, *names: [b.column(c).to_numpy().astype(np.int64) for c in names]
+    vectors = _packed(nodes.select("node", "code"), slots, lambda b: (*ids(b, "node"), _short(_decoded(b.column("code")))), "ann-slots")
+    return slots, vectors, _packed(graph.select("a", "b"), slots, lambda b: ids(b, "a", "b"), "ann-slots")
+
+
+def _asked(q: np.ndarray, far: np.ndarray, y: np.ndarray, node: np.ndarray, at: np.ndarray, slots: int) -> Iterator[tuple[int, tuple]]:
+    """To the slots of the nodes: which query (its place ``at`` in ``q``) asks for which ``node``, with the queries'
+    vectors ``y`` and how near a node must be, ``far``."""
+    for slot, some, by in _split(_slot(node, slots), node, at):
+        there = np.zeros(len(q), bool)
+        there[by] = True
+        yield slot, ("ask", q[there], far[there], _short(y[there]), some, (np.cumsum(there) - 1)[by].astype(np.int32))
+
+
+def _asks(parts: list[tuple], most: int) -> Iterator[tuple]:
+    """What was asked of a slot, about ``most`` nodes at a time; a query may be there several times."""
+    held, n = [], 0
+    parts = [x for x in parts if x[0] == "ask"]
+    for i, x in enumerate(parts):
+        held.append(x[1:])
+        n += len(x[4])
+        if n >= most or i + 1 == len(parts):
+            q, far, y, node, at = zip(*held, strict=True)
+            base = np.cumsum([0, *map(len, q)])[:-1]
+            yield *map(np.concatenate, (q, far, y, node)), np.concatenate([a + i for a, i in zip(at, base, strict=True)])
+            held, n = [], 0
+
+
+def _table(parts: list[tuple]) -> tuple:
+    return next((x[1:] for x in parts if x[0] == "table"), (np.zeros(0, np.int64), np.zeros((0, 1))))
+
+
+def _follow(slots: int):
+    """The nodes to expand, in their slots: their neighbours are asked for instead of them."""
+
+    def one_slot(slot: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        a, b = _table(parts)
+        for q, far, y, node, at in _asks(parts, PAIRS // 32):
+            low = np.searchsorted(a, node)
+            counts = np.searchsorted(a, node, "right") - low
+            yield from _sent(_asked(q, far, y, b[ranges(low, counts)].astype(np.int64), np.repeat(at, counts), slots))
+
+    return one_slot
+
+
+def _compare(query_slots: int):
+    """The nodes asked for, in their slots: the queries get those that are near enough, with squared distance."""
+
+    def one_slot(slot: int, parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        ids, x = _table(parts)
+        for q, far, y, node, at in _asks(parts, PAIRS):
+            q, first, same = np.unique(q, return_index=True, return_inverse=True)
+            far, y = far[first], y[first].astype(np.float64)
+            place = np.searchsorted(ids, node)
+            there = np.append(ids, -1)[place] == node
+            at, place = np.divmod(np.unique(same[at[there]] * len(ids) + place[there]), max(1, len(ids)))
+            d = np.zeros(len(at))
+            for i in range(0, len(at), 1 << 13):
+                some = slice(i, i + (1 << 13))
+                off = x[place[some]] - y[at[some]]
+                d[some] = np.einsum("ij,ij->i", off, off)
+            near = d <= far[at]
+            at, place, d = at[near], place[near], d[near]
+            yield from _sent((s, tuple(c)) for s, *c in _split(_slot(q[at], query_slots), q[at], ids[place], d))
+
+    return one_slot
+
+
 def _update_beams(beam: int, width: int):
-    """One round of one query: put the new nodes into its beam and pick what to expand next. Of the rows
-    of a query one has its ``state`` and vector (``qc``), the others a node and its vector."""
-
-    def run(t: pa.Table) -> pa.Table:
-        q = t.column("q")[0].as_py()
-        state = [x for x in t.column("state").to_pylist() if x is not None]
-        gather = lambda name, kind: np.array([v for x in state for v in x[name]], kind)
-        node, dist, done = gather("node", np.int64), gather("d", float), gather("done", bool)
-        own = t.column("qc").drop_null().slice(0, 1)
-        new = t.column("node").is_valid()
-        met = t.column("node").filter(new).to_numpy().astype(np.int64)
-        far = ((_decoded(t.column("code").filter(new)) - _decoded(own)) ** 2).sum(1)
+    """One round of the queries of a partition: put the new nodes into their beams and pick what to expand next. Of the rows
+    of a slot some have a query with its ``state`` and vector (``qc``), the others a payload of answers."""
+
+    def one_query(state: bytes, met: np.ndarray, far: np.ndarray) -> tuple[bytes, bool]:
+        node, dist, done, _ = pickle.loads(state)
         met, at = np.unique(met, return_index=True)
         first = ~np.isin(met, node)
-        met, far = met[first], far[at][first]
-        node, dist = np.concatenate([node, met]), np.concatenate([dist, far])
-        done = np.concatenate([done, np.zeros(len(met), bool)])
+        node, dist = np.concatenate([node, met[first]]), np.concatenate([dist, far[at][first]])
+        done = np.concatenate([done, np.zeros(int(first.sum()), bool)])
         order = np.lexsort((node, dist))[:beam]
         node, dist, done = node[order], dist[order], done[order]
         todo = np.flatnonzero(~done)[:width]
         done[todo] = True
-        out = {"node": node, "d": dist, "done": done}
-        return pa.table(
-            [
-                pa.array([q]),
-                own.combine_chunks(),
-                pa.array([{k: v.tolist() for k, v in out.items()}], _STATE),
-                pa.array([node[todo].tolist()], pa.list_(pa.int64())),
-            ],
-            ["q", "qc", "state", "todo"],
-        )
+        return pickle.dumps((node, dist, done, node[todo]), 5), len(todo) > 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, met = [], []
+        for b in batches:
+            for slot, q, qc, state, payload in zip(*(b.column(c).to_pylist() for c in ("slot", "q", "qc", "state", "payload")), strict=True):
+                if payload is None:
+                    states.append((slot, q, qc, state))
+                else:
+                    met.append(pickle.loads(payload))
+        q, node, d = map(np.concatenate, zip(*met, strict=True)) if met else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        order = np.argsort(q, kind="stable")
+        q, node, d = q[order], node[order], d[order]
+        for i in range(0, len(states), 64):
+            rows = []
+            for slot, own, qc, state in states[i : i + 64]:
+                some = slice(*np.searchsorted(q, [own, own + 1]))
+                rows.append((slot, own, qc, *one_query(state, node[some], d[some])))
+            types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], ["slot", "q", "qc", "state", "going"])
 
     return run
 
 
-_STATE = pa.struct([("node", pa.list_(pa.int64())), ("d", pa.list_(pa.float64())), ("done", pa.list_(pa.bool_()))])
-_STATE_SQL = "struct<node:array<bigint>,d:array<double>,done:array<boolean>>"
+_STATE = "slot long, q long, qc binary, state binary"
 
 
-def _first_beams(entries, beam: int):
+def _first_beams(entries, beam: int, query_slots: int):
     """Each query's beam before the first round: the nearest of the drawn entries. None is expanded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,12 +463,43 @@ def _first_beams(entries, beam: int):
             for y in _decoded(b.column("qc")):
                 d = ((x - y) ** 2).sum(1)
                 order = np.lexsort((ids, d))[:beam]
-                states.append({"node": ids[order].tolist(), "d": d[order].tolist(), "done": [False] * len(order)})
-            yield pa.RecordBatch.from_arrays([b.column("q"), b.column("qc"), pa.array(states, _STATE)], ["q", "qc", "state"])
+                states.append(pickle.dumps((ids[order], d[order], np.zeros(len(order), bool), ids[:0]), 5))
+            q = b.column("q").to_numpy().astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(_slot(q, query_slots)), pa.array(q), b.column("qc"), pa.array(states, pa.binary())], ["slot", "q", "qc", "state"])
+
+    return run
+
+
+def _ask(beam: int, slots: int):
+    """The queries' nodes to expand, sent to their slots."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (x.slice(i, 256) for x in batches for i in range(0, len(x), 256)):
+            states = [pickle.loads(x) for x in b.column("state").to_pylist()]
+            far = np.array([d[-1] if len(d) >= beam else np.inf for _, d, _, _ in states])
+            todo = [x[3] for x in states]
+            q, at = b.column("q").to_numpy().astype(np.int64), np.repeat(np.arange(len(todo)), [len(x) for x in todo])
+            yield from _sent(_asked(q, far, _decoded(b.column("qc")), np.concatenate(todo), at, slots))
+
+    return run
+
+
+def _ask_own(slots: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            q, own = (b.column(c).to_numpy().astype(np.int64) for c in ("q", "own"))
+            yield from _sent(_asked(q, np.full(len(q), np.inf), _decoded(b.column("qc")), own, np.arange(len(q)), slots))
 
     return run
 
 
+def _beam_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for q, state in zip(b.column("q").to_pylist(), b.column("state").to_pylist(), strict=True):
+            node, d, _, _ = pickle.loads(state)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(node), q, np.int64)), pa.array(node), pa.array(d)], ["q", "node", "d"])
+
+
 def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if len(b):
@@ -323,28 +524,27 @@ def entry_points(nodes: DataFrame, entries: int = 64, most_entries: int = 4096,
     return nodes.sparkSession.sparkContext.broadcast((drawn.column("node").to_numpy().astype(np.int64), drawn.column("code").combine_chunks()))
 
 
-def graph_search(nodes: DataFrame, graph: DataFrame, start: Broadcast, queries: DataFrame, beam: int, width: int) -> DataFrame:
+def graph_search(nodes: DataFrame, graph: DataFrame, start: Broadcast, queries: DataFrame, beam: int, width: int, tables=None) -> DataFrame:
     """(q, node, d): the ``beam`` nearest nodes that each query (q, own, qc) reaches over ``graph`` (a, b), with squared
-    distance. It starts from the query's own node and from the entry points ``start``."""
-    vectors = nodes.select("node", "code")
-    none = [F.lit(None).cast(kind).alias(name) for name, kind in (("qc", "binary"), ("state", _STATE_SQL))]
-    blank = [F.lit(None).cast(kind).alias(name) for name, kind in (("node", "long"), ("code", "binary"))]
-    schema = f"q long, qc binary, state {_STATE_SQL}, todo array<bigint>"
-    first = queries.select("q", "qc").mapInArrow(_first_beams(start, beam), f"q long, qc binary, state {_STATE_SQL}")
-    own = queries.select("q", F.col("own").alias("node")).join(vectors, "node").select("q", "node", "code", *none)
-    rows = own.unionByName(first.select("q", *blank, "qc", "state"))
+    distance. It starts from the query's own node and from the entry points ``start``. ``tables``: those of ``placed``,
+    if they are there already."""
+    slots, vectors, edges = tables or placed(nodes, graph)
+    query_slots = max(8, queries.count() // 64)
+    blank = [F.lit(None).cast(kind).alias(name) for name, kind in (("q", "long"), ("qc", "binary"), ("state", "binary"))]
+    at_slots = lambda sent, table, run: sent.unionByName(table).repartition(slots, "slot").mapInArrow(_received(run), _PACKED)
+    states = queries.select("q", "qc").mapInArrow(_first_beams(start, beam, query_slots), _STATE)
+    asked = queries.mapInArrow(_ask_own(slots), _PACKED)
     finished = []
     while True:
-        states = materialize(rows.groupBy("q").applyInArrow(_update_beams(beam, width), schema), "ann-beams")
-        finished.append(states.where("size(todo) = 0").select("q", F.explode(F.arrays_zip("state.node", "state.d")).alias("x")))
-        going = states.where("size(todo) > 0")
-        if not going.limit(1).count():
+        answers = at_slots(asked, vectors, _compare(query_slots)).select("slot", *blank, "payload")
+        rows = answers.unionByName(states.withColumn("payload", F.lit(None).cast("binary"))).repartition(query_slots, "slot")
+        after = materialize(rows.mapInArrow(_update_beams(beam, width), _STATE + ", going boolean"), "ann-beams")
+        finished.append(after.where("not going").select("q", "state"))
+        states = after.where("going").drop("going")
+        if not states.limit(1).count():
             break
-        ask = going.select("q", F.explode("todo").alias("a"))
-        near = ask.join(graph, "a").select("q", F.col("b").alias("node")).distinct()
-        near = near.join(vectors, "node").select("q", "node", "code", *none)
-        rows = near.unionByName(going.select("q", *blank, "qc", "state"))
-    return reduce(DataFrame.unionByName, finished).select("q", "x.node", "x.d")
+        asked = at_slots(states.mapInArrow(_ask(beam, slots), _PACKED), edges, _follow(slots))
+    return reduce(DataFrame.unionByName, finished).mapInArrow(_beam_rows, "q long, node long, d double")
 
 
 def _least_distances(sent: Broadcast, k: int):
@@ -383,13 +583,14 @@ def recall(found: DataFrame, radius: DataFrame) -> float:
 
 
 def wide_enough(
-    nodes: DataFrame, graph: DataFrame, start: Broadcast, queries: DataFrame, k: int, beam: int = 512, most_beam: int = 8192, trial: int = 100, target: float = 0.93, seed: int = 8
+    nodes: DataFrame, graph: DataFrame, start: Broadcast, queries: DataFrame, k: int, beam: int = 512, most_beam: int = 8192, trial: int = 100, target: float = 0.93, seed: int = 8, tables=None
 ) -> int:
     """The beam that finds ``target`` of the ``k`` nearest nodes of ``trial`` drawn queries (q, own, qc): ``beam``, doubled
     as often as needed up to ``most_beam``."""
     some = materialize(queries.orderBy(F.xxhash64(F.lit(seed + 2), "q"), "q").limit(trial), "ann-trial")
     radius = exact_radius(nodes, some, k)
-    while (share := recall(graph_search(nodes, graph, start, some, beam, beam // 4), radius)) < target:
+    tables = tables or placed(nodes, graph)
+    while (share := recall(graph_search(nodes, graph, start, some, beam, beam // 2, tables), radius)) < target:
         if 2 * beam > most_beam:
             warnings.warn(f"a beam of {beam} finds {share:.3f} of the nearest neighbours, less than {target}", stacklevel=2)
             break
@@ -419,8 +620,9 @@ def nearest(vectors: DataFrame, query_step: int = 100, k: int = 10, **options) -
     build = {x: options[x] for x in ("degree", "sample", "best", "rounds", "settled", "draws") if x in options}
     graph = materialize(both_ways(neighbour_graph(nodes, **build), options.get("back", 40)), "ann-graph")
     start = entry_points(nodes, **{x: options[x] for x in ("entries", "most_entries") if x in options})
-    beam = wide_enough(nodes, graph, start, queries, k, **{x: options[x] for x in ("beam", "most_beam", "trial", "target") if x in options})
-    found = graph_search(nodes, graph, start, queries, beam, beam // 4).drop("d")
+    tables = placed(nodes, graph)
+    beam = wide_enough(nodes, graph, start, queries, k, tables=tables, **{x: options[x] for x in ("beam", "most_beam", "trial", "target") if x in options})
+    found = graph_search(nodes, graph, start, queries, beam, beam // 2, tables).drop("d")
     vectors_of = classes.select(F.col("node").alias("q"), F.col("v").alias("qv"))
     found = found.join(classes.select("node", "v"), "node").join(vectors_of, "q").select("q", "node", "qv", "v")
     found = found.mapInArrow(_exact, "q long, node long, d double").join(asked, "q")
