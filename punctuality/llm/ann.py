@@ -9,7 +9,7 @@ neighbours (and those that hold it as a neighbour) to each other, and every node
 
 Search: each query keeps its ``beam`` nearest nodes so far, starting from its own node and from drawn entry
 points, whose number grows with the root of the number of nodes up to ``most_entries``. A group that no edge leaves or enters is thus
-searched by its own queries. Every round expands the nearest ``width`` not yet expanded ones; a query ends when its whole
+searched by its own queries. Every round expands the nearest ``width`` (or half a beam) not yet expanded ones; a query ends when its whole
 beam is expanded. Edges and vectors lie packed in slots of nodes. The nodes to expand are sent to the slots of
 their edges, the neighbours found to the slots of their vectors, and only those near enough for the beam back to the
 query, as numbers; the vector that travels is the query's, once for each slot. All queries go on together; those that are done leave.
@@ -529,6 +529,7 @@ def graph_search(nodes: DataFrame, graph: DataFrame, start: Broadcast, queries:
     distance. It starts from the query's own node and from the entry points ``start``. ``tables``: those of ``placed``,
     if they are there already."""
     slots, vectors, edges = tables or placed(nodes, graph)
+    width = max(width, beam // 2)  # a few wide rounds cost less than many narrow ones
     query_slots = max(8, queries.count() // 64)
     blank = [F.lit(None).cast(kind).alias(name) for name, kind in (("q", "long"), ("qc", "binary"), ("state", "binary"))]
     at_slots = lambda sent, table, run: sent.unionByName(table).repartition(slots, "slot").mapInArrow(_received(run), _PACKED)
@@ -590,7 +591,7 @@ def wide_enough(
     some = materialize(queries.orderBy(F.xxhash64(F.lit(seed + 2), "q"), "q").limit(trial), "ann-trial")
     radius = exact_radius(nodes, some, k)
     tables = tables or placed(nodes, graph)
-    while (share := recall(graph_search(nodes, graph, start, some, beam, beam // 2, tables), radius)) < target:
+    while (share := recall(graph_search(nodes, graph, start, some, beam, beam // 4, tables), radius)) < target:
         if 2 * beam > most_beam:
             warnings.warn(f"a beam of {beam} finds {share:.3f} of the nearest neighbours, less than {target}", stacklevel=2)
             break
@@ -622,7 +623,7 @@ def nearest(vectors: DataFrame, query_step: int = 100, k: int = 10, **options) -
     start = entry_points(nodes, **{x: options[x] for x in ("entries", "most_entries") if x in options})
     tables = placed(nodes, graph)
     beam = wide_enough(nodes, graph, start, queries, k, tables=tables, **{x: options[x] for x in ("beam", "most_beam", "trial", "target") if x in options})
-    found = graph_search(nodes, graph, start, queries, beam, beam // 2, tables).drop("d")
+    found = graph_search(nodes, graph, start, queries, beam, beam // 4, tables).drop("d")
     vectors_of = classes.select(F.col("node").alias("q"), F.col("v").alias("qv"))
     found = found.join(classes.select("node", "v"), "node").join(vectors_of, "q").select("q", "node", "qv", "v")
     found = found.mapInArrow(_exact, "q long, node long, d double").join(asked, "q")
